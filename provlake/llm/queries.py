@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from provlake.llm import bpe, repetition, secrets, simhash, suffixes
+from provlake.llm import boilerplate, bpe, chains, decontamination, language, repetition, secrets, simhash, suffixes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,19 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_quality(_documents(spark, sf_dir))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("items")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = boilerplate.drop_boilerplate(_documents(spark, sf_dir))
+    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_language(_documents(spark, sf_dir))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_documents(spark, sf_dir)).drop("found")
 
@@ -31,6 +45,43 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_quality_rules, op7_secret_scans, op8_bpe_encoding, op9_simhash_near_dedup)}
-
-ORACLES: dict[str, str] = {}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.fuzzy_passages(_documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_quality_rules, op3_benchmark_decontamination, op5_line_dedup, op6_language_id, op7_secret_scans, op8_bpe_encoding, op9_simhash_near_dedup, op10_substring_dedup)}
+
+_ITEM_WORDS = r"list_filter(string_split_regex(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_ITEM_WORDS.format("text")} AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_ITEM_WORDS.format("text")} AS w FROM benchmark),
+        wins AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
+            FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM wins),
+        runs AS (
+            SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+            FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)),
+        hits AS (SELECT doc_id, i, n, item_id FROM runs JOIN wins USING (n, s)),
+        spots AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id),
+        ids AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN ids USING (doc_id)""",
+    "op5_line_dedup": f"""
+        WITH l AS (
+            SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+            FROM documents WHERE text IS NOT NULL),
+        totals AS (SELECT source, count(DISTINCT text) AS pages FROM documents GROUP BY source),
+        bad AS (
+            SELECT source, line FROM (
+                SELECT source, trim(line) AS line, count(DISTINCT text) AS n FROM l WHERE trim(line) <> '' GROUP BY ALL)
+            JOIN totals USING (source) WHERE n >= {boilerplate.MIN_PAGES} AND n > {boilerplate.RATIO} * pages),
+        m AS (SELECT l.*, bad.line IS NOT NULL AS gone FROM l LEFT JOIN bad ON bad.source = l.source AND bad.line = trim(l.line))
+        SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN (
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone) AS kept
+            FROM m GROUP BY doc_id) USING (doc_id)""",
+}
