@@ -18,6 +18,7 @@ import json
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -182,7 +183,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFram
 
     def run(text: str) -> tuple:
         ids, labels = automaton(path).encode(text)
-        ints = [int(x) for x in ids.split()]
+        ints = np.array(ids.split(), dtype=np.int32)
         return len(ints), ints, labels
 
     return per_text(docs, run, "n_tokens long, ids array<int>, decoded string")

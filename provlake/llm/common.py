@@ -61,17 +61,15 @@ def join_key(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
 
 
 def per_text(docs: DataFrame, f: Callable[[str], tuple], schema: str) -> DataFrame:
-    """doc_id and f(text) of every row, in Arrow batches; null counts as the empty text."""
+    """doc_id and f(text) of every row, in Arrow batches; null counts as the empty text.  Ids stay in the JVM."""
     names = [c.split()[0] for c in schema.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [f(t or "") for t in b["text"]]
-            cols = {n: [r[i] for r in rows] for i, n in enumerate(names)}
-            yield pd.DataFrame({"doc_id": b["doc_id"], **cols})
+    @F.pandas_udf(schema)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        rows = [f(t or "") for t in texts]
+        return pd.DataFrame({n: [r[i] for r in rows] for i, n in enumerate(names)})
 
-    src = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return src.mapInPandas(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, {schema}")
+    return docs.select("doc_id", run(F.col("text").cast("string")).alias("_r")).select("doc_id", "_r.*")
 
 
 def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

@@ -45,8 +45,8 @@ def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE)
     return rows.withColumn("h", F.xxhash64("s", F.slice("words", F.col("off") + 1, F.col("s"))))
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """One row per document: n_words, n_hit, n_items, items (ids), items_sha256, contaminated."""
+def hit_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, _th, n_hit, items): the documents that hold a window."""
     wins = written(item_windows(items, window, shingle))
     sizes = sorted(r.s for r in wins.select("s").distinct().collect())  # at most `shingle` numbers
     known = wins.select("s", "h").distinct()
@@ -62,7 +62,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         start = F.greatest(F.lit(0), F.col("i") - side)
         here = here.select(*KEY, "s", "h", "i", start.alias("from"), F.slice("words", start + 1, F.lit(2 * window + shingle)).alias("near"))
         found = here if found is None else found.unionAll(here)
-    base = keyed(docs).select(*KEY, F.size(item_words(F.col("text"))).cast("long").alias("n_words"))
     if found is None:
         found = rows.where("false").select(*KEY, F.lit(0).alias("s"), F.lit(0).cast("long").alias("h"), "i", F.col("i").alias("from"), F.col("words").alias("near"))
     found = written(found)
@@ -76,7 +75,18 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     hits = written(hits.distinct())
     spots = hits.groupBy(*KEY, "a").agg(F.max("n").alias("n")).groupBy(*KEY).agg(F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("a", F.col("a") + F.col("n") - 1))))).cast("long").alias("n_hit"))
     ids = hits.select(*KEY, "item_id").distinct().groupBy(*KEY).agg(F.array_sort(F.collect_list("item_id")).alias("items"))
-    marks = written(join_key(spots, ids))
-    out = join_key(base, marks)
+    return written(join_key(spots, ids))
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """One row per document: n_words, n_hit, n_items, items (ids), items_sha256, contaminated."""
+    base = keyed(docs).select(*KEY, F.size(item_words(F.col("text"))).cast("long").alias("n_words"))
+    out = join_key(base, hit_documents(docs, items, window, shingle))
     ids = F.coalesce("items", F.array().cast("array<string>"))
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of docs that hold no window of an item; all columns as they were."""
+    hits = hit_documents(docs, items, window, shingle).select(F.col("doc_id").alias("_hit"), F.col("_th").alias("_hit_th"))
+    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["_hit"]) & (F.xxhash64(docs["text"]) == hits["_hit_th"]), "left_anti")

@@ -87,26 +87,23 @@ class Compressors:
 def identify_language(docs: DataFrame, content: dict[str, bytes] | None = None, margin: float = MARGIN, learn_from: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, accepted."""
     content = learn(learn_from if learn_from is not None else docs) if content is None else content
-    src = docs.select("doc_id", F.col("text").cast("string").alias("text"), (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1).alias("held_out"))
-    kind = src.schema["doc_id"].dataType.simpleString()
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return docs.select("doc_id", held_out.alias("held_out"), predictor(content, margin)(F.col("text").cast("string")).alias("_r")).select("doc_id", "held_out", "_r.*")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def predictor(content: dict[str, bytes], margin: float = MARGIN):
+    """A column function: text -> (lang_pred, score, accepted)."""
+
+    @F.pandas_udf("lang_pred string, score double, accepted boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = Compressors(content)
-        for b in batches:
-            got = [model.predict(t, margin) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "lang_pred": [g[0] for g in got], "score": [g[1] for g in got], "accepted": [g[2] for g in got]})
+        for texts in batches:
+            got = [model.predict(t, margin) for t in texts]
+            yield pd.DataFrame({"lang_pred": [g[0] for g in got], "score": [g[1] for g in got], "accepted": [g[2] for g in got]})
 
-    return src.mapInPandas(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, accepted boolean")
+    return run
 
 
 def keep_identified(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     """The rows of docs whose language is told with margin; all columns as they were."""
-    content = learn(docs)
-    schema = docs.schema
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Compressors(content)
-        for b in batches:
-            yield b[[model.predict(t, margin)[2] for t in b["text"]]]
-
-    return docs.mapInPandas(run, schema)
+    return docs.where(predictor(learn(docs), margin)(F.col("text").cast("string"))["accepted"])

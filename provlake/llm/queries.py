@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provlake.llm import boilerplate, bpe, chains, decontamination, language, repetition, secrets, simhash, suffixes
+import corpus_pipeline
+from provlake.llm import boilerplate, bpe, chains, decontamination, language, personal, repetition, secrets, simhash, suffixes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("items")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(_documents(spark, sf_dir))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = boilerplate.drop_boilerplate(_documents(spark, sf_dir))
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -49,7 +54,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chains.fuzzy_passages(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_quality_rules, op3_benchmark_decontamination, op5_line_dedup, op6_language_id, op7_secret_scans, op8_bpe_encoding, op9_simhash_near_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_quality_rules, op3_benchmark_decontamination, op4_pii, op5_line_dedup, op6_language_id, op7_secret_scans, op8_bpe_encoding, op9_simhash_near_dedup, op10_substring_dedup)} | {"pipeline": corpus_pipeline.run}
 
 _ITEM_WORDS = r"list_filter(string_split_regex(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 

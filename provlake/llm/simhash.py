@@ -59,12 +59,11 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """doc_id, fp (signed 64 bits)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": np.array([fingerprint(t, width) for t in b["text"]], np.int64)})
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, width) for t in texts], dtype="int64")
 
-    src = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return src.mapInPandas(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp long")
+    return docs.select("doc_id", run(F.col("text").cast("string")).alias("fp"))
 
 
 def gray_rank(v: np.ndarray) -> np.ndarray:
@@ -209,3 +208,9 @@ def simhash_components(docs: DataFrame, width: int = 3) -> DataFrame:
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = written(named.join(least, "root").select("fp", "component_id"))
     return marks.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
+    """The rows of docs whose doc_id is the least of its component; all columns as they were.  Rows that share that id stay."""
+    kept = written(simhash_components(docs, width).select(F.col("component_id").alias("_kept")).distinct())
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")

@@ -108,13 +108,13 @@ def _contexts(length: int, core: int):
             left = min(p, side)
             mid = hashlib.blake2b(whole[left : left + core], digest_size=16).digest()
             right = whole[left + core :]
-            rows.append((p, mid, hashlib.blake2b(b"%d " % left + whole, digest_size=16).digest(), whole[:left], right, left, len(right)))
+            ctx = hashlib.blake2b(b"%d " % left + whole, digest_size=16).digest()
+            rows.append({"pos": p, "mid": mid, "ctx": ctx, "before": whole[:left], "after": right, "n_before": left, "n_after": len(right)})
         return rows
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(d, th, *r) for d, th, t, fps in zip(b["doc_id"], b["_th"], b["text"], b["fps"], strict=True) for r in one((t or "").encode("utf-8", "replace"), np.asarray(fps, np.int64))]
-            yield pd.DataFrame(rows, columns=["doc_id", "_th", "pos", "mid", "ctx", "before", "after", "n_before", "n_after"])
+    @F.pandas_udf("array<struct<pos:int,mid:binary,ctx:binary,before:binary,after:binary,n_before:int,n_after:int>>")
+    def run(texts: pd.Series, marks: pd.Series) -> pd.Series:
+        return pd.Series([one((t or "").encode("utf-8", "replace"), np.asarray(m, np.int64)) for t, m in zip(texts, marks, strict=True)])
 
     return run
 
@@ -291,35 +291,28 @@ def _merge(spans: list, n: int) -> list[tuple[int, int]]:
     return [(a, min(b, n)) for a, b in out]
 
 
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        rows = []
-        for t, spans in zip(b["text"], b["ends"], strict=True):
-            data = (t or "").encode("utf-8", "replace")
-            runs = _merge([] if spans is None else [(s["a"], s["b"]) for s in spans], len(data))
-            kept, last = [], 0
-            for x, y in runs:
-                kept.append(data[last:x])
-                last = y
-            rest = b"".join([*kept, data[last:]])
-            rows.append((len(data), sum(y - x for x, y in runs), len(runs), hashlib.sha256(rest).hexdigest(), [f"{x}:{y}" for x, y in runs], rest))
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        yield pd.DataFrame({"doc_id": b["doc_id"], **dict(zip(["n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", "kept"], map(list, cols), strict=True))})
+def _cut(text: str, spans: list | None) -> tuple:
+    data = text.encode("utf-8", "replace")
+    runs = _merge([] if spans is None else [(s["a"], s["b"]) for s in spans], len(data))
+    kept, last = [], 0
+    for x, y in runs:
+        kept.append(data[last:x])
+        last = y
+    rest = b"".join([*kept, data[last:]])
+    return len(data), sum(y - x for x, y in runs), len(runs), hashlib.sha256(rest).hexdigest(), [f"{x}:{y}" for x, y in runs], rest
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFrame:
     """(doc_id, _th, ends): for each document that has any, the covered ranges (a, b), at most one for each start."""
     side = length - core
     src = keyed(docs)
-    kind = src.schema["doc_id"].dataType.simpleString()
     with_id = src.select(F.xxhash64("doc_id", "_th").alias("rid"), "text")
     marks = with_id.mapInPandas(_hashes(length, core), "rid long, fp long, n int")
     twice = written(marks.groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp"))
     # a rid that two documents share only adds hashes to try
     tried = marks.select("rid", "fp").join(twice, "fp", "left_semi").groupBy("rid").agg(F.collect_set("fp").alias("fps"))
     found = src.withColumn("rid", F.xxhash64("doc_id", "_th")).join(tried, "rid").select("doc_id", "_th", "text", "fps")
-    schema = f"doc_id {kind}, _th long, pos int, mid binary, ctx binary, before binary, after binary, n_before int, n_after int"
-    ctx = written(found.mapInPandas(_contexts(length, core), schema))
+    ctx = written(found.select("doc_id", "_th", F.explode(_contexts(length, core)("text", "fps")).alias("c")).select("doc_id", "_th", "c.*"))
 
     by_mid = ctx.groupBy("mid").agg(F.count("*").alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).where("n > 1")
     by_mid = written(by_mid.select("mid", (F.col("lo") != F.col("hi")).alias("mixed")))
@@ -349,7 +342,12 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE) ->
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFrame:
     """One row per document: n_bytes, n_removed, n_spans, kept_sha256, the removed ranges and the bytes kept."""
-    src = keyed(docs)
-    both = join_key(src, written(repeated_ranges(docs, length, core)))
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return both.select("doc_id", "text", "ends").mapInPandas(_cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<string>, kept binary")
+    both = join_key(keyed(docs), written(repeated_ranges(docs, length, core)))
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", "kept"]
+
+    @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<string>, kept binary")
+    def run(texts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+        rows = [_cut(t or "", e) for t, e in zip(texts, ends, strict=True)]
+        return pd.DataFrame({n: [r[i] for r in rows] for i, n in enumerate(names)})
+
+    return both.select("doc_id", run("text", "ends").alias("_r")).select("doc_id", "_r.*")
