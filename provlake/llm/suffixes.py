@@ -32,7 +32,8 @@ from provlake.llm.common import join_key, keyed, sorted_groups, written
 
 LENGTH = 400
 CORE = 300
-HOT = 2000
+#: A construction keeps about 600 bytes for each context.
+HOT = 100_000
 #: Contexts that go through one construction together.
 BUCKET = 1000
 #: Rounds after which suffixes that have become mere tails of newer ones leave the files.
@@ -317,7 +318,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE) ->
     by_mid = ctx.groupBy("mid").agg(F.count("*").alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).where("n > 1")
     by_mid = written(by_mid.select("mid", (F.col("lo") != F.col("hi")).alias("mixed")))
     mixed = by_mid.where("mixed").select("mid")
-    several = written(ctx.join(mixed, "mid").groupBy("mid", "ctx").agg(F.count("*").alias("n"), F.first("before").alias("before"), F.first("after").alias("after")))
+    several = written(ctx.join(mixed, "mid").groupBy("ctx").agg(F.first("mid").alias("mid"), F.count("*").alias("n"), F.first("before").alias("before"), F.first("after").alias("after")))
     sizes = written(several.groupBy("mid").agg(F.count("*").alias("k")).where(F.col("k") > HOT).select("mid"))
     usual = several.join(sizes, "mid", "left_anti").select("mid", "ctx", "before", "after")
     ranges = usual.repartition("mid").sortWithinPartitions("mid").mapInPandas(_construct(side), "ctx binary, low int, high int")
