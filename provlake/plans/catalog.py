@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from provlake.plans import discovery, extraction, registry, relations
+
 Query = Callable[[SparkSession, str], DataFrame]
+_ALL = [*relations.QUERIES, *discovery.QUERIES, *extraction.QUERIES, *registry.QUERIES]
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {f.__name__: f for f, _ in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {f.__name__: sql for f, sql in _ALL if sql}
