@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import hashlib
 import json
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,10 +51,6 @@ def canonical_json(value: object) -> str:
 
 def open_content_hash(payload: str | Column) -> Column:
     """The hash of JSON text of any schema; null where it is no JSON object."""
-    import hashlib
-
-    import pandas as pd
-
     def one(text: str | None) -> str | None:
         try:
             value = json.loads(text) if text else None

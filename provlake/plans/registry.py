@@ -125,7 +125,7 @@ def run_snapshot(spark, d):
 
 
 def recent_runs(spark, d):
-    return metadata.recent(table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", _SECONDS).alias("at")), "at", "o_orderkey", 50)
+    return metadata.recent(table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", _SECONDS).alias("placed")), "placed", "o_orderkey", 50)
 
 
 def sensor_new(spark, d):
@@ -213,7 +213,7 @@ QUERIES = [
         UNION ALL SELECT u.root, e.parent, e.child, e.relation, u.depth + 1 FROM up u JOIN e ON e.child = u.ancestor) SELECT DISTINCT root, ancestor, child, relation, depth FROM up"""),
     (lineage_cycle, f"WITH e AS ({_EDGE}) SELECT child AS parent, parent AS child, true AS rejected FROM e UNION ALL SELECT parent, child || 'x', false FROM e"),
     (run_snapshot, "SELECT c_custkey AS o_custkey, CAST(count(o_orderkey) AS INTEGER) AS n, coalesce(string_agg(o_orderstatus, '' ORDER BY o_orderkey), '') AS statuses FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1"),
-    (recent_runs, "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS at FROM orders ORDER BY at DESC, o_orderkey LIMIT 50"),
+    (recent_runs, "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed FROM orders ORDER BY placed DESC, o_orderkey LIMIT 50"),
     (sensor_new, "SELECT batch_id, 'accepted:' || batch_id AS run_key FROM (SELECT user_id AS batch_id FROM events WHERE event_type = 'click' EXCEPT SELECT user_id FROM events WHERE event_type = 'purchase')"),
     (progress_events, r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '(?m)^(The|In|And) ')) AS INTEGER) AS done, CASE WHEN doc_id % 4 <> 0 THEN CAST(least(100, round_even(100 * (doc_id % 300) / 200, 0)) AS INTEGER) END AS percent FROM documents"""),
     (csv_profile, "SELECT user_id, count(*) AS row_count, coalesce(string_agg(DISTINCT event_type, ',' ORDER BY event_type) FILTER (event_id % 3 <> 0), '') AS schema_versions FROM events GROUP BY 1"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql.functions import pandas_udf, udtf
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -124,8 +125,6 @@ def title_of(root: Node) -> str | None:
 
 def page_udf(labels: list[str]):
     """html -> struct(title, value of the labels, text of the body or else of the page)."""
-    import pandas as pd
-
     @pandas_udf("title string, value string, text string")
     def run(pages: pd.Series) -> pd.DataFrame:
         rows = []
