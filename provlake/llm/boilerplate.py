@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provlake.llm.common import written
+from provlake.llm.common import free_name, written
 
 RATIO = 0.08
 MIN_PAGES = 5
@@ -42,14 +42,16 @@ def boilerplate_lines(pages: DataFrame, host: str = "source", ratio: float = RAT
 
 def drop_boilerplate(pages: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """pages with their text cleaned, plus _n_lines and _n_dropped.  Other columns stay as they were."""
+    own = {n: free_name(n, pages.columns) for n in ("_host", "_bad", "_lines", "_kept")}
     bad = written(boilerplate_lines(pages, host, ratio, min_pages))
     few = bad.agg(F.coalesce(F.sum(F.size("_bad")), F.lit(0))).first()[0] <= BROADCAST_LINES
+    bad = bad.select(F.col("_host").alias(own["_host"]), F.col("_bad").alias(own["_bad"]))
     bad = F.broadcast(bad) if few else bad
     key = F.coalesce(F.col(host).cast("string"), F.lit("\u0000"))
-    out = pages.withColumn("_lines", F.split("text", "\n", -1)).join(bad, key == bad["_host"], "left")
-    drop = lambda x: (F.trim(x) != "") & F.array_contains("_bad", _mark(x))
-    kept = F.when(F.col("_bad").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x: ~drop(x)))
-    out = out.withColumn("_kept", kept)
-    text = F.when(F.size("_kept") == F.size("_lines"), F.col("text")).otherwise(F.array_join("_kept", "\n"))
-    n = lambda c: F.greatest(F.size(c), F.lit(0)).cast("long")
-    return out.select(*[text.alias(c) if c == "text" else F.col(c) for c in pages.columns], n("_lines").alias("_n_lines"), (n("_lines") - n("_kept")).alias("_n_dropped"))
+    out = pages.withColumn(own["_lines"], F.split("text", "\n", -1)).join(bad, key == F.col(own["_host"]), "left")
+    drop = lambda x: (F.trim(x) != "") & F.array_contains(own["_bad"], _mark(x))
+    kept = F.when(F.col(own["_bad"]).isNull(), F.col(own["_lines"])).otherwise(F.filter(own["_lines"], lambda x: ~drop(x)))
+    out = out.withColumn(own["_kept"], kept)
+    text = F.when(F.size(own["_kept"]) == F.size(own["_lines"]), F.col("text")).otherwise(F.array_join(own["_kept"], "\n"))
+    n = lambda c: F.greatest(F.size(own[c]), F.lit(0)).cast("long")
+    return out.select(*[text.alias(c) if c == "text" else F.col(c) for c in pages.columns if c not in ("_n_lines", "_n_dropped")], n("_lines").alias("_n_lines"), (n("_lines") - n("_kept")).alias("_n_dropped"))

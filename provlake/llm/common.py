@@ -21,6 +21,13 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("_th"), *more)
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """name, with underscores before it until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """Words of `[^\\x20\\x09-\\x0D]+`; none for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
