@@ -1,13 +1,12 @@
 """Quality rules by repetition coverage: the share of characters inside duplicated word n-grams and lines.
 
+A text is dropped if a share passes its limit, or if repeated symbols outweigh its words.
 Each text is handled whole and alone, so the job is one map over the documents and nothing is shuffled.
 Null or empty text: all counts zero, base_failed true, kept false.  Repeated rows and ties: each row alone.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,6 +16,8 @@ from provlake.llm.common import per_text
 #: n-gram length in words -> largest share of word characters inside n-grams that occur twice or more.
 MAX_COVERAGE = {5: 0.36, 6: 0.34, 7: 0.32, 8: 0.30, 9: 0.28, 10: 0.26}
 MAX_LINE_COVERAGE = 0.30
+#: Symbols for each word: prose has hardly any, while marked-up rows and noise repeat them.
+MAX_SYMBOLS = 0.1
 MIN_WORDS = 20
 WINDOW = 8
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -90,7 +91,7 @@ def repetition(text: str, max_coverage: dict[int, float] = MAX_COVERAGE, max_lin
                 worst, over = max(worst, share), over or share > max_coverage[k]
     line_share = in_lines / max(chars, 1)
     failed = n < MIN_WORDS or 100 * repeat > 30 * n
-    return n, chars, symbols, n_dup, repeat, failed, not (failed or over or line_share > max_lines), worst, line_share
+    return n, chars, symbols, n_dup, repeat, failed, not (failed or over or line_share > max_lines or symbols > MAX_SYMBOLS * n), worst, line_share
 
 
 def repetition_quality(docs: DataFrame, max_coverage: dict[int, float] | None = None, max_lines: float = MAX_LINE_COVERAGE) -> DataFrame:
@@ -98,7 +99,3 @@ def repetition_quality(docs: DataFrame, max_coverage: dict[int, float] | None =
     limits = max_coverage or MAX_COVERAGE
     schema = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, ngram_coverage double, line_coverage double"
     return per_text(docs, lambda t: repetition(t, limits, max_lines), schema)
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()

@@ -120,6 +120,7 @@ def test_repetition(docs):
 def test_repetition_verdict():
     clean = prose(300)
     assert repetition.repetition(clean)[6]
+    assert not repetition.repetition(clean.replace(" ", "### "))[6]
     half = prose(40)
     assert not repetition.repetition(clean + " " + " ".join([half] * 4))[6]
     line = prose(6)
