@@ -1,4 +1,4 @@
-"""Lineage: ancestors and cycles over an edge table, by joins that are written each step."""
+"""Lineage: ancestors and cycles over an edge table, as recursive queries."""
 
 from __future__ import annotations
 
@@ -13,14 +13,18 @@ def ancestors(spark: SparkSession, edges: DataFrame, start: DataFrame, max_depth
 
     A recursive query: an artifact that is reached at two depths has two rows.
     """
-    edges.createOrReplaceTempView("_lineage_edges")
-    start.createOrReplaceTempView("_lineage_start")
-    return spark.sql(f"""
-        WITH RECURSIVE up(root, ancestor, child, relation, depth) MAX RECURSION LEVEL {max_depth} AS (
-            SELECT s.root, e.parent, e.child, e.relation, 1 FROM _lineage_start s JOIN _lineage_edges e ON e.child = s.root
+    return spark.sql(
+        """
+        WITH RECURSIVE up(root, ancestor, child, relation, depth) MAX RECURSION LEVEL {level} AS (
+            SELECT s.root, e.parent, e.child, e.relation, 1 FROM {start} s JOIN {edges} e ON e.child = s.root
             UNION ALL
-            SELECT u.root, e.parent, e.child, e.relation, u.depth + 1 FROM up u JOIN _lineage_edges e ON e.child = u.ancestor WHERE u.depth < {max_depth - 1})
-        SELECT DISTINCT root, ancestor, child, relation, depth FROM up""")
+            SELECT u.root, e.parent, e.child, e.relation, u.depth + 1 FROM up u JOIN {edges} e ON e.child = u.ancestor WHERE u.depth < {last})
+        SELECT DISTINCT root, ancestor, child, relation, depth FROM up""",
+        edges=edges,
+        start=start,
+        level=max_depth,
+        last=max_depth - 1,
+    )
 
 
 def would_cycle(spark: SparkSession, edges: DataFrame, proposed: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
