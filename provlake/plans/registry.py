@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from provlake.functions import hashing, text
-from provlake.operators import contracts, intake, lineage, metadata, publish, summaries
+from provlake.operators import bundles, contracts, emission, intake, lineage, metadata, publish, summaries
 from provlake.operators.contracts import Contract, Rule
 from provlake.plans.discovery import table
 from provlake.plans.extraction import _values
@@ -176,6 +176,30 @@ def gold_publish(spark, d):
     return publish.publish(p, ["external_product_id", "product_name", "review_status"], "v1")
 
 
+def validate_batches(spark, d):
+    """Suppliers as batches, their parts' lines as files."""
+    s = table(spark, d, "supplier").select(F.concat_ws("-", F.lit("b"), F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 3 == 0, "bo").otherwise("ann")).alias("batch_id"), "s_suppkey")
+    batches = s.select("batch_id", F.lit("ann").alias("member"))
+    names = F.explode(F.array(*map(F.lit, intake.REQUIRED_FILES)))
+    files = s.select("batch_id", "s_suppkey", names.alias("name")).where((F.col("s_suppkey") % 7 != 0) | (F.col("name") != "products.csv")).select("batch_id", "name", F.sha2("name", 256).alias("sha256"))
+    issues = s.where("s_suppkey % 5 = 0").select("batch_id")
+    accepted = s.where("s_suppkey % 4 = 0").select("batch_id", F.lit("other").alias("bundle_checksum"))
+    return bundles.validate_batches(batches, files, issues, accepted).drop("bundle_checksum")
+
+
+def emission_outcomes(spark, d):
+    e = table(spark, d, "events")
+    rows = e.select(
+        F.lit("b").alias("batch_id"), F.col("event_id").alias("position"), F.lit("S").alias("site"), F.col("user_id").cast("string").alias("pid"),
+        F.when(F.col("event_id") % 4 != 0, "i.jpg").alias("image_path"), F.sha2((F.col("event_id") % 3).cast("string"), 256).alias("digest"),
+        F.when(F.col("event_id") % 5 < 3, "유통기한 3일").otherwise("none").alias("gate_text"), F.when(F.col("event_id") % 7 != 0, "유통기한 3일").alias("ocr_text"),
+        F.when(F.col("event_id") % 2 == 0, "3일").alias("expiration_dom"), F.lit(None).cast("string").alias("storage_dom"),
+    )
+    known = e.where("user_id % 9 = 0").select(F.concat(F.lit("S:"), F.col("user_id").cast("string"), F.lit(":"), F.sha2(F.lit("1"), 256)).alias("key")).distinct()
+    known = known.unionAll(e.where("user_id % 11 = 0").select(F.concat(F.lit("S:"), F.col("user_id").cast("string")).alias("key")).distinct())
+    return emission.emit(rows, known).select("position", "outcome")
+
+
 _EDGE = "SELECT conv_id || '-' || (turn - 1) AS parent, conv_id || '-' || turn AS child, role AS relation FROM conversations WHERE turn > 0"
 _STATE = "['PENDING', 'RUNNING', 'SUCCEEDED', 'FAILED', 'RUNNING'][event_id % 5 + 1]"
 _H = "sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('run:' || n_name || ':' || n_regionkey))"
@@ -227,5 +251,14 @@ QUERIES = [
     (quality_pass_rate, f"""WITH f AS ({_FLAT}) SELECT rule, count(*) AS checked, count(*) FILTER (NOT ok) AS failed, round(avg(CAST(ok AS INTEGER)), 6) AS pass_rate,
         array_to_string(list_sort(list(k ORDER BY k) FILTER (NOT ok))[1:5], ',') AS sample FROM f GROUP BY 1"""),
     (quarantine_split, "SELECT CASE WHEN reason IS NULL THEN 'ACCEPTED' ELSE 'QUARANTINED' END AS outcome, reason, count(*) AS n FROM (SELECT CASE WHEN NOT l_quantity <= 45 THEN 'quantity' WHEN NOT l_discount < 0.09 THEN 'discount' WHEN NOT l_tax > 0 THEN 'tax' END AS reason FROM lineitem) GROUP BY 1, 2"),
+    (validate_batches, """WITH s AS (SELECT s_suppkey AS k, 'b-' || s_suppkey || CASE WHEN s_suppkey % 3 = 0 THEN '-bo' ELSE '-ann' END AS batch_id FROM supplier)
+        SELECT batch_id, 'ann' AS member, CASE WHEN k % 3 = 0 THEN 'BATCH_MEMBER_MISMATCH' END AS identity_error, CASE WHEN k % 7 = 0 THEN 'products.csv' ELSE '' END AS missing, CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS n_issues,
+        CASE WHEN k % 3 = 0 OR k % 7 = 0 OR k % 5 = 0 THEN 'REJECTED' WHEN k % 4 = 0 THEN 'CONFLICT' ELSE 'ACCEPTED' END AS decision FROM s"""),
+    (emission_outcomes, """WITH r AS (SELECT event_id AS p, user_id AS u, event_id % 4 <> 0 AS img, event_id % 3 AS c, event_id % 5 < 3 AS gate, event_id % 7 <> 0 AS ocr, event_id % 2 = 0 AS dom FROM events),
+        f AS (SELECT *, img AND u % 9 = 0 AND c = 1 AS old, img AND gate AND NOT ocr AS failed FROM r),
+        g AS (SELECT *, img AND NOT old AND coalesce(sum(CASE WHEN img AND NOT old AND NOT failed THEN 1 ELSE 0 END) OVER (PARTITION BY u, c ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 AS first FROM f),
+        h AS (SELECT *, NOT img OR (first AND NOT gate AND dom) AS page FROM g),
+        k AS (SELECT *, page AND u % 11 <> 0 AND coalesce(sum(CASE WHEN page THEN 1 ELSE 0 END) OVER (PARTITION BY u ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 AS page_ok FROM h)
+        SELECT p AS position, CASE WHEN first AND failed THEN 'FAILED' WHEN first AND gate THEN 'IMAGE' WHEN page_ok THEN 'DOM_ONLY' WHEN first THEN 'RAW_ONLY' ELSE 'SKIPPED' END AS outcome FROM k"""),
     (gold_publish, "SELECT 'v1' AS dataset_version, p_partkey AS external_product_id, p_name AS product_name, 'AUTO_APPROVED' AS review_status FROM part WHERE p_size > 25"),
 ]

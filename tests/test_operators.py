@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from provlake.operators import contracts, dedupe, images, intake, lineage, metadata, publish, summaries
+from provlake.operators import bundles, contracts, dedupe, emission, images, intake, lineage, metadata, publish, summaries
 from provlake.sources import html, readers
 from provlake.streaming.sensor import register_accepted
 
@@ -155,3 +155,48 @@ def test_stream_registers_once(spark, tmp_path):
     register_accepted(spark, str(root), ck, register)
     register_accepted(spark, str(root), ck, register)
     assert seen == ["accepted:b1", "accepted:b2"]
+
+
+def test_blocks_and_confidence(spark):
+    d = spark.createDataFrame([(["a", " ", "b"], [0.5, None], [[[0.0, 1.0]]]), ([], [], [])], "t array<string>, s array<double>, p array<array<array<double>>>")
+    got = d.select(emission.blocks("t", "s", "p").alias("b")).select("b", emission.joined_text("b"), emission.mean_confidence("b")).collect()
+    assert [tuple(b) for b in got[0].b] == [("a", 0.5, [[0.0, 1.0]]), (" ", None, None), ("b", None, None)]
+    assert tuple(got[0])[1:] == ("a\nb", 0.5) and tuple(got[1])[1:] == (None, None)
+
+
+def test_manifest_rows(spark):
+    schema = "pid string, name string, downloaded_images array<struct<local_path:string,source_url:string>>"
+    d = spark.createDataFrame([("1", None, [("p1", "u1"), ("p2", None)]), ("2", "x", [])], schema)
+    assert rows(emission.manifest_rows(d)) == [("1", "", "p1", "u1"), ("1", "", "p2", ""), ("2", "x", "", "")]
+
+
+def test_emission_and_merge(spark):
+    text = "유통기한 3일\n보관방법 냉장"
+    data = [
+        ("b", 0, "S", "1", "a.jpg", "h1", text, None, None, None),
+        ("b", 1, "S", "1", "a.jpg", "h1", text, text, None, None),
+        ("b", 2, "S", "1", "b.jpg", "h1", text, text, None, None),
+        ("b", 3, "S", "1", "c.jpg", "h2", "none", None, "5일", None),
+        ("b", 4, "S", "1", None, None, None, None, "5일", None),
+        ("b", 5, "S", "2", "d.jpg", "h3", "none", None, None, None),
+        ("b", 6, "S", "3", "e.jpg", "h4", text, text, None, None),
+    ]
+    schema = "batch_id string, position int, site string, pid string, image_path string, digest string, gate_text string, ocr_text string, expiration_dom string, storage_dom string"
+    out = emission.emit(spark.createDataFrame(data, schema), spark.createDataFrame([("S:3:h4",)], "key string"))
+    assert [r.outcome for r in out.orderBy("position").collect()] == ["FAILED", "IMAGE", "SKIPPED", "DOM_ONLY", "SKIPPED", "RAW_ONLY", "SKIPPED"]
+    got = {r.position: r for r in emission.merged_products(out).collect()}
+    assert set(got) == {1, 3} and (got[1].expiration_raw, got[1].expiration_source, got[1].storage_type) == ("3일", "OCR", "REFRIGERATED")
+    assert (got[3].expiration_raw, got[3].expiration_source, got[3].validation_status) == ("5일", "DOM", "MATCHED")
+
+
+def test_bundles(spark, tmp_path):
+    f = tmp_path / "accepted" / "20260801-ann-001"
+    f.mkdir(parents=True)
+    (f / "manifest.json").write_text("{}")
+    (f / "products.csv").write_text("a\n1\n")
+    (f / "other.txt").write_text("x")
+    files = bundles.bundle_files(spark, f"{tmp_path}/accepted/*/*")
+    a = bundles.artifact_records(files).cache()
+    assert {(r.logical_name, r.format) for r in a.collect()} == {("manifest", "JSON"), ("products", "CSV")}
+    assert a.select("run_id").distinct().count() == 1 and bundles.bundled_in(a).count() == 1
+    assert rows(bundles.artifact_records(files)) == rows(a)
