@@ -12,8 +12,9 @@
    neighbouring suffixes have 101 symbols in common across the 300-byte symbol.
 4. The covered ranges of each document are merged and cut out.
 
-A 300-byte string with more than HOT distinct contexts is not gathered in a task: its 101 windows are
-counted by hash instead, which is exact too and pre-aggregates.  Matches never cross documents.
+A 300-byte string with more than HOT distinct contexts is not gathered in a task: its windows are halved by their
+place, each half is keyed by the bytes that its windows have in common, and equal remainders fall together,
+until no key has more.  Matches never cross documents.
 Null text: empty.  Texts under 400 bytes: kept whole.  Repeated rows count as different documents.
 """
 
@@ -32,8 +33,8 @@ from provlake.llm.common import join_key, keyed, sorted_groups, written
 
 LENGTH = 400
 CORE = 300
-#: A construction keeps about 600 bytes for each context.
-HOT = 100_000
+#: Contexts of one key that a construction takes at most.
+HOT = 2000
 #: Contexts that go through one construction together.
 BUCKET = 1000
 #: Rounds after which suffixes that have become mere tails of newer ones leave the files.
@@ -256,30 +257,73 @@ def shared_windows(mids: list, lefts: list[bytes], rights: list[bytes], side: in
     return low, high
 
 
-def _construct(side: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def flush(parts: list[pd.DataFrame]) -> pd.DataFrame:
-            b = pd.concat(parts, ignore_index=True)
-            low, high = shared_windows(list(b["mid"]), list(b["before"]), list(b["after"]), side)
-            hit = low >= 0
-            return pd.DataFrame({"ctx": b["ctx"][hit], "low": low[hit].astype(np.int32), "high": high[hit].astype(np.int32)})
-
-        held: list[pd.DataFrame] = []
-        for chunk in sorted_groups(batches, ["mid"]):
-            mid = chunk["mid"].to_numpy()
-            edges = np.concatenate((np.flatnonzero(mid[1:] != mid[:-1]) + 1, [len(mid)]))
-            start = 0
-            for e in edges:
-                if e - start + sum(map(len, held)) >= BUCKET or e == len(mid):
-                    held.append(chunk.iloc[start:e])
-                    start = e
-                    if sum(map(len, held)) >= BUCKET:
-                        yield flush(held)
-                        held = []
-        if held:
-            yield flush(held)
-
-    return run
+def _construct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (key, rel, before, after, l, h) sorted by key -> (rel, low, high)."""
+
+    def flush(parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(parts, ignore_index=True)
+        for width, b in rows.groupby(rows["h"] - rows["l"]):
+            low, high = shared_windows(list(b["key"]), list(b["before"]), list(b["after"]), int(width))
+            hit, start = low >= 0, b["l"].to_numpy()
+            yield pd.DataFrame({"rel": b["rel"][hit], "low": (low + start)[hit].astype(np.int32), "high": (high + start)[hit].astype(np.int32)})
+
+    held: list[pd.DataFrame] = []
+    for chunk in sorted_groups(batches, ["key"]):
+        key = chunk["key"].to_numpy()
+        edges = np.concatenate((np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
+        start = 0
+        for e in edges:
+            if e - start + sum(map(len, held)) >= BUCKET or e == len(key):
+                held.append(chunk.iloc[start:e])
+                start = e
+                if sum(map(len, held)) >= BUCKET:
+                    yield from flush(held)
+                    held = []
+    if held:
+        yield from flush(held)
+
+
+def _halves(rows: DataFrame, side: int) -> DataFrame:
+    """Each row's windows [l, h] in two halves; key: the bytes that all windows of a half hold, rel: all that any of them holds."""
+    mid = ((F.col("l") + F.col("h")) / 2).cast("int")
+    two = F.explode(F.array(F.struct(F.col("l").alias("x"), mid.alias("y")), F.struct((mid + 1).alias("x"), F.col("h").alias("y")))).alias("r")
+    r = rows.select("ctx", "mid", "whole_before", "whole_after", two).select("*", F.col("r.x").alias("l"), F.col("r.y").alias("h")).drop("r").where(F.col("l") <= F.col("h"))
+    nb, na = F.length("whole_before"), F.length("whole_after")
+    r = r.where((nb >= F.col("l")) & (na >= side - F.col("h")))
+    left, right = F.least(F.col("h"), nb), F.least(side - F.col("l"), na)
+    place = F.encode(F.concat_ws(":", F.lit(""), "l", "h", F.lit("")), "UTF-8")
+    key = F.md5(F.concat("mid", place, F.substring("whole_before", nb - F.col("l") + 1, F.col("l")), F.substring("whole_after", F.lit(1), side - F.col("h"))))
+    extra = [F.substring("whole_before", nb - left + 1, left - F.col("l")), F.substring("whole_after", side - F.col("h") + 1, right - side + F.col("h"))]
+    r = r.withColumn("key", F.unhex(key)).withColumn("before", extra[0]).withColumn("after", extra[1])
+    sizes = F.encode(F.concat_ws(":", F.lit(""), F.length("before"), F.lit("")), "UTF-8")
+    return r.withColumn("rel", F.unhex(F.md5(F.concat("key", sizes, "before", "after"))))
+
+
+def covered(several: DataFrame, side: int) -> DataFrame:
+    """(ctx, low, high) of contexts (mid, ctx, n, before, after) that share a window with another or are found twice.
+
+    Contexts with the same key go through one construction.  A key with more than HOT of them is halved: windows with few bytes
+    before mid and windows with many are keyed by the bytes that all of each half hold; equal remainders fall together.  A half
+    of one window has one remainder, so at most log2(side) rounds follow, and a context gives two rows in each.
+    """
+    rows = several.select("ctx", "mid", F.col("before").alias("whole_before"), F.col("after").alias("whole_after"), F.col("mid").alias("key"), F.col("ctx").alias("rel"), "before", "after", F.lit(0).alias("l"), F.lit(side).alias("h"), "n")
+    out = None
+    while True:
+        first = out is None
+        distinct = rows if first else rows.groupBy("rel").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("key", "before", "after", "l", "h")])
+        counts = written(distinct.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"))
+        usual = distinct.join(counts.where(F.col("k") <= HOT), "key", "left_semi").select("key", "rel", "before", "after", "l", "h")
+        ranges = usual.repartition("key").sortWithinPartitions("key").mapInPandas(_construct, "rel binary, low int, high int")
+        # what is found twice is covered as far as it reaches
+        reach = [F.greatest(F.col("l"), F.col("h") - F.length("after")), F.least(F.col("h"), F.col("l") + F.length("before"))]
+        again = distinct.where("n > 1").select("rel", reach[0].cast("int").alias("low"), reach[1].cast("int").alias("high")).where("low <= high")
+        got = written(ranges.unionAll(again).groupBy("rel").agg(F.min("low").alias("low"), F.max("high").alias("high")))
+        here = got.withColumnRenamed("rel", "ctx") if first else written(rows.select("ctx", "rel").join(got, "rel").select("ctx", "low", "high"))
+        out = here if first else out.unionAll(here)
+        hot = written(counts.where(F.col("k") > HOT).select("key"))
+        if hot.isEmpty():
+            return out
+        rows = written(_halves(rows.join(hot, "key", "left_semi"), side))
 
 
 def _merge(spans: list, n: int) -> list[tuple[int, int]]:
@@ -319,18 +363,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE) ->
     by_mid = written(by_mid.select("mid", (F.col("lo") != F.col("hi")).alias("mixed")))
     mixed = by_mid.where("mixed").select("mid")
     several = written(ctx.join(mixed, "mid").groupBy("ctx").agg(F.first("mid").alias("mid"), F.count("*").alias("n"), F.first("before").alias("before"), F.first("after").alias("after")))
-    sizes = written(several.groupBy("mid").agg(F.count("*").alias("k")).where(F.col("k") > HOT).select("mid"))
-    usual = several.join(sizes, "mid", "left_anti").select("mid", "ctx", "before", "after")
-    ranges = usual.repartition("mid").sortWithinPartitions("mid").mapInPandas(_construct(side), "ctx binary, low int, high int")
-    hot = several.join(sizes, "mid", "left_semi").withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(side))))
-    hot = hot.where((F.length("before") >= F.col("o")) & (F.length("after") >= side - F.col("o")))
-    hot = hot.withColumn("w", F.md5(F.concat("mid", F.substring("before", F.length("before") - F.col("o") + 1, F.col("o")), F.encode(F.concat(F.lit("/"), "o"), "utf-8"), F.substring("after", F.lit(1), side - F.col("o")))))
-    shared = written(hot.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w"))
-    hot = hot.join(shared, "w", "left_semi").groupBy("ctx").agg(F.min("o").cast("int").alias("low"), F.max("o").cast("int").alias("high"))
-    # a context that is found twice is covered as far as it reaches
-    reach = [F.greatest(F.lit(0), side - F.length("after")), F.least(F.lit(side), F.length("before"))]
-    again = several.where("n > 1").select("ctx", reach[0].cast("int").alias("low"), reach[1].cast("int").alias("high")).where("low <= high")
-    differing = written(ranges.unionAll(hot).unionAll(again).groupBy("ctx").agg(F.min("low").alias("low"), F.max("high").alias("high")))
+    differing = written(covered(several, side).groupBy("ctx").agg(F.min("low").alias("low"), F.max("high").alias("high")))
 
     at = ctx.select("doc_id", "_th", "pos", "mid", "ctx", "n_before", "n_after")
     a = at.join(differing, "ctx").select("doc_id", "_th", "pos", "low", "high")
