@@ -7,11 +7,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from provlake.llm import boilerplate, bpe, chains, decontamination, language, personal, repetition, secrets, simhash, suffixes
+from provlake.llm.common import sorted_groups
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
 rnd = random.Random(7)
@@ -335,6 +337,17 @@ def test_index_links():
     assert {tuple(sorted(x)) for x in zip(a.tolist(), b.tolist(), strict=True)} == want
 
 
+def test_sorted_groups_are_cut_between_groups():
+    r = random.Random(4)
+    for _ in range(200):
+        keys = sorted(r.randrange(5) for _ in range(r.randrange(0, 30)))
+        frame, cuts = pd.DataFrame({"k": keys, "i": range(len(keys))}), sorted(r.randrange(31) for _ in range(4))
+        chunks = list(sorted_groups(iter([frame.iloc[a:b] for a, b in zip([0, *cuts], [*cuts, 31], strict=True)]), ["k"]))
+        assert [i for c in chunks for i in c["i"]] == list(range(len(keys)))
+        seen = [k for c in chunks for k in set(c["k"])]
+        assert len(seen) == len(set(seen))
+
+
 def edited(words, r, rate):
     return [r.choice(VOCAB) if r.random() < rate else w for w in words]
 
