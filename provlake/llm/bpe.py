@@ -26,7 +26,9 @@ from tokenizers import Tokenizer
 from provlake.llm.common import per_text
 from provlake.llm.secrets import vocabulary_path
 
-CACHED_WORDS = 200_000
+#: Bounds on what a worker remembers; it forgets all and starts anew beyond them.
+CACHED_WORDS = 100_000
+CACHED_CELLS = 300_000
 _BLANK = r"\p{White_Space}"
 
 
@@ -55,7 +57,7 @@ class MergeAutomaton:
         self.longest = max(len(t) for t in self.ids)
         self.plain = {t: i for t, i in self.ids.items() if not (self.end and t.endswith(self.end))}
         self.final = {t[: len(t) - len(self.end)]: i for t, i in self.ids.items() if t.endswith(self.end)} if self.end else self.plain
-        self.open: dict[tuple[int, int], bool] = {}
+        self.open: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = ({}, {})
         added = "|".join(regex.escape(a) for a in self.added)
         self.special = regex.compile(f"({added})") if added else None
@@ -81,7 +83,8 @@ class MergeAutomaton:
 
     def opens(self, a: int, b: int) -> bool:
         """Whether arc b may follow arc a once all gadgets are in.  Equal ranks: the left pair merges first."""
-        if (got := self.open.get((a, b))) is None:
+        cell = a << 32 | b
+        if (got := self.open.get(cell)) is None:
             merge = self.merge
             got = True
             for u, gone in self._edge(a, 1):
@@ -92,9 +95,9 @@ class MergeAutomaton:
                         break
                 if not got:
                     break
-            if len(self.open) > 2_000_000:
+            if len(self.open) >= CACHED_CELLS:
                 self.open.clear()
-            self.open[a, b] = got
+            self.open[cell] = got
         return got
 
     def walk(self, s: str) -> list[int]:

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,16 +68,25 @@ def join_key(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r{k}" for k in KEY])
 
 
-def per_text(docs: DataFrame, f: Callable[[str], tuple], schema: str) -> DataFrame:
-    """doc_id and f(text) of every row, in Arrow batches; null counts as the empty text.  Ids stay in the JVM."""
-    names = [c.split()[0] for c in schema.split(", ")]
+#: Rows that a text kernel holds as Python objects at a time, whatever the size of Arrow's batches.
+SLICE = 256
+_ARROW = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
 
-    @F.pandas_udf(schema)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        rows = [f(t or "") for t in texts]
-        return pd.DataFrame({n: [r[i] for r in rows] for i, n in enumerate(names)})
 
-    return docs.select("doc_id", run(F.col("text").cast("string")).alias("_r")).select("doc_id", "_r.*")
+def per_text(docs: DataFrame, f: Callable[[str], tuple], schema: str) -> DataFrame:
+    """doc_id and f(text) of every row, in slices of Arrow batches; null counts as the empty text.  Ids pass as they are."""
+    names, types = zip(*[c.split(" ", 1) for c in schema.split(", ")], strict=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, SLICE):
+                part = b.slice(i, SLICE)
+                cols = list(zip(*[f(t or "") for t in part.column(1).to_pylist()], strict=True))
+                made = [pa.array(c, _ARROW[t]) for c, t in zip(cols, types, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *made], names=["doc_id", *names])
+
+    src = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, {schema}")
 
 
 def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
