@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 from provlake.llm.common import per_text
 from provlake.llm.secrets import vocabulary_path
 
-#: Bounds on what a worker remembers; it forgets all and starts anew beyond them.
+#: Bounds on what a worker remembers: the first words and cells it meets, frequent ones among them.  Others are worked out each time.
 CACHED_WORDS = 100_000
 CACHED_CELLS = 300_000
 _BLANK = r"\p{White_Space}"
@@ -68,6 +68,11 @@ class MergeAutomaton:
         self.library = Tokenizer.from_str(json.dumps(spec))
         self.symbols = _byte_symbols()
         self.words: dict[str, tuple[str, str]] = {}
+        # arcs that the gadgets never build from base symbols are no arcs
+        self.made: dict[int, bool] = {}
+        self.plain = {t: i for t, i in self.plain.items() if self._reaches(i)}
+        self.final = {t: i for t, i in self.final.items() if self._reaches(i)}
+        self.made.clear()
 
     def _edge(self, arc: int, side: int) -> list[tuple[int, float]]:
         """Arcs on the right (side 1) or left (0) edge of arc, each with the rank of the gadget that absorbs it."""
@@ -95,23 +100,33 @@ class MergeAutomaton:
                         break
                 if not got:
                     break
-            if len(self.open) >= CACHED_CELLS:
-                self.open.clear()
-            self.open[cell] = got
+            if len(self.open) < CACHED_CELLS:
+                self.open[cell] = got
         return got
 
     def walk(self, s: str) -> list[int]:
-        """The arcs of one pre-split word, given as symbols of its bytes."""
+        """The arcs of one pre-split word, given as symbols of its bytes.  One arc at most can end at each place."""
         n = len(s)
-        last: list[int] = [-1] * (n + 1)
-        back = [0] * (n + 1)
+        if (whole := self.final.get(s)) is not None:
+            return [whole]
+        get, memo, longest = self.plain.get, self.open, self.longest
+        last, back = [-1] * (n + 1), [0] * (n + 1)
         for i in range(1, n + 1):
-            table = self.final if i == n else self.plain
-            for j in range(max(0, i - self.longest), i):  # longest first
-                arc = table.get(s[j:i])
-                if arc is not None and (j == 0 or (last[j] >= 0 and self.opens(last[j], arc))) and self._reaches(arc):
-                    last[i], back[i] = arc, j
-                    break
+            if i == n:
+                get = self.final.get
+            for j in range(i - longest if i > longest else 0, i):  # longest first
+                arc = get(s[j:i])
+                if arc is None:
+                    continue
+                if j:
+                    before = last[j]
+                    if before < 0:
+                        continue
+                    ok = memo.get(before << 32 | arc)
+                    if not (self.opens(before, arc) if ok is None else ok):
+                        continue
+                last[i], back[i] = arc, j
+                break
         if n and last[n] < 0:
             raise ValueError(f"no path for {s!r}")
         out, i = [], n
@@ -122,7 +137,7 @@ class MergeAutomaton:
 
     def _reaches(self, arc: int) -> bool:
         """Whether gadgets build the arc from base symbols: the two parts must be open to that very gadget only."""
-        if (got := self._made.get(arc)) is None:
+        if (got := self.made.get(arc)) is None:
             if arc not in self.parts:
                 got = True
             else:
@@ -134,18 +149,14 @@ class MergeAutomaton:
                             r = self.merge.get((a, b))
                             if r is not None and r < rank and r < gone and r <= lost:
                                 got = False
-            self._made[arc] = got
+            self.made[arc] = got
         return got
 
-    @property
-    def _made(self) -> dict[int, bool]:
-        return self.__dict__.setdefault("_made_arcs", {})
-
     def _word(self, word: str, symbols: str | None = None) -> tuple[str, str]:
-        if len(self.words) >= CACHED_WORDS:
-            self.words.clear()
         arcs = self.walk(symbols or "".join(map(self.symbols.__getitem__, word.encode("utf-8", "replace"))))
-        got = self.words[word] = (" ".join(map(str, arcs)), " ".join(map(self.label.__getitem__, arcs)))
+        got = (" ".join(map(str, arcs)), " ".join(map(self.label.__getitem__, arcs)))
+        if len(self.words) < CACHED_WORDS:
+            self.words[word] = got
         return got
 
     def _run(self, text: str, ids: list[str], labels: list[str]) -> None:
