@@ -68,6 +68,18 @@ def join_key(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r{k}" for k in KEY])
 
 
+#: Rows of an Arrow batch: texts can be long, and Spark's usual 10,000 of them fill a worker's memory.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df; its session sends Python workers at most BATCH_ROWS rows at a time from now on."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
+
 #: Rows that a text kernel holds as Python objects at a time, whatever the size of Arrow's batches.
 SLICE = 256
 _ARROW = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
@@ -85,7 +97,7 @@ def per_text(docs: DataFrame, f: Callable[[str], tuple], schema: str) -> DataFra
                 made = [pa.array(c, _ARROW[t]) for c, t in zip(cols, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *made], names=["doc_id", *names])
 
-    src = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    src = small_batches(docs).select("doc_id", F.col("text").cast("string").alias("text"))
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, {schema}")
 
 

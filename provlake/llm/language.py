@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from provlake.llm.common import small_batches
+
 PIECE = 2048
 SAMPLE_BYTES = 128 * 1024
 SAMPLE_ROWS = 400
@@ -88,7 +90,7 @@ def identify_language(docs: DataFrame, content: dict[str, bytes] | None = None,
     """One row per document: doc_id, held_out, lang_pred, score, accepted."""
     content = learn(learn_from if learn_from is not None else docs) if content is None else content
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
-    return docs.select("doc_id", held_out.alias("held_out"), predictor(content, margin)(F.col("text").cast("string")).alias("_r")).select("doc_id", "held_out", "_r.*")
+    return small_batches(docs).select("doc_id", held_out.alias("held_out"), predictor(content, margin)(F.col("text").cast("string")).alias("_r")).select("doc_id", "held_out", "_r.*")
 
 
 def predictor(content: dict[str, bytes], margin: float = MARGIN):
@@ -106,4 +108,4 @@ def predictor(content: dict[str, bytes], margin: float = MARGIN):
 
 def keep_identified(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     """The rows of docs whose language is told with margin; all columns as they were."""
-    return docs.where(predictor(learn(docs), margin)(F.col("text").cast("string"))["accepted"])
+    return small_batches(docs).where(predictor(learn(docs), margin)(F.col("text").cast("string"))["accepted"])

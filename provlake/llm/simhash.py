@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provlake.llm.common import written
+from provlake.llm.common import small_batches, written
 
 BITS = 2
 SEED = 42
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, width) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", run(F.col("text").cast("string")).alias("fp"))
+    return small_batches(docs).select("doc_id", run(F.col("text").cast("string")).alias("fp"))
 
 
 def gray_rank(v: np.ndarray) -> np.ndarray:

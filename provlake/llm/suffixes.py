@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provlake.llm.common import join_key, keyed, sorted_groups, written
+from provlake.llm.common import join_key, keyed, small_batches, sorted_groups, written
 
 LENGTH = 400
 CORE = 300
@@ -350,7 +350,7 @@ def _cut(text: str, spans: list | None) -> tuple:
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFrame:
     """(doc_id, _th, ends): for each document that has any, the covered ranges (a, b), at most one for each start."""
     side = length - core
-    src = keyed(docs)
+    src = keyed(small_batches(docs))
     with_id = src.select(F.xxhash64("doc_id", "_th").alias("rid"), "text")
     marks = with_id.mapInPandas(_hashes(length, core), "rid long, fp long, n int")
     twice = written(marks.groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp"))
