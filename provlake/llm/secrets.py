@@ -2,7 +2,7 @@
 
 Text that people write packs several characters into each token of a BPE vocabulary; random strings
 do not.  Long unbroken strings of letters and digits with few characters per token are reported,
-unless they have the form of a known digest or of an identifier.  One map over whole texts, no shuffle.
+unless they have the form of a known digest or consist of vocabulary words and numbers.  One map over whole texts, no shuffle.
 Null text: empty.  Repeated rows: each row alone.  Spans are code points, end exclusive.
 """
 
@@ -27,8 +27,9 @@ _LONG = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGESTS = {32, 40, 56, 64, 96, 128}
 _HEXES = re.compile(r"[0-9a-fA-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-#: Words in one case style with digits only at the end of a word, or numbers with separators.
-_IDENTIFIER = re.compile(r"([A-Za-z][a-z]+|[A-Z]+)([_/-]?([A-Z]?[a-z]+|[A-Z]+|[0-9]+))*|[0-9_/=+-]+")
+#: Words in one case style, numbers, and what separates them: no two alternatives begin with the same character.
+_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+|[^A-Za-z0-9]+")
+LEAST_WORD = 3
 MAX_RATIO = 2.1
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -48,10 +49,10 @@ def _encoding(path: str):
     return tiktoken.Encoding("provlake", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _short_parts(s: str) -> bool:
-    """An identifier has words of three letters or more in it; random strings change class all the time."""
-    parts = re.findall(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+", s)
-    return len(s) / max(len(parts), 1) < 3.5
+def identifier(s: str, path: str) -> bool:
+    """Words and numbers only: each run of letters in one case style has three letters or more and is a word of the vocabulary."""
+    one = lambda w: len(_encoding(path).encode_ordinary(f" {w}")) == 1
+    return all(len(p) >= LEAST_WORD and (one(p) or one(p.lower())) for p in _PARTS.findall(s) if p[0].isalpha())
 
 
 def random_looking(s: str, path: str, max_ratio: float = MAX_RATIO) -> bool:
@@ -59,9 +60,7 @@ def random_looking(s: str, path: str, max_ratio: float = MAX_RATIO) -> bool:
         return False
     if (_HEXES.fullmatch(s) and len(s) in DIGESTS) or _UUID.fullmatch(s):
         return False
-    if _IDENTIFIER.fullmatch(s) and not _short_parts(s):
-        return False
-    return len(s) / len(_encoding(path).encode_ordinary(s)) < max_ratio
+    return len(s) / len(_encoding(path).encode_ordinary(s)) < max_ratio and not identifier(s, path)
 
 
 def scan(text: str, path: str, max_ratio: float = MAX_RATIO) -> tuple:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -266,6 +267,22 @@ def test_random_strings(text, random_):
     assert secrets.random_looking(text, secrets.vocabulary_path("byte_bpe_50k.tiktoken")) is random_
 
 
+@pytest.mark.parametrize("alphabet", ["ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"])
+def test_random_keys_are_no_identifiers(alphabet):
+    r, path = random.Random(3), secrets.vocabulary_path("byte_bpe_50k.tiktoken")
+    keys = [k for n in (20, 32) for _ in range(300) if re.search("[0-9]", k := "".join(r.choice(alphabet) for _ in range(n)))]
+    assert sum(secrets.random_looking(k, path) for k in keys) >= 0.98 * len(keys)
+
+
+def test_long_runs_of_letters_end():
+    path = secrets.vocabulary_path("byte_bpe_50k.tiktoken")
+    began = time.monotonic()
+    for n in (23, 40, 20_000):
+        secrets.random_looking("a" * n + "1=", path)
+        secrets.random_looking("a_B" * n + "1=", path)
+    assert time.monotonic() - began < 2
+
+
 def test_bpe_is_the_library(docs):
     from tokenizers import Tokenizer
 
