@@ -411,6 +411,18 @@ def test_chain_is_the_best():
         assert abs(got - max(best)) < 1e-9
 
 
+@pytest.mark.parametrize("gap", [40, 70, 100, 200, 300])
+def test_two_passages_far_apart(spark, gap):
+    r = random.Random(gap)
+    fill = lambda k: [r.choice(VOCAB) for _ in range(k)]
+    first, second = fill(150), fill(70)
+    d = spark.createDataFrame([(i, " ".join(fill(20) + first + fill(gap) + second + fill(20))) for i in range(2)], "doc_id long, text string")
+    for g in table(chains.fuzzy_passages(d)):
+        spans = [tuple(map(int, p.split(":"))) for p in g["passages"].split(",")]
+        for at, n in ((20, 150), (170 + gap, 70)):
+            assert sum(max(0, min(e, at + n) - max(s, at)) for s, e in spans) >= n - 20, spans
+
+
 def test_empty_tables(spark, empty):
     items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     for out in (
