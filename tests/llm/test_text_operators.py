@@ -411,6 +411,36 @@ def test_chain_is_the_best():
         assert abs(got - max(best)) < 1e-9
 
 
+def test_similarity_is_judged_by_words(spark):
+    r = random.Random(12)
+    fill = lambda k: [r.choice(VOCAB) for _ in range(k)]
+    rows, rate = [], {}
+    for edits in (0, 0.1, 0.15, 0.2, 0.4):
+        for _ in range(20):
+            shared, i = fill(60), len(rows)
+            other = list(shared)
+            for x in r.sample(range(1, 59), round(edits * 60)):
+                other[x] = f"{other[x]}x"
+            rows += [(i, " ".join(fill(70) + shared + fill(70))), (i + 1, " ".join(fill(70) + other + fill(70)))]
+            rate[i] = edits
+    got = table(chains.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    found = Counter(rate[g["doc_id"]] for g in got if g["doc_id"] in rate and g["n_dup_words"] > 0)
+    assert found[0] == found[0.1] == 20 and found[0.15] >= 19 and found[0.2] >= 16 and found[0.4] == 0
+
+
+def test_alignment_is_the_best():
+    r = random.Random(8)
+    for _ in range(100):
+        x, y = ([r.randrange(4) for _ in range(r.randrange(1, 9))] for _ in range(2))
+        got = chains.equal_words(np.array(x), np.array(y))
+        d = {(i, j): i + j for i in range(len(x) + 1) for j in range(len(y) + 1) if not i * j}
+        for i in range(1, len(x) + 1):
+            for j in range(1, len(y) + 1):
+                d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x[i - 1] != y[j - 1]))
+        ends = [(-1, -1), *got, (len(x), len(y))]
+        assert sum(max(q[0] - p[0], q[1] - p[1]) - 1 for p, q in zip(ends[:-1], ends[1:], strict=True)) == d[len(x), len(y)]
+
+
 @pytest.mark.parametrize("gap", [40, 70, 100, 200, 300])
 def test_two_passages_far_apart(spark, gap):
     r = random.Random(gap)
