@@ -11,19 +11,19 @@ MAX_DEPTH = 100
 def ancestors(spark: SparkSession, edges: DataFrame, start: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(root, ancestor, child, relation, depth), once each; edges (parent, child, relation), start (root).
 
-    A recursive query: an artifact that is reached at two depths has two rows.
+    A recursive query: an artifact that is reached at two depths has two rows.  Edges deeper than max_depth, or in a cycle,
+    are an error: nothing is cut.
     """
     return spark.sql(
         """
         WITH RECURSIVE up(root, ancestor, child, relation, depth) MAX RECURSION LEVEL {level} AS (
             SELECT s.root, e.parent, e.child, e.relation, 1 FROM {start} s JOIN {edges} e ON e.child = s.root
             UNION ALL
-            SELECT u.root, e.parent, e.child, e.relation, u.depth + 1 FROM up u JOIN {edges} e ON e.child = u.ancestor WHERE u.depth < {last})
+            SELECT u.root, e.parent, e.child, e.relation, u.depth + 1 FROM up u JOIN {edges} e ON e.child = u.ancestor)
         SELECT DISTINCT root, ancestor, child, relation, depth FROM up""",
         edges=edges,
         start=start,
         level=max_depth,
-        last=max_depth - 1,
     )
 
 
