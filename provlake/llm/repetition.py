@@ -1,6 +1,8 @@
-"""Quality rules by repetition coverage: the share of characters inside duplicated word n-grams and lines.
+"""Quality rules by repetition coverage: the share of characters inside duplicated n-grams and lines.
 
-A text is dropped if a share passes its limit, or if repeated symbols outweigh its words.
+Three coverages decide, each against its limit: word n-grams that occur twice or more anywhere in the text (rolling
+hashes of several lengths), lines that occur twice or more, and character n-grams that repeat at once, three times or
+more in a row (as noise like `***` or `ababab` does, which word n-grams do not see).
 Each text is handled whole and alone, so the job is one map over the documents and nothing is shuffled.
 Null or empty text: all counts zero, base_failed true, kept false.  Repeated rows and ties: each row alone.
 """
@@ -16,8 +18,10 @@ from provlake.llm.common import per_text
 #: n-gram length in words -> largest share of word characters inside n-grams that occur twice or more.
 MAX_COVERAGE = {5: 0.36, 6: 0.34, 7: 0.32, 8: 0.30, 9: 0.28, 10: 0.26}
 MAX_LINE_COVERAGE = 0.30
-#: Symbols for each word: prose has hardly any, while marked-up rows and noise repeat them.
-MAX_SYMBOLS = 0.1
+#: Lengths in bytes of the n-grams that repeat at once, how many in a row count, and the largest share inside such runs.
+RUN_UNITS = range(1, 9)
+RUN_COPIES = 3
+MAX_RUN_COVERAGE = 0.10
 MIN_WORDS = 20
 WINDOW = 8
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -49,8 +53,22 @@ def _inside(h: np.ndarray, n: int, words: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def repetition(text: str, max_coverage: dict[int, float] = MAX_COVERAGE, max_lines: float = MAX_LINE_COVERAGE) -> tuple:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, the largest coverage, line coverage."""
+def in_runs(raw: np.ndarray, units=RUN_UNITS, copies: int = RUN_COPIES) -> np.ndarray:
+    """Which bytes stand in `copies` or more successive copies of one n-gram of a length in `units`."""
+    inside = np.zeros(len(raw), bool)
+    for unit in units:
+        if len(raw) < unit * copies:
+            break
+        same = np.concatenate((np.zeros(unit, np.int8), (raw[unit:] == raw[:-unit]).view(np.int8), [0]))
+        step = np.diff(same, prepend=np.int8(0))
+        a, b = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        for i, j in zip(a[b - a >= unit * (copies - 1)].tolist(), b[b - a >= unit * (copies - 1)].tolist(), strict=True):
+            inside[i - unit : j] = True
+    return inside
+
+
+def repetition(text: str, max_coverage: dict[int, float] = MAX_COVERAGE, max_lines: float = MAX_LINE_COVERAGE, max_runs: float = MAX_RUN_COVERAGE) -> tuple:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, the largest coverage, line and run coverage."""
     data = text.encode("utf-8", "replace")
     raw = np.frombuffer(data, np.uint8)
     words = data.split()  # of bytes: exactly the ASCII blanks
@@ -90,12 +108,13 @@ def repetition(text: str, max_coverage: dict[int, float] = MAX_COVERAGE, max_lin
                 share = float(size[mask].sum()) / max(chars, 1)
                 worst, over = max(worst, share), over or share > max_coverage[k]
     line_share = in_lines / max(chars, 1)
+    run_share = float((in_runs(raw) & inside & first).sum()) / max(chars, 1)
     failed = n < MIN_WORDS or 100 * repeat > 30 * n
-    return n, chars, symbols, n_dup, repeat, failed, not (failed or over or line_share > max_lines or symbols > MAX_SYMBOLS * n), worst, line_share
+    return n, chars, symbols, n_dup, repeat, failed, not (failed or over or line_share > max_lines or run_share > max_runs), worst, line_share, run_share
 
 
-def repetition_quality(docs: DataFrame, max_coverage: dict[int, float] | None = None, max_lines: float = MAX_LINE_COVERAGE) -> DataFrame:
+def repetition_quality(docs: DataFrame, max_coverage: dict[int, float] | None = None, max_lines: float = MAX_LINE_COVERAGE, max_runs: float = MAX_RUN_COVERAGE) -> DataFrame:
     """One row per document with its base counts, its coverages and the verdict."""
     limits = max_coverage or MAX_COVERAGE
-    schema = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, ngram_coverage double, line_coverage double"
-    return per_text(docs, lambda t: repetition(t, limits, max_lines), schema)
+    schema = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, ngram_coverage double, line_coverage double, run_coverage double"
+    return per_text(docs, lambda t: repetition(t, limits, max_lines, max_runs), schema)

@@ -120,6 +120,45 @@ def test_repetition(docs):
     same(got, [(i, *brute_repetition(t)) for i, t in pairs(docs)])
 
 
+def brute_kept(text):
+    """The verdict by counting strings: words of windows found twice, equal lines, runs of repeated n-grams."""
+    t = text or ""
+    words, base = BLANK.findall(t), brute_repetition(t)
+    chars = max(1, sum(map(len, words)))
+    for n, limit in repetition.MAX_COVERAGE.items():
+        at = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+        often = Counter(at)
+        inside = {j for i, w in enumerate(at) if often[w] > 1 for j in range(i, i + n)}
+        if sum(len(words[j]) for j in inside) / chars > limit:
+            return False
+    lines = [x for x in t.split("\n") if BLANK.search(x)]
+    often = Counter(lines)
+    if sum(len("".join(BLANK.findall(x))) for x in lines if often[x] > 1) / chars > repetition.MAX_LINE_COVERAGE:
+        return False
+    raw = t.encode()
+    inside = set()
+    for unit in range(1, 9):
+        i = 0
+        while i < len(raw):
+            j = i
+            while j + unit < len(raw) and raw[j] == raw[j + unit]:
+                j += 1
+            if j - i >= 2 * unit:
+                inside |= {*range(i, j + unit)}
+            i = j + 1 if j > i else i + 1
+    starts = [x for x in inside if raw[x] & 0xC0 != 0x80 and raw[x] not in b" \t\n\r\x0b\x0c"]
+    return not base[-1] and len(starts) / chars <= repetition.MAX_RUN_COVERAGE
+
+
+def test_repetition_kept(docs):
+    r = random.Random(3)
+    more = [" ".join(r.choice([prose(12, r), SHARED[:200], "*** ab"]) for _ in range(r.randrange(1, 12))) for _ in range(60)]
+    more += ["\n".join(r.choice([prose(9, r), "a line that comes back again"]) for _ in range(12)) for _ in range(40)]
+    got = [(t, repetition.repetition(t or "")[6]) for t in [*more, *(t for _, t in pairs(docs))]]
+    assert got == [(t, brute_kept(t)) for t, _ in got]
+    assert 10 < sum(k for _, k in got) < len(got) - 10
+
+
 def test_repetition_verdict():
     clean = prose(300)
     assert repetition.repetition(clean)[6]
@@ -196,15 +235,29 @@ def test_personal_bootstraps(spark):
     assert got[50].startswith("found:") and got[51] == ""
 
 
-def test_boilerplate(spark, docs):
+def brute_boilerplate(rows, ratio, least, copies):
+    """doc -> text without the lines of more than `ratio` of its host's pages, and of `least` pages or more."""
+    pages = {}
+    for i, (_, t, h) in enumerate(rows):
+        pages.setdefault(h, {})[i if copies else t] = {x.strip(" ") for x in (t or "").split("\n")} - {""}
+    out = {}
+    for i, t, h in rows:
+        own = pages[h].values()
+        often = lambda x: (n := sum(x in p for p in own)) > ratio * len(own) and n >= least  # noqa: B023, E731
+        out[i] = None if t is None else "\n".join(x for x in t.split("\n") if not x.strip(" ") or not often(x.strip(" ")))
+    return out
+
+
+@pytest.mark.parametrize(("ratio", "least", "copies"), [(0.1, 1, True), (0.3, 5, False), (0.05, 2, True)])
+def test_boilerplate(spark, docs, ratio, least, copies):
     shared, rare = "Subscribe to our letter", "A rare line"
     rows = [(i, prose(12) + f"\n {shared} \n" + (rare + "\n" if i < 2 else "") + prose(5) + "\n", "h") for i in range(40)]
-    rows += [(100 + i, rows[0][1], "h") for i in range(60)] + [(300, None, "h"), (301, "", None), (302, shared, None)]
+    rows += [(100 + i, rows[0][1], "h") for i in range(60)] + [(300, None, "h"), (301, "", None), (302, shared, None), (303, "twice\ntwice\n", "one")]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("_host", F.lit(1))
-    got = {r["doc_id"]: r for r in table(boilerplate.drop_boilerplate(d))}
-    assert got[5]["_n_dropped"] == 1 and shared not in got[5]["text"] and got[5]["text"].endswith("\n")
-    assert rare in got[0]["text"] and got[150]["text"] == got[0]["text"]
-    assert (got[300]["text"], got[301]["text"], got[302]["text"]) == (None, "", shared) and got[300]["_n_lines"] == 0
+    got = {r["doc_id"]: r for r in table(boilerplate.drop_boilerplate(d, ratio=ratio, min_pages=least, copies_count=copies))}
+    assert {i: r["text"] for i, r in got.items()} == brute_boilerplate(rows, ratio, least, copies)
+    assert got[300]["_n_lines"] == 0 and got[5]["_host"] == 1
+    assert (rare in got[0]["text"]) == (not copies) and shared not in got[5]["text"]
     assert boilerplate.drop_boilerplate(docs).count() == docs.count()
 
 
@@ -318,6 +371,11 @@ def test_simhash(docs):
     assert zero == {0}
     kept = simhash.keep_one_of_each(docs)
     assert kept.columns == docs.columns
+    first = {}
+    for r, row in zip(table(kept), kept.collect(), strict=True):
+        first.setdefault(brute_fingerprint(r["text"]), []).append(row)
+    assert all(len(v) == 1 for v in first.values())  # repeated rows too: one row of each fingerprint at most
+    assert {r["component_id"] for r in got if r["component_id"] is not None} <= {r["doc_id"] for r in table(kept)}
 
 
 @pytest.mark.parametrize("hot", [3, 3000])
