@@ -1,16 +1,17 @@
 """Line dedup by site-relative frequency, in DataFrame operations only.
 
-A line's frequency on a host is the number of the host's pages that hold it over the number of its pages.
-Exact copies of a page are one page: a page that was fetched many times does not become boilerplate.
-Lines above RATIO, found on at least MIN_PAGES pages of the host, are boilerplate and are dropped from all
-its pages.  At most lines-per-page / RATIO lines of a host can be boilerplate, whatever its size.
+A line's frequency on a host is the number of the host's pages that hold it over the number of the host's pages.  Lines
+above RATIO are boilerplate and are dropped from all pages of the host.  At most lines-per-page / RATIO lines of a host can be
+boilerplate, whatever its size.  Two parameters depart from the plain ratio: min_pages (1: no further condition) spares lines
+of fewer pages, for hosts with few pages; copies_count=False takes exact copies of a page as one page.
 
-Counts: pages' distinct lines are reduced to 128-bit hashes before the shuffle and counted by partial aggregation, so a
+Counts: a page's distinct lines are reduced to 128-bit hashes before the shuffle and counted by partial aggregation, so a
 host with a third of all pages is no burden.  Each host's boilerplate is one array.  It is broadcast if there are at most
 BROADCAST_LINES of them in all; otherwise it is joined by shuffles that skewed hosts split.
 
-Lines are compared without blanks at either end; lines that are empty then are kept.  Null text stays null and
-has no lines.  Null host: a host of its own.  Repeated rows are pages of their own.
+Lines are compared without blanks at either end; lines that are empty then are kept.  Null text stays null, has no lines and
+counts as a page.  Null host: a host of its own.  Every row is a page, repeated rows and exact copies too, unless
+copies_count is False.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from provlake.llm.common import free_name, written
 
-RATIO = 0.08
-MIN_PAGES = 5
+RATIO = 0.1
+MIN_PAGES = 1
 BROADCAST_LINES = 20_000
 
 
@@ -29,21 +30,22 @@ def _mark(line: Column) -> Column:
     return F.unhex(F.md5(F.trim(line)))
 
 
-def boilerplate_lines(pages: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate_lines(pages: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_count: bool = True) -> DataFrame:
     """(host, bad): the hashes of each host's boilerplate lines; hosts without any are left out."""
     src = pages.select(F.coalesce(F.col(host).cast("string"), F.lit("\u0000")).alias("_host"), F.col("text").cast("string").alias("_text"), F.xxhash64("text").alias("_page"))
-    totals = src.select("_host", "_page").distinct().groupBy("_host").agg(F.count("*").alias("pages"))
+    of_page = (lambda t: t) if copies_count else DataFrame.distinct  # copies fall together as hashes
+    totals = of_page(src.select("_host", "_page")).groupBy("_host").agg(F.count("*").alias("pages"))
     lines = F.filter(F.split(F.coalesce("_text", F.lit("")), "\n", -1), lambda x: F.trim(x) != "")
     marks = src.select("_host", "_page", F.explode(F.array_distinct(F.transform(lines, _mark))).alias("mark"))
-    counts = marks.distinct().groupBy("_host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    bad = written(counts).join(written(totals), "_host").where(F.col("n") > ratio * F.col("pages"))
+    counts = of_page(marks).groupBy("_host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    bad = written(counts.join(written(totals), "_host").where(F.col("n") > ratio * F.col("pages")))
     return bad.groupBy("_host").agg(F.collect_list("mark").alias("_bad"))
 
 
-def drop_boilerplate(pages: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_count: bool = True) -> DataFrame:
     """pages with their text cleaned, plus _n_lines and _n_dropped.  Other columns stay as they were."""
     own = {n: free_name(n, pages.columns) for n in ("_host", "_bad", "_lines", "_kept")}
-    bad = written(boilerplate_lines(pages, host, ratio, min_pages))
+    bad = written(boilerplate_lines(pages, host, ratio, min_pages, copies_count))
     few = bad.agg(F.coalesce(F.sum(F.size("_bad")), F.lit(0))).first()[0] <= BROADCAST_LINES
     bad = bad.select(F.col("_host").alias(own["_host"]), F.col("_bad").alias(own["_bad"]))
     bad = F.broadcast(bad) if few else bad

@@ -79,11 +79,11 @@ ORACLES: dict[str, str] = {
         WITH l AS (
             SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
             FROM documents WHERE text IS NOT NULL),
-        totals AS (SELECT source, count(DISTINCT text) AS pages FROM documents GROUP BY source),
+        totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
         bad AS (
             SELECT source, line FROM (
-                SELECT source, trim(line) AS line, count(DISTINCT text) AS n FROM l WHERE trim(line) <> '' GROUP BY ALL)
-            JOIN totals USING (source) WHERE n >= {boilerplate.MIN_PAGES} AND n > {boilerplate.RATIO} * pages),
+                SELECT source, trim(line) AS line, count(DISTINCT doc_id) AS n FROM l WHERE trim(line) <> '' GROUP BY ALL)
+            JOIN totals USING (source) WHERE n > {boilerplate.RATIO} * pages),
         m AS (SELECT l.*, bad.line IS NOT NULL AS gone FROM l LEFT JOIN bad ON bad.source = l.source AND bad.line = trim(l.line))
         SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
         FROM documents d LEFT JOIN (
