@@ -22,10 +22,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from provlake.llm.common import small_batches, written
+from provlake.llm.common import KEY, free_name, keyed, small_batches, written
 
 BITS = 2
 SEED = 42
@@ -57,13 +57,13 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, fp (signed 64 bits)."""
+    """doc_id, _th (a hash of the text), fp (signed 64 bits)."""
 
     @F.pandas_udf("long")
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, width) for t in texts], dtype="int64")
 
-    return small_batches(docs).select("doc_id", run(F.col("text").cast("string")).alias("fp"))
+    return keyed(small_batches(docs)).select(*KEY, run("text").alias("fp"))
 
 
 def gray_rank(v: np.ndarray) -> np.ndarray:
@@ -197,8 +197,8 @@ def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
     return roots.unionAll(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def simhash_components(docs: DataFrame, width: int = 3) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
+def _by_root(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, _th, fp) of every row, and (fp, root, component_id) of every fingerprint."""
     marks = written(fingerprints(docs, width))
     # several documents may share a fingerprint: link rows by fingerprint, name components by document
     fps = marks.groupBy("fp").agg(F.min("doc_id").alias("first"))
@@ -206,11 +206,32 @@ def simhash_components(docs: DataFrame, width: int = 3) -> DataFrame:
     roots = written(components(pairs))
     named = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = written(named.join(least, "root").select("fp", "component_id"))
+    return marks, written(named.join(least, "root").select("fp", "root", "component_id"))
+
+
+def simhash_components(docs: DataFrame, width: int = 3) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
+    marks, by_fp = _by_root(docs, width)
     return marks.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
-    """The rows of docs whose doc_id is the least of its component; all columns as they were.  Rows that share that id stay."""
-    kept = written(simhash_components(docs, width).select(F.col("component_id").alias("_kept")).distinct())
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """One row of docs for each component, the one with the least doc_id (no id: last; then by text hash); all columns as they were.
+
+    Only ids are gathered.  The rows themselves move in one keyed shuffle, whatever the number of ids: the join is told to
+    hash the ids, so that the plan is the same at every size and skewed ids are split.  Repeated rows with
+    one id and one text are told apart by a window over these rows alone.
+    """
+    marks, by_fp = _by_root(docs, width)
+    rows = marks.groupBy("fp", *KEY).agg(F.count("*").alias("n")).join(by_fp.select("fp", "root"), "fp")
+    rows = written(rows.select("root", F.struct(F.col("doc_id").isNull().alias("z"), *KEY).alias("r"), "n"))
+    first = rows.groupBy("root").agg(F.min("r").alias("f"))
+    gone = (F.col("r") != F.col("f")).alias("_gone")
+    told = written(rows.join(first, "root").select(F.col("r.doc_id").alias("_id"), F.col("r._th").alias("_ih"), gone, "n").where("_gone or n > 1").select("_id", "_ih", "_gone"))
+    own = {c: free_name(c, docs.columns) for c in ("_id", "_ih", "_gone", "_rank")}
+    told = told.withColumnsRenamed({c: own[c] for c in told.columns}).hint("shuffle_hash")
+    both = docs.join(told, docs["doc_id"].eqNullSafe(F.col(own["_id"])) & F.xxhash64(docs["text"].cast("string")).eqNullSafe(F.col(own["_ih"])), "left")
+    single = both.where(F.col(own["_gone"]).isNull()).select(docs.columns)
+    rank = F.row_number().over(Window.partitionBy(own["_id"], own["_ih"]).orderBy(F.xxhash64(*docs.columns)))
+    repeated = both.where(~F.col(own["_gone"])).withColumn(own["_rank"], rank).where(F.col(own["_rank"]) == 1).select(docs.columns)
+    return single.unionAll(repeated)
