@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from provlake.llm import boilerplate, bpe, decontamination, language, simhash
 from provlake.llm.common import written
 
+#: A line on fewer pages of its source is no boilerplate: on sources with a few pages any line passes the ratio.  Copies of a page count once there, as the next
+#: stage takes them away: a page with many copies is not boilerplate.
+LEAST_PAGES = 5
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is rejected go."""
@@ -20,7 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each source go; n_chars follows the text."""
-    out = boilerplate.drop_boilerplate(docs)
+    out = boilerplate.drop_boilerplate(docs, min_pages=LEAST_PAGES, copies_count=False)
     n_chars = F.when(F.col("_n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars).select(docs.columns)
 
