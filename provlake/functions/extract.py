@@ -48,41 +48,45 @@ def is_placeholder(x: Column) -> Column:
     return ustrip(x).isin(*PLACEHOLDERS)
 
 
-def _first_value(lines: Column, value: Callable[[Column, Column], Column]) -> Column:
-    """The first non-null value(line, next line)."""
-    found = F.transform(lines, lambda line, i: value(line, F.try_element_at(lines, i + 2)))
+def _bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x) with x computed once, however often f uses it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
+def _first_value(lines: Column, labels: Sequence[str], value: Callable[[Column, Column], Column]) -> Column:
+    """The first non-null value(line, next line); only lines that hold a label (blanks aside) are looked at."""
+    any_label = "|".join(f"\\Q{''.join(x.split())}\\E" for x in labels)
+    pairs = _bound(lines, lambda ls: F.transform(ls, lambda v, i: F.struct(v.alias("line"), F.try_element_at(ls, i + 2).alias("after"))))
+    found = F.transform(F.filter(pairs, lambda p: compact(p["line"]).rlike(any_label)), lambda p: value(p["line"], p["after"]))
     return F.try_element_at(F.filter(found, lambda v: v.isNotNull()), F.lit(1))
 
 
 def labelled_text(text: str | Column, labels: Sequence[str]) -> Column:
     good = lambda v: v.isNotNull() & (v != "") & ~is_residue(v) & ~is_placeholder(v)
 
+    def one(label: str, line: Column, tight: Column, after: Column) -> Column:
+        at = F.instr(tight, F.lit("".join(label.split())))
+        starts = (at > 0) & F.substring(tight, F.lit(1), at - 1).isin(*BULLETS)
+        rest = ustrip(lstrip_chars(ustrip(F.regexp_replace(line, f"^(.*?){_label_pattern(label)}", "$1")), " |:：・·"))
+        return F.when(starts, _bound(rest, lambda r: F.when(good(r), r).when(good(after), after)))
+
     def value(line: Column, after: Column) -> Column:
-        tight = compact(line)
-        out = []
-        for label in sorted(labels, key=len, reverse=True):
-            key = "".join(label.split())
-            at = F.instr(tight, F.lit(key))
-            rest = ustrip(lstrip_chars(ustrip(F.regexp_replace(line, f"^(.*?){_label_pattern(label)}", "$1")), " |:：・·"))
-            starts = (at > 0) & F.substring(tight, F.lit(1), at - 1).isin(*BULLETS)
-            out.append(F.when(starts, F.when(good(rest), rest).when(good(after), after)))
-        return F.coalesce(*out)
+        return _bound(compact(line), lambda tight: F.coalesce(*[one(x, line, tight, after) for x in sorted(labels, key=len, reverse=True)]))
 
-    return _first_value(page_lines(text), value)
+    return _first_value(page_lines(text), labels, value)
 
 
 def disclosure_value(text: str | Column, aliases: Sequence[str]) -> Column:
     """The first line, then the first alias, that holds an alias: the rest of the line, or else the next line."""
 
+    def one(alias: str, line: Column, tight: Column, after: Column) -> Column:
+        rest = strip_chars(F.regexp_replace(line, f"^(.*?){_label_pattern(alias)}", "$1"), " |:：")
+        return F.when(F.contains(tight, F.lit("".join(alias.split()))), F.coalesce(F.nullif(rest, F.lit("")), after))
+
     def value(line: Column, after: Column) -> Column:
-        tight = compact(line)
-        out = []
-        for alias in aliases:
-            rest = strip_chars(F.regexp_replace(line, f"^(.*?){_label_pattern(alias)}", "$1"), " |:：")
-            out.append(F.when(F.contains(tight, F.lit("".join(alias.split()))), F.coalesce(F.nullif(rest, F.lit("")), after)))
-        return F.coalesce(*out)
-
-    return _first_value(label_lines(text), value)
+        return _bound(compact(line), lambda tight: F.coalesce(*[one(x, line, tight, after) for x in aliases]))
+
+    return _first_value(label_lines(text), aliases, value)
 
 
 def disclosure_fields(text: str | Column) -> Column:

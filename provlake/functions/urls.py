@@ -75,7 +75,37 @@ def category_input_ok(code: str | Column, url: str | Column) -> Column:
     return blank_to_null(code).isNull() != blank_to_null(url).isNull()
 
 
-def image_url(url: str | Column) -> Column:
-    """Absolute URLs without their fragment; null for others and for data: URLs."""
-    u = F.regexp_replace(F.trim(col(url)), "#.*$", "")
+def _without_dots(path: Column) -> Column:
+    """A path without its . and .. parts."""
+    step = lambda acc, p: F.when(p == ".", acc).when(p == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(p)))
+    parts = F.split(path, "/")
+    folder = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    inner = F.slice(F.concat(parts, folder), 2, F.size(parts) + F.size(folder))
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(inner, F.array().cast("array<string>"), step), "/"))
+
+
+def absolute(url: str | Column, base: str | Column) -> Column:
+    """url as seen from the page `base`; addresses with a scheme stay as they are."""
+    u, b = F.trim(col(url)), col(base)
+    scheme, origin = F.regexp_extract(b, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1), F.regexp_extract(b, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(b, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.concat(F.regexp_replace(path, "[^/]*$", ""), F.when(path == "", "/").otherwise(""))
+    own, rest = F.regexp_extract(u, "^[^?#]*", 0), F.regexp_extract(u, "[?#].*$", 0)
+    return (
+        F.when(u.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), u)
+        .when(u.startswith("//"), F.concat(scheme, u))
+        .when(u.startswith("/"), F.concat(origin, _without_dots(own), rest))
+        .when(own == "", F.concat(origin, path, rest))
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, own)), rest))
+    )
+
+
+def image_url(url: str | Column, base: str | Column | None = None) -> Column:
+    """Absolute URLs without their fragment, relative ones resolved against base; null for others and for data: URLs."""
+    u = F.regexp_replace(F.trim(col(url)) if base is None else F.when(F.trim(col(url)) != "", absolute(url, base)), "#.*$", "")
     return F.when(u.rlike("^[A-Za-z][A-Za-z0-9+.-]*://[^/]+") & ~F.lower(u).startswith("data:"), u)
+
+
+def preview_text(text: str | Column) -> Column:
+    """A link's text for a preview: stripped, and null if nothing is left."""
+    return blank_to_null(text)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -9,6 +13,7 @@ from pyspark.sql import functions as F
 from provlake.functions import hashing
 from provlake.functions.text import col
 from provlake.operators import intake
+from provlake.sources.readers import _fs as folder
 from provlake.sources.readers import file_hashes
 
 # Logical names of the files of an accepted bundle.
@@ -66,3 +71,81 @@ def accepted_uris(batch: str | Column, root: str = "inbox/accepted") -> Column:
 def suggested_batch_id(member: str | Column, at: Column, sequence: int = 1) -> Column:
     """<day in Korea>-<member>-<sequence>."""
     return F.concat_ws("-", F.date_format(F.from_utc_timestamp(at, "Asia/Seoul"), "yyyyMMdd"), col(member), F.lit(f"{sequence:03d}"))
+
+
+def copy_mismatches(before: DataFrame, after: DataFrame, keys: Sequence[str] = ("batch_id", "name"), digest: str = "sha256") -> DataFrame:
+    """Files whose copy is missing or differs: keys and COPY_CHECKSUM_MISMATCH."""
+    copied = after.select(*keys, F.col(digest).alias("_copy"))
+    return before.join(copied, list(keys), "left").where(~F.col(digest).eqNullSafe(F.col("_copy"))).select(*keys, F.lit("COPY_CHECKSUM_MISMATCH").alias("code"))
+
+
+def submit(spark: SparkSession, files: DataFrame, root: str, batch: str, report: DataFrame) -> str:
+    """The files (path, name) of a batch as accepted/<batch>: copied beside it, hashed again, then one rename.
+
+    A batch that is there is refused.  A copy that differs raises COPY_CHECKSUM_MISMATCH and nothing is left behind.  The
+    report's one row becomes manifest.json and validation_report.json; only its bytes pass the driver.
+    """
+    target, staging = f"{root.rstrip('/')}/{batch}", f"{root.rstrip('/')}/.{batch}-{uuid.uuid4().hex}"
+    fs, path = folder(spark, target)
+    if fs.exists(path):
+        raise FileExistsError(target)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    util, conf = spark._jvm.org.apache.hadoop.fs.FileUtil, spark._jsc.hadoopConfiguration()
+    try:
+        fs.mkdirs(make(staging))
+        rows = files.select("path", "name").collect()  # the names of one batch's files, a handful
+        for r in rows:
+            source = make(r.path)
+            if not util.copy(source.getFileSystem(conf), source, fs, make(f"{staging}/{r.name}"), False, conf):
+                raise OSError(r.path)
+        wrong = copy_mismatches(file_hashes(spark, [r.path for r in rows]).drop("name").join(files.select("path", "name"), "path"), file_hashes(spark, f"{staging}/*"), ["name"])
+        if bad := wrong.collect():
+            raise ValueError("COPY_CHECKSUM_MISMATCH: " + ", ".join(r.name for r in bad))
+        pretty = json.dumps(json.loads(report.select(F.to_json(F.struct("*"))).first()[0]), ensure_ascii=False, indent=2) + "\n"
+        for name in ("validation_report.json", "manifest.json"):
+            stream = fs.create(make(f"{staging}/{name}"))
+            stream.write(pretty.encode())
+            stream.close()
+        if not fs.rename(make(staging), path):
+            raise OSError(target)
+    finally:
+        fs.delete(make(staging), True)
+    return target
+
+
+def accepted_manifests(raw: DataFrame) -> DataFrame:
+    """raw (batch_id, payload, sha256, size) -> reference rows with `issue`: null, or why the manifest can't be used.
+
+    Issues, the first that holds: ACCEPTED_MANIFEST_INVALID (no JSON object, or the identity is wrong), CONTENT_HASH_MISMATCH (its own
+    hash does not fit), NOT_ACCEPTED.  The artifact's id is that of the manifest's bytes.
+    """
+    v = lambda k: F.get_json_object("payload", f"$.{k}")
+    ok = F.coalesce(F.schema_of_variant(F.try_parse_json("payload")).startswith("OBJECT"), F.lit(False))
+    error = intake.identity_error("batch_id", F.coalesce(v("member"), F.lit("")))
+    issue = (
+        F.when(~ok | error.isNotNull(), "ACCEPTED_MANIFEST_INVALID")
+        .when(v("content_hash").isNotNull() & (v("content_hash") != hashing.open_content_hash("payload")), "CONTENT_HASH_MISMATCH")
+        .when(~v("status").eqNullSafe(F.lit("ACCEPTED")), "NOT_ACCEPTED")
+    )
+    name = F.concat_ws(":", F.lit("collection_submission"), "batch_id", "sha256")
+    return raw.select("batch_id", v("member").alias("member"), issue.alias("issue"), hashing.uuid5(name).alias("artifact_id"), F.lit("collection_manifest").alias("logical_name"), F.lit("JSON").alias("format"), F.col("sha256").alias("checksum"), "size", v("schema_version").alias("schema_version"), F.coalesce(v("row_count").try_cast("long"), F.lit(0).cast("long")).alias("row_count"), v("parser_version").alias("code_version"))
+
+
+def register_accepted(manifests: DataFrame, files: DataFrame, runs: DataFrame) -> dict[str, DataFrame]:
+    """Tables of the bundles that are accepted and not registered yet: runs, steps, artifacts, edges.
+
+    manifests: as accepted_manifests gives them; files: batch_id, logical_name, path, size, sha256; runs: run_id.  A second call with
+    the runs of the first gives no rows: ids follow from the content.
+    """
+    good = manifests.where("issue is null").select("batch_id", F.col("checksum").alias("_sum")).withColumn("run_id", hashing.intake_run_id("batch_id", "_sum"))
+    new = good.join(runs.select("run_id"), "run_id", "left_anti")
+    own = files.join(new.select("batch_id"), "batch_id", "left_semi")
+    artifacts = artifact_records(own)
+    run = new.select("run_id", "batch_id", F.lit("SUCCEEDED").alias("status"))
+    step = new.select(hashing.uuid5(F.concat_ws(":", "run_id", F.lit("register"))).alias("step_id"), "run_id", F.lit("register").alias("name"), F.lit("SUCCEEDED").alias("status"))
+    return {"runs": run, "steps": step, "artifacts": artifacts, "edges": bundled_in(artifacts)}
+
+
+def manifest_artifact(artifacts: DataFrame, run_id: str = "run_id") -> DataFrame:
+    """The manifest's artifact of each run; of several the least id."""
+    return artifacts.where("logical_name = 'manifest'").groupBy(run_id).agg(F.min("artifact_id").alias("artifact_id"))

@@ -9,6 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _is(c: Column, kind: str) -> Column:
+    """Whether text reads as a value of a JSON type."""
+    t = c.cast("string")
+    return {"integer": t.rlike("^-?[0-9]+$"), "number": t.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"), "boolean": t.isin("true", "false")}.get(kind, F.lit(True))
+
+
 @dataclass(frozen=True)
 class Rule:
     """One field of a contract.  Keywords mean what they mean in JSON Schema; formats are not enforced."""
@@ -23,14 +29,29 @@ class Rule:
     max_bytes: int | None = None
     minimum: float | None = None
     maximum: float | None = None
-
-    def checks(self) -> list[tuple[str, Column]]:
+    type: str | None = None  # of a text column that holds JSON-like values: string, integer, number or boolean
+    items: Rule | None = None  # of every element of an array column
+    fields: Sequence[Rule] = ()  # of a struct column
+
+    def issues_at(self, c: Column, path: Column) -> list[Column]:
+        """Structs (path, code), null where the rule holds, or arrays of them for elements; a rule used by name nests as any other."""
+        found = [F.when(broken, F.array(F.struct(path.alias("path"), F.lit(code).alias("code")))) for code, broken in self.checks(c)]
+        for f in self.fields:
+            found += f.issues_at(c.getField(f.name), F.concat(path, F.lit(f".{f.name}")))
+        if self.items is not None:
+            none = F.array().cast("array<struct<path:string,code:string>>")
+            each = lambda x, i: F.flatten(F.array(*[F.coalesce(y, none) for y in self.items.issues_at(x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))]))
+            found.append(F.flatten(F.transform(c, each)))
+        return found
+
+    def checks(self, c: Column | None = None) -> list[tuple[str, Column]]:
         """(code, condition under which the value breaks the rule)."""
-        c = F.col(self.name)
+        c = F.col(self.name) if c is None else c
         out: list[tuple[str, Column]] = []
         if self.required and not self.nullable:
             out.append(("REQUIRED", c.isNull()))
         for code, broken in (
+            ("TYPE", None if self.type is None else c.isNotNull() & ~_is(c, self.type)),
             ("CONST", None if self.const is None else c != F.lit(self.const)),
             ("ENUM", ~c.isin(*self.enum) if self.enum else None),
             ("PATTERN", None if self.pattern is None else ~c.rlike(self.pattern)),
@@ -53,9 +74,10 @@ class Contract:
 
     def issues(self) -> Column:
         """array<struct(path, code)> of a row, in order of path."""
-        found = [F.when(broken, F.struct(F.lit(f"$.{r.name}").alias("path"), F.lit(code).alias("code"))) for r in self.rules for code, broken in r.checks()]
-        found += [F.when(F.coalesce(b, F.lit(False)), F.struct(F.lit("$").alias("path"), F.lit(code).alias("code"))) for code, b in self.across.items()]
-        return F.array_sort(F.filter(F.array(*found), lambda v: v.isNotNull()))
+        found = [x for r in self.rules for x in r.issues_at(F.col(r.name), F.lit(f"$.{r.name}"))]
+        found += [F.when(F.coalesce(b, F.lit(False)), F.array(F.struct(F.lit("$").alias("path"), F.lit(code).alias("code")))) for code, b in self.across.items()]
+        none = F.array().cast("array<struct<path:string,code:string>>")
+        return F.array_sort(F.flatten(F.array(none, *[F.coalesce(x, none) for x in found])))
 
 
 def tag(df: DataFrame, contract: Contract, name: str = "issues") -> DataFrame:

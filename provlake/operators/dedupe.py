@@ -14,14 +14,11 @@ def _cols(x: str | Sequence[str]) -> list[str]:
 
 
 def first_wins(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str], keep_null_keys: bool = False) -> DataFrame:
-    """The first row of each key.  keep_null_keys: rows without a key all stay."""
+    """The first row of each key.  keep_null_keys: rows without a (first) key all stay; they go past the window, so many are no hot task."""
     keys = _cols(key)
-    w = W.partitionBy(*keys).orderBy(*_cols(order))
-    ranked = df.withColumn("_rn", F.row_number().over(w))
-    keep = F.col("_rn") == 1
-    if keep_null_keys:
-        keep = keep | F.col(keys[0]).isNull()
-    return ranked.where(keep).drop("_rn")
+    keyed = df.where(F.col(keys[0]).isNotNull()) if keep_null_keys else df
+    first = keyed.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*_cols(order)))).where("_rn = 1").drop("_rn")
+    return first.unionAll(df.where(F.col(keys[0]).isNull())) if keep_null_keys else first
 
 
 def last_wins(df: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
@@ -59,6 +56,14 @@ def append_new(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
     return existing.unionByName(new.join(existing.select(*keys).distinct(), list(keys), "left_anti"), allowMissingColumns=True)
 
 
+def failures(*tables: DataFrame) -> DataFrame:
+    """Failure tables of several commands as one; columns that a table lacks are null."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out
+
+
 def upsert(existing: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """Last payload wins, at the place where the key first appeared (`position`)."""
     rows = existing.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provlake.functions.hashing import HASH_FIELD, content_hash
+from provlake.operators import summaries
 from provlake.functions.text import blank_to_null, col, optional_double, tokens
 
 # Identity patterns, required files, columns whose blank means null.
@@ -81,3 +82,56 @@ def decide(identity: Column, missing: Column, n_issues: Column, accepted_checksu
         .when(accepted_checksum.isNotNull(), "DUPLICATE")
         .otherwise("ACCEPTED")
     )
+
+
+# Names that stand for no member.
+NO_MEMBER = ("", "unknown", "member-name")
+
+
+def classify_rows(rows: DataFrame, batch: str | Column, checked: DataFrame, image: str = "image_path") -> DataFrame:
+    """rows with `action`: CHECK, SKIP_EXISTING (image in checked) or nothing at all for rows of other batches and without an image.
+
+    A row without a batch id belongs to every batch.
+    """
+    own, path = F.coalesce(F.trim("batch_id"), F.lit("")), F.coalesce(F.trim(image), F.lit(""))
+    mine = rows.where(((own == "") | (own == col(batch))) & (path != ""))
+    known = checked.select(F.col(image).alias("_known")).distinct()
+    out = mine.join(known, F.trim(image) == F.col("_known"), "left")
+    return out.withColumn("action", F.when(F.col("_known").isNull(), "CHECK").otherwise("SKIP_EXISTING")).drop("_known")
+
+
+def ocr_rows(rows: DataFrame, member: str | Column, batch: str | Column | None = None) -> DataFrame:
+    """rows with `mine`: those of the batch if one is given, else those of the member's batches."""
+    own = F.coalesce(F.trim("batch_id"), F.lit(""))
+    return rows.withColumn("mine", owned_by(own, member) if batch is None else F.when(col(batch).isNull(), owned_by(own, member)).otherwise(own == col(batch)))
+
+
+def of_member(batches: DataFrame, member: str | None, batch: str = "batch_id") -> DataFrame:
+    """Batches whose id holds the member; a placeholder is no filter."""
+    return batches if member is None or member in NO_MEMBER else batches.where(F.contains(batch, F.lit(member)))
+
+
+def platform_ready(batches: DataFrame, products: DataFrame, members: Sequence[str], batch: str = "batch_id") -> DataFrame:
+    """Batches whose owner is known and that have a product, with their owner."""
+    known = batches.withColumn("owner", owner(batch, members)).where("owner is not null")
+    return known.join(products.select(batch).distinct(), batch, "left_semi")
+
+
+def lifecycle(runs: DataFrame, found: DataFrame, key: str = "batch_id") -> DataFrame:
+    """Discovery manifests: runs (key, started_at, ...) RUNNING until found (key, item, stop_reason, ended_at, failed) has rows for them.
+
+    discovered: distinct items; duplicates: the other appearances; a run with a failed row ends FAILED, else COMPLETED.
+    """
+    ends = found.groupBy(key).agg(F.count_distinct("item").alias("discovered_count"), (F.count("item") - F.count_distinct("item")).alias("duplicate_count"), F.max("stop_reason").alias("stop_reason"), F.max("ended_at").alias("finished_at"), F.bool_or("failed").alias("_failed"))
+    out = runs.join(ends, key, "left").fillna(0, ["discovered_count", "duplicate_count"])
+    return out.withColumn("status", F.when(F.col("_failed").isNull(), "RUNNING").when(F.col("_failed"), "FAILED").otherwise("COMPLETED")).drop("_failed")
+
+
+def submission_summary(batches: DataFrame, key: str, counts: dict[str, DataFrame], manifests: DataFrame, reports: DataFrame, needed: Sequence[str]) -> DataFrame:
+    """One row for each batch: a count for each table, and the status of the manifest, else of the report, else by the needed tables."""
+    out = summaries.with_counts(batches, key, counts)
+    out = out.join(manifests.select(key, F.col("status").alias("_m")), key, "left").join(reports.select(key, F.col("status").alias("_r")), key, "left")
+    every = F.lit(True)
+    for n in needed:
+        every = every & (F.col(n) > 0)
+    return out.withColumn("status", summaries.submission_status(F.col("_m"), F.col("_r"), every)).drop("_m", "_r")

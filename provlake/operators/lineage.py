@@ -1,34 +1,53 @@
-"""Lineage: ancestors and cycles over an edge table, as recursive queries."""
+"""Lineage: ancestors and cycles over an edge table, level by level over written frontiers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 100
+from provlake.sources.shared import written
 
 
-def ancestors(spark: SparkSession, edges: DataFrame, start: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def ancestors(spark: SparkSession, edges: DataFrame, start: DataFrame) -> DataFrame:
     """(root, ancestor, child, relation, depth), once each; edges (parent, child, relation), start (root).
 
-    A recursive query: an artifact that is reached at two depths has two rows.  Edges deeper than max_depth, or in a cycle,
-    are an error: nothing is cut.
+    An artifact that is reached at two depths has two rows.  Each level is one join of the distinct frontier with the edges,
+    so paths that meet again are followed once; the rounds end when a level is empty, whatever its depth.  A level
+    deeper than there are artifacts proves a cycle, which is an error.
     """
-    return spark.sql(
-        """
-        WITH RECURSIVE up(root, ancestor, child, relation, depth) MAX RECURSION LEVEL {level} AS (
-            SELECT s.root, e.parent, e.child, e.relation, 1 FROM {start} s JOIN {edges} e ON e.child = s.root
-            UNION ALL
-            SELECT u.root, e.parent, e.child, e.relation, u.depth + 1 FROM up u JOIN {edges} e ON e.child = u.ancestor)
-        SELECT DISTINCT root, ancestor, child, relation, depth FROM up""",
-        edges=edges,
-        start=start,
-        level=max_depth,
-    )
-
-
-def would_cycle(spark: SparkSession, edges: DataFrame, proposed: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+    e = written(edges.select("parent", "child", "relation"), "edges")
+    most = e.select("child").distinct().count()
+    frontier, out, depth = written(start.select("root", F.col("root").alias("at")).distinct(), "frontier"), None, 0
+    while True:
+        depth += 1
+        level = written(frontier.join(e, F.col("at") == F.col("child")).select("root", F.col("parent").alias("ancestor"), "child", "relation", F.lit(depth).alias("depth")).distinct(), "level")
+        out = level if out is None else out.unionAll(level)
+        if level.isEmpty():
+            return out
+        if depth > most:
+            raise ValueError("the edges hold a cycle")
+        frontier = level.select("root", F.col("ancestor").alias("at")).distinct()
+
+
+def reached(spark: SparkSession, edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(root, ancestor), once each, however the edges run: what is known already is not followed again."""
+    e = written(edges.select("parent", "child").distinct(), "edges")
+    frontier = known = written(start.select("root", F.col("root").alias("ancestor")).distinct(), "frontier")
+    while True:
+        step = frontier.join(e, F.col("ancestor") == F.col("child")).select("root", F.col("parent").alias("ancestor")).distinct()
+        frontier = written(step.join(known, ["root", "ancestor"], "left_anti"), "frontier")
+        if frontier.isEmpty():
+            return known
+        known = known.unionAll(frontier)
+
+
+def would_cycle(spark: SparkSession, edges: DataFrame, proposed: DataFrame) -> DataFrame:
     """proposed (parent, child) with `rejected`: the child is the parent or one of its ancestors already."""
-    up = ancestors(spark, edges, proposed.select(F.col("parent").alias("root")).distinct(), max_depth).select(F.col("root").alias("parent"), F.col("ancestor").alias("child")).distinct()
+    up = reached(spark, edges, proposed.select(F.col("parent").alias("root")).distinct()).select(F.col("root").alias("parent"), F.col("ancestor").alias("child"))
     marked = proposed.join(up.withColumn("_hit", F.lit(True)), ["parent", "child"], "left")
     return marked.select("parent", "child", (F.coalesce("_hit", F.lit(False)) | (F.col("parent") == F.col("child"))).alias("rejected"))
+
+
+def ancestor_artifacts(found: DataFrame, artifacts: DataFrame, key: str = "artifact_id") -> DataFrame:
+    """found (root, ancestor, ...) with the columns of the ancestor's artifact; ancestors without one go."""
+    return found.join(artifacts, F.col("ancestor") == F.col(key)).drop(key)

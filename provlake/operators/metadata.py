@@ -86,3 +86,14 @@ def migrations_to_apply(found: DataFrame, applied: DataFrame) -> DataFrame:
     was = applied.select("version", F.col("checksum").alias("_was"))
     action = F.when(F.col("_was").isNull(), "APPLY").when(F.col("_was") == F.col("checksum"), "SKIP").otherwise("CHECKSUM_CHANGED")
     return found.join(was, "version", "left").select("version", "checksum", action.alias("action"))
+
+
+def found_migrations(files: DataFrame) -> DataFrame:
+    """(version, name, checksum) of files (name, sha256) named NNNN_<what>.up.sql."""
+    return files.where(F.col("name").rlike(r"^[0-9]{4}_.*\.up\.sql$")).select(F.left("name", F.lit(4)).alias("version"), "name", F.col("sha256").alias("checksum"))
+
+
+def with_trigger(runs: DataFrame, trigger: str | Column, logs: str, run_id: str = "run_id") -> DataFrame:
+    """runs with what started them and where their log lies."""
+    t = F.lit(trigger) if isinstance(trigger, str) else trigger
+    return runs.withColumns({"trigger": t, "log_path": F.concat(F.lit(f"{logs.rstrip('/')}/"), F.col(run_id), F.lit(".log"))})

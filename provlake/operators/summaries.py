@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,3 +63,8 @@ def progress_percent(done: str | Column, total: str | Column) -> Column:
 def csv_profile(rows: DataFrame, key: str, version: str = "schema_version") -> DataFrame:
     """row_count and the sorted distinct versions, joined by commas."""
     return rows.groupBy(key).agg(F.count("*").alias("row_count"), F.array_join(F.array_sort(F.collect_set(blank_to_null(version))), ",").alias("schema_versions"))
+
+
+def outcome_counters(rows: DataFrame, key: str, outcome: str, kinds: Mapping[str, Sequence[str]]) -> DataFrame:
+    """One column for each name in kinds: how many rows of the key have one of its outcomes."""
+    return rows.groupBy(key).agg(*[F.count_if(F.col(outcome).isin(*values)).alias(n) for n, values in kinds.items()])

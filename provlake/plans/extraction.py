@@ -8,16 +8,7 @@ from provlake.functions import extract, text
 from provlake.operators import publish
 from provlake.plans.discovery import table
 
-#: Invented page texts for the literal queries.
-PAGES = [
-    (1, "소비기한 2026-01-01\n보관방법 : 냉장 보관"),
-    (2, "・소비기한\n제조일로부터 10일\n보관 방법\n상품설명 및 상품이미지 참조\n보관안내 실온"),
-    (3, "식품의 유형 | 두부\n품질유지기한: 3개월\r\n보존 및 유통온도\n-18℃ 이하"),
-    (4, ""),
-    (5, "판매단위\n1팩\n중량/용량\n300g\n3개입"),
-]
 NAMES = [(1, "[마을] 국내산 두부 300g (냉장)"), (2, "한우 불고기 1.5kg"), (3, "Cold brew 500ml"), (4, "냉동 frozen 만두"), (5, " - 실온 과자 /"), (6, None)]
-EXPIRY = [(1, "제조일로부터 10일"), (2, "3 months from packaging"), (3, "<b>수령</b> 후&nbsp;48시간"), (4, "unknown"), (5, None)]
 
 
 def blank_to_null(spark, d):
@@ -33,8 +24,21 @@ def labelled_text(spark, d):
     return table(spark, d, "documents").select("doc_id", extract.labelled_text("text", ("The", "And the", "In")).alias("value"))
 
 
+def _page_texts(spark, d):
+    """Invented page texts with a number of the part in them."""
+    k, n = F.col("p_partkey") % 5, F.col("p_size").cast("string")
+    text = (
+        F.when(k == 0, F.concat(F.lit("소비기한 2026-01-"), n, F.lit("\n보관방법 : 냉장 보관")))
+        .when(k == 1, F.concat(F.lit("・소비기한\n제조일로부터 "), n, F.lit("일\n보관안내 실온")))
+        .when(k == 2, F.concat(F.lit("식품의 유형 | 두부\n품질유지기한: "), n, F.lit("개월\r\n보존 및 유통온도\n-18℃ 이하")))
+        .when(k == 3, "")
+        .otherwise(F.concat(F.lit("판매단위\n"), n, F.lit("팩\n중량/용량\n300g\n"), n, F.lit("개입")))
+    )
+    return table(spark, d, "part").withColumn("text", text)
+
+
 def page_fields(spark, d):
-    return spark.createDataFrame(PAGES, "id int, text string").select("id", *extract.page_fields("text", F.lit("두부 300g")))
+    return _page_texts(spark, d).select("p_partkey", *extract.page_fields("text", F.lit("두부 300g")))
 
 
 def disclosure_value(spark, d):
@@ -42,7 +46,7 @@ def disclosure_value(spark, d):
 
 
 def disclosure_literal(spark, d):
-    return spark.createDataFrame(PAGES, "id int, text string").select("id", extract.disclosure_fields("text").alias("f")).select("id", "f.*")
+    return _page_texts(spark, d).select("p_partkey", extract.disclosure_fields("text").alias("f")).select("p_partkey", "f.*")
 
 
 def keyword_gate(spark, d):
@@ -55,8 +59,9 @@ def storage_types(spark, d):
 
 
 def name_candidate(spark, d):
-    n = spark.createDataFrame(NAMES, "id int, name string")
-    return n.select("id", extract.food_name("name").alias("candidate"), extract.weight_in("name").alias("weight"))
+    k = F.col("p_partkey") % 3
+    name = F.when(k == 0, F.concat(F.lit("[마을] 국내산 "), "p_name", F.lit(" "), "p_size", F.lit("g (냉장)"))).when(k == 1, F.concat(F.lit("한우 "), "p_name", F.lit(" 1.5kg"))).otherwise(F.concat(F.lit(" - "), "p_name", F.lit(" /")))
+    return table(spark, d, "part").select("p_partkey", extract.food_name(name).alias("candidate"), extract.weight_in(name).alias("weight"))
 
 
 def part_name_candidate(spark, d):
@@ -65,8 +70,10 @@ def part_name_candidate(spark, d):
 
 
 def silver_normalize(spark, d):
-    e = spark.createDataFrame(EXPIRY, "id int, text string").select("id", publish.clean_text("text").alias("text"), publish.expiration_parts("text").alias("p"))
-    return e.select("id", "text", F.col("p.value").alias("value"), F.col("p.unit").alias("unit"), F.col("p.basis").alias("basis"))
+    k, n = F.col("p_partkey") % 5, F.col("p_size").cast("string")
+    text = F.when(k == 0, F.concat(F.lit("제조일로부터 "), n, F.lit("일"))).when(k == 1, F.concat(n, F.lit(" months from packaging"))).when(k == 2, F.concat(F.lit("<b>수령</b> 후&nbsp;"), n, F.lit("시간"))).when(k == 3, "unknown")
+    e = table(spark, d, "part").select("p_partkey", publish.clean_text(text).alias("text"), publish.expiration_parts(text).alias("p"))
+    return e.select("p_partkey", "text", F.col("p.value").alias("value"), F.col("p.unit").alias("unit"), F.col("p.basis").alias("basis"))
 
 
 def _values(rows: list[tuple]) -> str:
@@ -94,14 +101,18 @@ QUERIES = [
     (blank_to_null, r"""SELECT doc_id, nullif(trim(regexp_extract(text, '\n([^\n]*)$', 1)), '') AS last_line, TRY_CAST(nullif(regexp_extract(text, '([0-9]+[.][0-9]+)', 1), '') AS DOUBLE) AS number FROM documents"""),
     (lines_explode, """SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS line FROM (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda v: regexp_replace(trim(v), ' +', ' ', 'g')), lambda v: v <> '') AS l FROM documents)"""),
     (labelled_text, _LABELS),
-    (page_fields, None),
+    (page_fields, """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '2026-01-' || p_size WHEN 1 THEN '제조일로부터 ' || p_size || '일' WHEN 2 THEN p_size || '개월' END AS expiration_info_dom,
+        CASE p_partkey % 5 WHEN 0 THEN '냉장 보관' WHEN 1 THEN '실온' END AS storage_method_dom, CASE p_partkey % 5 WHEN 0 THEN 'REFRIGERATED' WHEN 1 THEN 'ROOM_TEMPERATURE' ELSE 'UNKNOWN' END AS storage_type_dom, '두부' AS food_name_candidate, '300g' AS weight_raw,
+        CASE WHEN p_partkey % 5 = 4 THEN p_size || '개입' END AS quantity_raw, CASE WHEN p_partkey % 5 = 4 THEN p_size || '팩' END AS sales_unit_raw FROM part"""),
     (disclosure_value, _DISCLOSURE),
-    (disclosure_literal, None),
+    (disclosure_literal, """SELECT p_partkey, CASE WHEN p_partkey % 5 = 2 THEN '두부' END AS food_type_raw, CASE p_partkey % 5 WHEN 0 THEN '2026-01-' || p_size WHEN 1 THEN '・' WHEN 2 THEN p_size || '개월' END AS expiration_info_raw,
+        CASE p_partkey % 5 WHEN 0 THEN '냉장 보관' WHEN 2 THEN '-18℃ 이하' END AS storage_method_raw, p_partkey % 5 < 3 AS has_any_value FROM part"""),
     (keyword_gate, "SELECT doc_id, contains(replace(text, ' ', ''), 'theand') OR contains(replace(text, ' ', ''), 'trash') OR contains(replace(text, ' ', ''), 'unddie') AS hit FROM documents"),
     (storage_types, f"""WITH n AS (SELECT id, lower(coalesce(name, '')) AS t FROM (VALUES {_values(NAMES)}) AS v(id, name)),
         m AS (SELECT id, contains(t, '냉장') OR contains(t, 'refrigerat') AS c, contains(t, '냉동') OR contains(t, 'frozen') AS f, contains(t, '상온') OR contains(t, '실온') OR contains(t, 'room temperature') AS r FROM n)
         SELECT id, CASE WHEN c THEN 'REFRIGERATED' WHEN f THEN 'FROZEN' WHEN r THEN 'ROOM_TEMPERATURE' ELSE 'UNKNOWN' END AS crawl, CASE WHEN f THEN 'FROZEN' WHEN c THEN 'REFRIGERATED' WHEN r THEN 'ROOM_TEMPERATURE' ELSE 'UNKNOWN' END AS ocr FROM m"""),
-    (name_candidate, None),
+    (name_candidate, "SELECT p_partkey, p_name AS candidate, CASE p_partkey % 3 WHEN 0 THEN p_size || 'g' WHEN 1 THEN '1.5kg' END AS weight FROM part"),
     (part_name_candidate, "SELECT p_partkey, trim(p_name, ' -/') AS candidate FROM part"),
-    (silver_normalize, None),
+    (silver_normalize, """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '제조일로부터 ' || p_size || '일' WHEN 1 THEN p_size || ' months from packaging' WHEN 2 THEN '수령 후 ' || p_size || '시간' WHEN 3 THEN 'unknown' END AS text,
+        CASE WHEN p_partkey % 5 < 3 THEN CAST(p_size AS DOUBLE) END AS value, CASE p_partkey % 5 WHEN 0 THEN 'DAY' WHEN 1 THEN 'MONTH' WHEN 2 THEN 'HOUR' END AS unit, CASE p_partkey % 5 WHEN 0 THEN 'MANUFACTURE' WHEN 1 THEN 'PACKAGING' WHEN 2 THEN 'RECEIPT' END AS basis FROM part"""),
 ]

@@ -109,7 +109,7 @@ def _edges(spark, d):
 
 def lineage_ancestors(spark, d):
     e = _edges(spark, d)
-    return lineage.ancestors(spark, e, e.where(F.col("relation") == "assistant").select(F.col("child").alias("root")).where("root LIKE '%-3'"))
+    return lineage.ancestors(spark, e, e.where(F.col("relation") == "assistant").select(F.col("child").alias("root")))
 
 
 def lineage_cycle(spark, d):
@@ -130,7 +130,7 @@ def recent_runs(spark, d):
 
 def sensor_new(spark, d):
     e = table(spark, d, "events").select(F.col("user_id").alias("batch_id"), "event_type")
-    return new_batches(e.where("event_type = 'click'"), e.where("event_type = 'purchase'").distinct())
+    return new_batches(e.where("event_type = 'click'"), e.where("event_type = 'purchase' AND batch_id % 3 = 0").distinct())
 
 
 def progress_events(spark, d):
@@ -233,12 +233,12 @@ QUERIES = [
         SELECT *, CASE WHEN previous IS NULL THEN status = 'PENDING' ELSE status = previous OR (previous = 'PENDING' AND status IN ('RUNNING', 'CANCELLED')) OR (previous = 'RUNNING' AND status IN ('SUCCEEDED', 'FAILED', 'PARTIAL', 'CANCELLED')) END AS valid FROM p"""),
     (run_states, f"""WITH s AS (SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, {_STATE} AS status FROM events)
         SELECT user_id, arg_max(status, event_id) AS status, min(ts) FILTER (status = 'RUNNING') AS started_at, min(ts) FILTER (status IN ('SUCCEEDED', 'FAILED')) AS finished_at FROM s GROUP BY 1"""),
-    (lineage_ancestors, f"""WITH RECURSIVE e AS ({_EDGE}), up(root, ancestor, child, relation, depth) AS (SELECT child, parent, child, relation, 1 FROM e WHERE relation = 'assistant' AND child LIKE '%-3'
+    (lineage_ancestors, f"""WITH RECURSIVE e AS ({_EDGE}), up(root, ancestor, child, relation, depth) AS (SELECT child, parent, child, relation, 1 FROM e WHERE relation = 'assistant'
         UNION ALL SELECT u.root, e.parent, e.child, e.relation, u.depth + 1 FROM up u JOIN e ON e.child = u.ancestor) SELECT DISTINCT root, ancestor, child, relation, depth FROM up"""),
     (lineage_cycle, f"WITH e AS ({_EDGE}) SELECT child AS parent, parent AS child, true AS rejected FROM e UNION ALL SELECT parent, child || 'x', false FROM e"),
     (run_snapshot, "SELECT c_custkey AS o_custkey, CAST(count(o_orderkey) AS INTEGER) AS n, coalesce(string_agg(o_orderstatus, '' ORDER BY o_orderkey), '') AS statuses FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1"),
     (recent_runs, "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed FROM orders ORDER BY placed DESC, o_orderkey LIMIT 50"),
-    (sensor_new, "SELECT batch_id, 'accepted:' || batch_id AS run_key FROM (SELECT user_id AS batch_id FROM events WHERE event_type = 'click' EXCEPT SELECT user_id FROM events WHERE event_type = 'purchase')"),
+    (sensor_new, "SELECT batch_id, 'accepted:' || batch_id AS run_key FROM (SELECT user_id AS batch_id FROM events WHERE event_type = 'click' EXCEPT SELECT user_id FROM events WHERE event_type = 'purchase' AND user_id % 3 = 0)"),
     (progress_events, r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '(?m)^(The|In|And) ')) AS INTEGER) AS done, CASE WHEN doc_id % 4 <> 0 THEN CAST(least(100, round_even(100 * (doc_id % 300) / 200, 0)) AS INTEGER) END AS percent FROM documents"""),
     (csv_profile, "SELECT user_id, count(*) AS row_count, coalesce(string_agg(DISTINCT event_type, ',' ORDER BY event_type) FILTER (event_id % 3 <> 0), '') AS schema_versions FROM events GROUP BY 1"),
     (migrations, "SELECT n_name AS version, sha256(n_name) AS checksum, CASE WHEN n_nationkey % 2 <> 0 THEN 'APPLY' WHEN n_nationkey % 6 = 0 THEN 'CHECKSUM_CHANGED' ELSE 'SKIP' END AS action FROM nation"),

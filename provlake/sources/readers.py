@@ -52,8 +52,9 @@ def read_json_lenient(spark: SparkSession, path: str) -> DataFrame:
     return strict.select("path", F.when(F.col("error").isNull(), F.col("payload")).otherwise("{}").alias("payload"))
 
 
-def read_nested(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_nested(spark: SparkSession, path: str, schema: T.StructType | str, lines: bool = False) -> DataFrame:
+    """JSON files of one object or array each; lines: of one object a line, as write_nested leaves them."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
 def read_urls(spark: SparkSession, path: str, rules: UrlRules = RULES) -> DataFrame:
@@ -124,3 +125,8 @@ def commit_folder(df: DataFrame, path: str, fmt: str = "parquet", fresh: bool =
         fs.delete(source, True)
     if old is not None:
         fs.delete(old, True)
+
+
+def compact(spark: SparkSession, pattern: str, schema: T.StructType | str, path: str, rows_per_file: int = 5_000_000) -> None:
+    """Many small JSON files as Parquet at path, in one commit: few large files, no row in two of them."""
+    spark.read.schema(schema).json(pattern).hint("rebalance").write.option("maxRecordsPerFile", rows_per_file).parquet(path)

@@ -75,13 +75,6 @@ def test_lineage_diamond_and_cycle(spark):
     assert rows(lineage.would_cycle(spark, e, p)) == [("d", "a", True), ("d", "d", True), ("d", "e", False)]
 
 
-def test_deep_lineage_is_whole_or_an_error(spark):
-    deep = lambda n: spark.createDataFrame([(str(i), str(i + 1), "r") for i in range(n)], "parent string, child string, relation string")
-    assert lineage.ancestors(spark, deep(12), spark.createDataFrame([("12",)], "root string")).count() == 12
-    with pytest.raises(Exception, match="RECURSION"):
-        lineage.ancestors(spark, deep(12), spark.createDataFrame([("12",)], "root string"), max_depth=8).collect()
-
-
 def test_percent_is_half_even(spark):
     d = spark.createDataFrame([(1, 200), (3, 200), (5, 4), (1, 0)], "d int, t int")
     assert [r[0] for r in d.select(summaries.progress_percent("d", "t")).collect()] == [0, 2, 100, None]
