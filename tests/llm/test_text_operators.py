@@ -518,3 +518,54 @@ def test_empty_tables(spark, empty):
         language.identify_language(empty), secrets.scan_secrets(empty), bpe.encode_digests(empty), simhash.simhash_components(empty), chains.fuzzy_passages(empty),
     ):
         assert out.count() == 0
+
+
+def word(r):
+    return "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+
+
+def test_passages_whose_parts_belong_to_earlier_documents(spark):
+    """Two later documents share 200 words (60, 50) of which earlier documents hold parts."""
+    r = random.Random(11)
+    own = lambda n: [word(r) for _ in range(n)]
+    texts = {}
+    for case, (size, parts) in enumerate([(200, [(i, i + 40) for i in range(0, 200, 40)]), (60, [(0, 30)]), (60, [(0, 45), (20, 60)]), (50, [(0, 25), (25, 50)]), (120, [(0, 49), (49, 98), (30, 79)])]):
+        passage = own(size)
+        for j, (a, b) in enumerate(parts):
+            texts[case * 100 + j] = own(70) + passage[a:b] + own(70)
+        for j in (50, 51, 52):
+            texts[case * 100 + j] = own(90) + passage + own(33)
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(4)
+    got = {x.doc_id: x for x in chains.fuzzy_passages(d).collect()}
+    for case, size in enumerate((200, 60, 60, 50, 120)):
+        for j in (50, 51, 52):
+            assert size <= got[case * 100 + j].n_dup_words <= size + 2, (case, j, got[case * 100 + j])
+    assert got[0].n_dup_words == got[100].n_dup_words == 0
+
+
+def test_words_by_numpy():
+    r = random.Random(2)
+    texts = ["", "  ", "a", " a b\ta\nb\x0bc ", "x" * 1000 + " y", "\u00a0x \x1cz é é"] + [" ".join(word(r)[: r.randrange(1, 7)] for _ in range(50)) for _ in range(20)]
+    seen = {}
+    for t in texts:
+        words, h = t.encode().split(), chains.word_hashes(t)
+        assert len(words) == len(h)
+        assert all(seen.setdefault(w, x) == x for w, x in zip(words, h.tolist(), strict=True))
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_passages_against_all_pairs(spark):
+    """Per-document recall of runs of 50 words and more that two documents share, by comparing all windows."""
+    r = random.Random(23)
+    pool = [[word(r) for _ in range(r.randrange(20, 160))] for _ in range(25)]
+    texts = [[w for _ in range(r.randrange(1, 6)) for w in [*r.choice(pool), *(word(r) for _ in range(r.randrange(0, 60)))]] for _ in range(60)]
+    where = {}
+    for i, t in enumerate(texts):
+        for p in range(len(t) - 49):
+            where.setdefault(tuple(t[p : p + 50]), set()).add(i)
+    want = [{q for p in range(len(t) - 49) if len(where[tuple(t[p : p + 50])]) > 1 for q in range(p, p + 50)} for t in texts]
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for x in chains.fuzzy_passages(d).collect():
+        got = {q for v in x.passages.split(",") if v for q in range(*map(int, v.split(":")))}
+        assert len(want[x.doc_id] & got) >= 0.95 * len(want[x.doc_id])
+        assert len(got - want[x.doc_id]) <= 0.3 * len(texts[x.doc_id])
