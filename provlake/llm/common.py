@@ -35,9 +35,11 @@ def words_of(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set, as in tests."""
+    """The cluster's shared checkpoint folder; a temporary one only in a local session where none is set, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that they share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="provlake-"))
         found = spark.sparkContext.getCheckpointDir()
     return found

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from provlake.llm import boilerplate, bpe, chains, decontamination, language, personal, repetition, secrets, simhash, suffixes
 
 
@@ -54,7 +53,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chains.fuzzy_passages(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_quality_rules, op3_benchmark_decontamination, op4_pii, op5_line_dedup, op6_language_id, op7_secret_scans, op8_bpe_encoding, op9_simhash_near_dedup, op10_substring_dedup)} | {"pipeline": corpus_pipeline.run}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_quality_rules, op3_benchmark_decontamination, op4_pii, op5_line_dedup, op6_language_id, op7_secret_scans, op8_bpe_encoding, op9_simhash_near_dedup, op10_substring_dedup)}
 
 _ITEM_WORDS = r"list_filter(string_split_regex(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
