@@ -488,9 +488,8 @@ def test_similarity_is_judged_by_words(spark):
 
 def test_alignment_is_the_best():
     r = random.Random(8)
-    for _ in range(100):
-        x, y = ([r.randrange(4) for _ in range(r.randrange(1, 9))] for _ in range(2))
-        got = chains.equal_words(np.array(x), np.array(y))
+    pairs = [tuple([r.randrange(4) for _ in range(r.randrange(1, 9))] for _ in range(2)) for _ in range(100)]
+    for (x, y), got in zip(pairs, chains.equal_words([(np.array(x), np.array(y)) for x, y in pairs]), strict=True):
         d = {(i, j): i + j for i in range(len(x) + 1) for j in range(len(y) + 1) if not i * j}
         for i in range(1, len(x) + 1):
             for j in range(1, len(y) + 1):
