@@ -568,3 +568,35 @@ def test_passages_against_all_pairs(spark):
         got = {q for v in x.passages.split(",") if v for q in range(*map(int, v.split(":")))}
         assert len(want[x.doc_id] & got) >= 0.95 * len(want[x.doc_id])
         assert len(got - want[x.doc_id]) <= 0.3 * len(texts[x.doc_id])
+
+
+def test_seeds_side_by_side_are_those_of_each_text():
+    rng = np.random.default_rng(5)
+    texts = ["", " ", "a b", "a b c d e", "x " * 40, *(" ".join(f"w{i}" for i in rng.integers(0, 30, n)) for n in (4, 5, 9, 10, 11, 80, 400))]
+    words = [chains.word_hashes(t) for t in texts]
+    n = np.array([len(w) for w in words])
+    counts, *whole = chains.seeds(np.concatenate(words), n)
+    at = 0
+    for w, c in zip(words, counts.tolist(), strict=True):
+        one = chains.seeds(w, np.array([len(w)]))
+        assert one[0].tolist() == [c]
+        assert all((x == y[at : at + c]).all() for x, y in zip(one[1:], whole, strict=True))
+        # of every 6 successive 5-word strings one is a seed
+        assert (c == 0) if len(w) < 5 else (1 <= c <= len(w) - 4 and np.diff(one[1], prepend=-1, append=len(w) - 4).max() <= 6)
+        at += c
+
+
+def test_rising_matches_have_the_chains_of_the_tree():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        a, b = np.cumsum(rng.integers(1, 30, 25)), np.cumsum(rng.integers(1, 30, 25))
+        # a gap cost that no sum of whole numbers meets, so that no joint is a tie
+        (w, p), (x, q) = chains._in_line(a, b, 5, 0.2003, 60), chains._by_tree(a, b, 5, 0.2003, 60)
+        assert p == q and np.allclose(w, x)
+
+
+def test_words_are_counted_from_pieces(spark):
+    texts = [None, "", " ", "\t\n ", "a", " a", "a ", "a  b\x0bc\n", "  x", "long " * 50]
+    d = spark.createDataFrame([(t,) for t in texts], "text string")
+    out = d.select("text", chains._n_words(F.col("text")).alias("n")).collect()
+    assert all(r.n == len([w for w in re.split("[\x20\x09-\x0d]+", r.text or "") if w]) for r in out)
