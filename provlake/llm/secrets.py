@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and a token-efficiency test for strings that no pattern names.
 
 Text that people write packs several characters into each token of a BPE vocabulary; random strings
-do not.  Long unbroken strings of letters and digits with few characters per token are reported,
+do not.  Long unbroken strings with letters, with or without digits, that have few characters per token are reported,
 unless they have the form of a known digest or consist of vocabulary words and numbers.  One map over whole texts, no shuffle.
 Null text: empty.  Repeated rows: each row alone.  Spans are code points, end exclusive.
 """
@@ -12,6 +12,7 @@ import base64
 import hashlib
 import re
 from functools import lru_cache
+from itertools import pairwise
 
 from pyspark.sql import DataFrame
 
@@ -31,6 +32,8 @@ _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+|[^A-Za-z0-9]+")
 LEAST_WORD = 3
 MAX_RATIO = 2.1
+LETTERS_RATIO = 2.05
+LEAST_LETTERS = 8
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -55,11 +58,17 @@ def identifier(s: str, path: str) -> bool:
     return all(len(p) >= LEAST_WORD and (one(p) or one(p.lower())) for p in _PARTS.findall(s) if p[0].isalpha())
 
 
-def random_looking(s: str, path: str, max_ratio: float = MAX_RATIO) -> bool:
-    if not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)):
+def random_looking(s: str, path: str, max_ratio: float = MAX_RATIO, letters_ratio: float = LETTERS_RATIO) -> bool:
+    """Few characters per token; strings of letters alone have a lower limit, as long words of other languages come near, and
+    need some different letters.  Numbers, digests, identifiers and stretches of the alphabet are none."""
+    if not re.search("[A-Za-z]", s) or (_HEXES.fullmatch(s) and len(s) in DIGESTS) or _UUID.fullmatch(s):
         return False
-    if (_HEXES.fullmatch(s) and len(s) in DIGESTS) or _UUID.fullmatch(s):
+    if 2 * sum(ord(y) - ord(x) == 1 for x, y in pairwise(s)) > len(s):
         return False
+    if not re.search("[0-9]", s):
+        max_ratio = min(max_ratio, letters_ratio)
+        if len(set(s)) < LEAST_LETTERS:
+            return False
     return len(s) / len(_encoding(path).encode_ordinary(s)) < max_ratio and not identifier(s, path)
 
 

@@ -600,3 +600,16 @@ def test_words_are_counted_from_pieces(spark):
     d = spark.createDataFrame([(t,) for t in texts], "text string")
     out = d.select("text", chains._n_words(F.col("text")).alias("n")).collect()
     assert all(r.n == len([w for w in re.split("[\x20\x09-\x0d]+", r.text or "") if w]) for r in out)
+
+
+def test_random_strings_of_letters_alone_are_reported():
+    path = secrets.vocabulary_path("byte_bpe_50k.tiktoken")
+    r = random.Random(11)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        keys = ["".join(r.choice(alphabet) for _ in range(r.choice((20, 24, 32, 40)))) for _ in range(500)]
+        assert sum(secrets.random_looking(k, path) for k in keys) >= 0.95 * len(keys)
+    clean = [
+        "Donaudampfschifffahrtsgesellschaft", "internationalization", "getElementsByClassNameOrTagName", "anticonstitutionnellement", "epaineenvaihtelunvaikutuksesta",
+        "lentokonesuihkuturbiinimoottoriapumekaanikko", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "a" * 40, "ACGTTAGCCATGCATTAGCCATTA", "=" * 60, "speedometerhousingreplacement",
+    ]
+    assert not [k for k in clean if secrets.random_looking(k, path)]
