@@ -1,4 +1,5 @@
 import json
+import random
 import struct
 
 import numpy as np
@@ -200,3 +201,27 @@ def test_bundles(spark, tmp_path):
     assert {(r.logical_name, r.format) for r in a.collect()} == {("manifest", "JSON"), ("products", "CSV")}
     assert a.select("run_id").distinct().count() == 1 and bundles.bundled_in(a).count() == 1
     assert rows(bundles.artifact_records(files)) == rows(a)
+
+
+def test_fuzzy_names_are_those_of_all_pairs(spark):
+    r = random.Random(9)
+    names = ["".join(r.choice("abc") for _ in range(r.choice((0, 1, 2, 3, 4, 5, 8, 12)))) for _ in range(60)]
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x):
+            last, row[0] = row[:], i + 1
+            for j, e in enumerate(y):
+                row[j + 1] = min(last[j] + (c != e), last[j + 1] + 1, row[j] + 1)
+        return row[-1]
+
+    ref = [(f"c{i}", n if i % 20 else None, f"g{i % 2}", i) for i, n in enumerate(names)]
+    own = [(i, f"x{i}", r.choice(names)[1:] + r.choice("abc") if i % 25 else None, f"g{i % 2}") for i in range(120)]
+    out = publish.reconcile(
+        spark.createDataFrame(own, "product_id long, code string, name string, grp string"),
+        spark.createDataFrame(ref, "code string, name string, grp string, reference_id long"), "code", "name", "grp")
+    want = {}
+    for p, _, n, g in own:
+        near = [(distance(n, m), i) for _, m, h, i in ref if n is not None and m is not None and g == h]
+        want[p] = min([x for x in near if x[0] <= 3], default=(None, None))
+    assert {x.product_id: (x.distance, x.reference_id) for x in out.collect()} == want
