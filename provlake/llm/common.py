@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A document row is told by its id together with a hash of its text, so rows that share an id stay apart.
@@ -123,3 +124,20 @@ def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[
             held.append(b.iloc[cut:])
     if held:
         yield pd.concat(held, ignore_index=True)
+
+
+def ranked(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """df with the number of each row inside its group, from 0 in the order of the columns named, nulls first.
+
+    Rows are dealt by ranges of group and order, so a large group lies in many parts; a part's rows are numbered by themselves and moved
+    on by the group's rows in earlier parts.  Rows that are equal in all these columns are numbered in any order.  df is read
+    twice (ranges are found by sampling): it should be a written table.
+    """
+    part, before = free_name("_part", df.columns), free_name("_before", df.columns)
+    rows = written(df.repartitionByRange(*group, *order).withColumn(part, F.spark_partition_id()))
+    sizes = rows.groupBy(*group, part).agg(F.count("*").alias(before))
+    earlier = W.partitionBy(*group).orderBy(part).rowsBetween(W.unboundedPreceding, -1)  # a row for each part at most
+    sizes = sizes.select(*[F.col(c).alias(f"_of_{c}") for c in [*group, part]], F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before))
+    own = rows.withColumn(name, F.row_number().over(W.partitionBy(*group, part).orderBy(*order)) - 1)
+    on = [own[c].eqNullSafe(sizes[f"_of_{c}"]) for c in [*group, part]]
+    return own.join(sizes, on).withColumn(name, F.col(name) + F.col(before)).select(*df.columns, name)
