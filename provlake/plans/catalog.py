@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.plans import discovery, extraction, layout, records, registry, relations
+from provlake.plans import discovery, extraction, layout, matching, records, registry, relations
 
 Query = Callable[[SparkSession, str], DataFrame]
-_ALL = [*relations.QUERIES, *discovery.QUERIES, *extraction.QUERIES, *registry.QUERIES, *layout.QUERIES, *records.QUERIES]
+_ALL = [*relations.QUERIES, *discovery.QUERIES, *extraction.QUERIES, *registry.QUERIES, *layout.QUERIES, *records.QUERIES, *matching.QUERIES]
 
 
 def queries() -> dict[str, Query]:
