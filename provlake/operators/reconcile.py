@@ -101,11 +101,11 @@ def _best(pairs: DataFrame, tier: str) -> DataFrame:
     return pairs.groupBy("product_id").agg(first.alias("m")).select("product_id", "m.*")
 
 
-def match(products: DataFrame, reference: DataFrame, least: int = 600, certain: Mapping[str, int] = CERTAIN, keep: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
+def match(products: DataFrame, reference: DataFrame, least: int, certain: Mapping[str, int] = CERTAIN, keep: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
     """(product_id, reference_id, match_type, confidence) of every product; NONE has no reference and confidence 0.
 
     Both tables: name (a standard name), code, category, storage, and product_id or reference_id.  least: thousandths.  keep: how tables that are read
-    several times are kept (written to the shared folder, say).
+    several times are kept (written to the shared folder, say).  The threshold has no default: it is for the data's owner to set.
     """
     cols = ("name", "code", "category", "storage")
     p, r = products.select("product_id", *cols), reference.select("reference_id", *cols)
@@ -156,7 +156,7 @@ RULES = (
 )
 
 
-def resolve(products: DataFrame, reference: DataFrame, matches: DataFrame, fields: Sequence[str], rules: Sequence[Rule] = RULES, version: str = "1.0.0", approve: float = 0.9) -> DataFrame:
+def resolve(products: DataFrame, reference: DataFrame, matches: DataFrame, fields: Sequence[str], approve: float, rules: Sequence[Rule] = RULES, version: str = "1.0.0") -> DataFrame:
     """One row for each product row and field: original, reference and chosen value, where it is from, rule, match, confidence, review status.
 
     The first rule whose condition holds decides.  A choice is APPROVED unless its rule asks for a review or a value taken from or beside a

@@ -9,6 +9,7 @@ from provlake.plans.discovery import table
 from provlake.sources.shared import written
 
 LEAST = 600
+APPROVE = 0.9
 #: Expressions that Spark and the SQL read alike; tail: the words that make a part's name its own.
 _PART = {
     "brand": "CASE WHEN p_partkey % 3 = 0 THEN 'brand 11' ELSE lower(replace(p_brand, '#', ' ')) END",
@@ -42,7 +43,7 @@ def reconcile_match(spark, d):
 def reconcile_evidence(spark, d):
     products, reference = _tables(spark, d)
     matches = reconcile.match(products, reference, LEAST, keep=written)
-    return reconcile.resolve(products, reference, matches, ["storage", "days"])
+    return reconcile.resolve(products, reference, matches, ["storage", "days"], APPROVE)
 
 
 def reconcile_review(spark, d):
@@ -94,7 +95,7 @@ _EVIDENCE_SQL = f"""{_MATCH_SQL},
     evidence AS (
         SELECT product_id, reference_id, field, a AS original_value, b AS reference_value, CASE WHEN rule_id[3] IN ('4', '5') THEN b ELSE a END AS chosen_value,
             CASE rule_id[3] WHEN '1' THEN 'NONE' WHEN '4' THEN 'REFERENCE' WHEN '5' THEN 'REFERENCE' ELSE 'ORIGINAL' END AS selected_source, rule_id, '1.0.0' AS rule_version,
-            match_type, confidence, CASE WHEN rule_id[3] IN ('1', '6') OR (b IS NOT NULL AND confidence < 0.9) THEN 'REVIEW_REQUIRED' ELSE 'APPROVED' END AS review_status
+            match_type, confidence, CASE WHEN rule_id[3] IN ('1', '6') OR (b IS NOT NULL AND confidence < {APPROVE}) THEN 'REVIEW_REQUIRED' ELSE 'APPROVED' END AS review_status
         FROM ruled)"""
 
 QUERIES = [

@@ -91,8 +91,8 @@ def test_standard_name(spark):
 
 def test_no_rows(spark, tables):
     p, r = tables
-    assert reconcile.match(p.where("false"), r).count() == 0
-    none = reconcile.match(p, r.where("false"))
+    assert reconcile.match(p.where("false"), r, 600).count() == 0
+    none = reconcile.match(p, r.where("false"), 600)
     assert {x.match_type for x in none.collect()} == {"NONE"}
 
 
@@ -112,7 +112,7 @@ def test_resolver_follows_the_first_rule(spark):
     p = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, "a"), (5, None)], "product_id int, v string")
     r = spark.createDataFrame([(10, "b"), (11, "b"), (12, "a")], "reference_id int, v string")
     m = spark.createDataFrame([(1, 10, "CODE", 1.0), (2, 11, "FUZZY", 0.7), (3, 12, "NAME", 0.95), (4, 10, "FUZZY", 0.95), (5, None, "NONE", 0.0)], "product_id int, reference_id int, match_type string, confidence double")
-    got = {x.product_id: (x.chosen_value, x.selected_source, x.rule_id[:3], x.review_status) for x in reconcile.resolve(p, r, m, ["v"]).collect()}
+    got = {x.product_id: (x.chosen_value, x.selected_source, x.rule_id[:3], x.review_status) for x in reconcile.resolve(p, r, m, ["v"], 0.9).collect()}
     assert got == {
         1: ("b", "REFERENCE", "R04", "APPROVED"), 2: ("b", "REFERENCE", "R05", "REVIEW_REQUIRED"), 3: ("a", "ORIGINAL", "R03", "APPROVED"),
         4: ("a", "ORIGINAL", "R06", "REVIEW_REQUIRED"), 5: (None, "NONE", "R01", "REVIEW_REQUIRED"),
