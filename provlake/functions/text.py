@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,3 +78,10 @@ def tokens(x: str | Column, by: str = "-") -> Column:
 def id_list(x: str | Column) -> Column:
     """Comma- or blank-separated ids, first of equals kept, in order."""
     return F.array_distinct(F.filter(F.split(F.coalesce(col(x), F.lit("")), r"[,\s]+"), lambda v: v != ""))
+
+
+def free_name(name: str, columns: Sequence[str]) -> str:
+    """name, with underscores before it until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name

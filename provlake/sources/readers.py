@@ -41,7 +41,7 @@ def read_batches(spark: SparkSession, pattern: str, columns: Sequence[str]) -> D
 
 def read_json_strict(spark: SparkSession, path: str) -> DataFrame:
     """(path, payload, error): INVALID_JSON where the file is no JSON object."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
     ok = F.schema_of_variant(F.try_parse_json("payload")).startswith("OBJECT")
     return raw.withColumn("error", F.when(~F.coalesce(ok, F.lit(False)), "INVALID_JSON"))
 

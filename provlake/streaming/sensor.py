@@ -15,7 +15,7 @@ def new_batches(accepted: DataFrame, known: DataFrame, key: str = "batch_id") ->
 
 def accepted_stream(spark: SparkSession, root: str) -> DataFrame:
     """(batch_id, manifest, run_key) of every accepted/<batch>/manifest.json, as it appears."""
-    lines = spark.readStream.option("wholetext", True).option("pathGlobFilter", "manifest.json").option("recursiveFileLookup", True).text(root)
+    lines = spark.readStream.option("pathGlobFilter", "manifest.json").option("recursiveFileLookup", True).text(root, wholetext=True)
     batch = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return lines.select(batch.alias("batch_id"), F.col("value").alias("manifest")).withColumn("run_key", F.concat(F.lit("accepted:"), "batch_id"))
 
