@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.plans import agreements, discovery, extraction, gold, layout, matching, records, registry, relations
+from provlake.plans import agreements, discovery, extraction, gold, layout, matching, records, registry, relations, stores
 
 Query = Callable[[SparkSession, str], DataFrame]
-_ALL = [*relations.QUERIES, *discovery.QUERIES, *extraction.QUERIES, *registry.QUERIES, *layout.QUERIES, *records.QUERIES, *matching.QUERIES, *gold.QUERIES, *agreements.QUERIES]
+_ALL = [*relations.QUERIES, *discovery.QUERIES, *extraction.QUERIES, *registry.QUERIES, *layout.QUERIES, *records.QUERIES, *matching.QUERIES, *gold.QUERIES, *agreements.QUERIES, *stores.QUERIES]
 
 
 def queries() -> dict[str, Query]:

@@ -109,7 +109,7 @@ def _edges(spark, d):
 
 def lineage_ancestors(spark, d):
     e = _edges(spark, d)
-    return lineage.ancestors(spark, e, e.where(F.col("relation") == "assistant").select(F.col("child").alias("root")))
+    return lineage.ancestors(spark, e, e.select(F.col("child").alias("root")))
 
 
 def lineage_cycle(spark, d):
@@ -233,7 +233,7 @@ QUERIES = [
         SELECT *, CASE WHEN previous IS NULL THEN status = 'PENDING' ELSE status = previous OR (previous = 'PENDING' AND status IN ('RUNNING', 'CANCELLED')) OR (previous = 'RUNNING' AND status IN ('SUCCEEDED', 'FAILED', 'PARTIAL', 'CANCELLED')) END AS valid FROM p"""),
     (run_states, f"""WITH s AS (SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, {_STATE} AS status FROM events)
         SELECT user_id, arg_max(status, event_id) AS status, min(ts) FILTER (status = 'RUNNING') AS started_at, min(ts) FILTER (status IN ('SUCCEEDED', 'FAILED')) AS finished_at FROM s GROUP BY 1"""),
-    (lineage_ancestors, f"""WITH RECURSIVE e AS ({_EDGE}), up(root, ancestor, child, relation, depth) AS (SELECT child, parent, child, relation, 1 FROM e WHERE relation = 'assistant'
+    (lineage_ancestors, f"""WITH RECURSIVE e AS ({_EDGE}), up(root, ancestor, child, relation, depth) AS (SELECT child, parent, child, relation, 1 FROM e
         UNION ALL SELECT u.root, e.parent, e.child, e.relation, u.depth + 1 FROM up u JOIN e ON e.child = u.ancestor) SELECT DISTINCT root, ancestor, child, relation, depth FROM up"""),
     (lineage_cycle, f"WITH e AS ({_EDGE}) SELECT child AS parent, parent AS child, true AS rejected FROM e UNION ALL SELECT parent, child || 'x', false FROM e"),
     (run_snapshot, "SELECT c_custkey AS o_custkey, CAST(count(o_orderkey) AS INTEGER) AS n, coalesce(string_agg(o_orderstatus, '' ORDER BY o_orderkey), '') AS statuses FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1"),
