@@ -42,8 +42,13 @@ def boilerplate_lines(pages: DataFrame, host: str = "source", ratio: float = RAT
     return bad.groupBy("_host").agg(F.collect_list("mark").alias("_bad"))
 
 
+def count_names(pages: DataFrame) -> tuple[str, str]:
+    """The columns in which drop_boilerplate counts a page's lines and those dropped: _n_lines and _n_dropped, with more underscores if pages has them."""
+    return free_name("_n_lines", pages.columns), free_name("_n_dropped", pages.columns)
+
+
 def drop_boilerplate(pages: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_count: bool = True) -> DataFrame:
-    """pages with their text cleaned, plus _n_lines and _n_dropped.  Other columns stay as they were."""
+    """pages with their text cleaned, plus the two counts of `count_names`.  All other columns stay as they were."""
     own = {n: free_name(n, pages.columns) for n in ("_host", "_bad", "_lines", "_kept")}
     bad = written(boilerplate_lines(pages, host, ratio, min_pages, copies_count))
     few = bad.agg(F.coalesce(F.sum(F.size("_bad")), F.lit(0))).first()[0] <= BROADCAST_LINES
@@ -56,4 +61,6 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", ratio: float = RATI
     out = out.withColumn(own["_kept"], kept)
     text = F.when(F.size(own["_kept"]) == F.size(own["_lines"]), F.col("text")).otherwise(F.array_join(own["_kept"], "\n"))
     n = lambda c: F.greatest(F.size(own[c]), F.lit(0)).cast("long")
-    return out.select(*[text.alias(c) if c == "text" else F.col(c) for c in pages.columns if c not in ("_n_lines", "_n_dropped")], n("_lines").alias("_n_lines"), (n("_lines") - n("_kept")).alias("_n_dropped"))
+    n_lines, n_dropped = count_names(pages)
+    columns = [text.alias(c) if c == "text" else F.col(c) for c in pages.columns]
+    return out.select(*columns, n("_lines").alias(n_lines), (n("_lines") - n("_kept")).alias(n_dropped))

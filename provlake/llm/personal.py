@@ -7,9 +7,9 @@ Bootstrapping.  Every word with a digit or an at-sign is an instance; the two wo
 lexical pattern.  Instances that a base pattern matches are seeds of their kind.  On the graph of patterns and instances
   score(pattern, kind)  = sum of its instances' scores / (its distinct instances + 1)
   score(instance, kind) = 1 - product over its patterns of (1 - score(pattern, kind)), seeds stay 1
-is repeated ROUNDS times with aggregations and joins over written tables.  Patterns with at least SUPPORT distinct
-seeds of a kind and a score of CONFIDENT or more then extract the other instances that look like identifiers, as spans
-of kind `found`, unless a base span is there.
+is repeated ROUNDS times with aggregations and joins over written tables, over all patterns.  Patterns with at least SUPPORT distinct
+sure instances of a kind (seeds, or scored CONFIDENT or more before) and a score of CONFIDENT or more then extract the other instances that look like identifiers, as spans
+of kind `found`, unless a base span is there.  A pattern reads at most CONTEXT characters before the instance; longer words there are cut on their left.
 
 Edges are distinct (pattern, instance) pairs, counted by partial aggregation, so a pattern that a third of all
 rows hold is split like any other.  Null text: empty.  Repeated rows: each row gets its own result.
@@ -28,6 +28,8 @@ SUPPORT = 3
 CONFIDENT = 0.75
 MIN_DIGITS = 4
 CONTEXT = 64
+#: Matches whose places are summed one by one; blocks of them are summed as wholes.
+BLOCK = 64
 _LOCAL = "[A-Za-z0-9._%+-]"
 # The base patterns.
 EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -61,11 +63,30 @@ def _valid(kind: int, m: Column) -> Column:
 
 
 def _placed(found: Column, gaps: Column) -> Column:
-    """Matches and the text between them -> array of (start, match); code points."""
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("g"), found.alias("m"))
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<a:int,m:string>>").alias("out"))
-    step = lambda acc, v: F.struct((acc["at"] + F.length(v["g"]) + F.length(v["m"])).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(v["g"])).alias("a"), v["m"].alias("m")))).alias("out"))
-    return F.aggregate(pairs, none, step, lambda acc: acc["out"])
+    """Matches and the text between them -> array of (start, match); code points.
+
+    Lengths are summed in blocks of BLOCK matches and inside each, so a text of many matches takes time in proportion to them, not to their square.
+    """
+    none = F.array().cast("array<struct<a:int,m:string>>")
+    zero = F.lit(0)
+
+    def of(v: Column) -> Column:  # both arrays are computed once
+        size, gap, match = F.size(v["found"]), lambda i: F.get(v["gaps"], i), lambda i: F.get(v["found"], i)
+        length = lambda i: F.length(gap(i)) + F.length(match(i))
+        ends = lambda j: F.sequence(j * BLOCK, F.least((j + 1) * BLOCK, size) - 1)
+        numbers = F.sequence(zero, F.floor((size - 1) / BLOCK).cast("int"))
+        sizes = F.transform(numbers, lambda j: F.aggregate(ends(j), zero, lambda s, i: s + length(i)))
+
+        def block(j: Column, at: Column) -> Column:
+            entry = lambda acc, i: F.struct((acc["at"] + F.length(gap(i))).alias("a"), match(i).alias("m"))
+            step = lambda acc, i: F.struct((acc["at"] + length(i)).alias("at"), F.concat(acc["out"], F.array(entry(acc, i))).alias("out"))
+            return F.aggregate(ends(j), F.struct(at.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+        before = lambda sums, j: F.aggregate(F.slice(sums, 1, j), zero, lambda s, x: s + x)
+        return F.transform(F.array(sizes), lambda sums: F.flatten(F.transform(numbers, lambda j: block(j, before(sums, j)))))[0]
+
+    both = F.array(F.struct(found.alias("found"), gaps.alias("gaps")))
+    return F.when(F.size(found) > 0, F.transform(both, of)[0]).otherwise(none)
 
 
 def _spans(df: DataFrame, text: str) -> DataFrame:
@@ -101,8 +122,12 @@ def instances(docs: DataFrame) -> DataFrame:
     return rows.where(F.length("instance") > 0).select(*KEY, a.cast("int").alias("a"), (a + F.length("instance")).cast("int").alias("b"), "pattern", F.lower("instance").alias("instance"), kind.cast("int").alias("kind"))
 
 
-def score_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT) -> DataFrame:
-    """(pattern, kind, score, seeds) of patterns with at least `support` distinct seeds of the kind."""
+def score_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confident: float = CONFIDENT) -> DataFrame:
+    """(pattern, kind, score, seeds) of patterns with at least `support` distinct instances of the kind that are sure.
+
+    Sure are the base instances and, from the second round on, those that earlier patterns score at `confident` or above: a pattern
+    without any base instance can be learned from what others have found.  All patterns are scored in every round.
+    """
     edges = found.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"))
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     edges = written(written(edges).join(written(sizes), "pattern"))
@@ -110,9 +135,9 @@ def score_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPOR
     scores = known = written(known)
     for last in [False] * (rounds - 1) + [True]:
         sums = edges.select("pattern", "n", "instance").join(scores, "instance")
-        patterns = written(sums.groupBy("pattern", "kind").agg((F.sum("score") / (F.max("n") + 1)).alias("score"), F.count_if(F.col("score") == 1.0).alias("seeds")).where(F.col("seeds") >= support))
+        patterns = written(sums.groupBy("pattern", "kind").agg((F.sum("score") / (F.max("n") + 1)).alias("score"), F.count_if(F.col("score") >= confident).alias("seeds")))
         if last:
-            return patterns
+            return patterns.where(F.col("seeds") >= support)
         again = edges.where("kind is null").select("pattern", "instance").join(patterns, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("score")))))).alias("score"))
         scores = written(known.unionAll(again))
     return patterns
@@ -121,7 +146,7 @@ def score_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPOR
 def personal_data(docs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confident: float = CONFIDENT) -> DataFrame:
     """One row per document: counts of base spans, their digest, and all spans."""
     found = written(instances(docs))
-    good = written(score_patterns(found, rounds, support).where(F.col("score") >= confident).select("pattern").distinct())
+    good = written(score_patterns(found, rounds, support, confident).where(F.col("score") >= confident).select("pattern").distinct())
     new = found.where("kind is null").where(F.contains("instance", F.lit("@")) | (F.length(_digits(F.col("instance"))) >= MIN_DIGITS)).join(good, "pattern", "left_semi")
     new = written(new.groupBy(*KEY).agg(F.collect_set(F.struct("a", F.lit(4).alias("k"), "b")).alias("_new")))
     both = join_key(_spans(keyed(docs), "text"), new)

@@ -11,8 +11,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from functools import lru_cache
-from itertools import pairwise
+from itertools import accumulate, pairwise
 
 from pyspark.sql import DataFrame
 
@@ -72,6 +73,12 @@ def random_looking(s: str, path: str, max_ratio: float = MAX_RATIO, letters_rati
     return len(s) / len(_encoding(path).encode_ordinary(s)) < max_ratio and not identifier(s, path)
 
 
+def ends_before(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """The starts of spans in order, and the last end of those up to each: a span (a, b) meets none if ends before b are at most a."""
+    spans = sorted(spans)
+    return [s[0] for s in spans], list(accumulate((s[2] for s in spans), max))
+
+
 def scan(text: str, path: str, max_ratio: float = MAX_RATIO) -> tuple:
     low = text.lower()
     base = []
@@ -81,7 +88,10 @@ def scan(text: str, path: str, max_ratio: float = MAX_RATIO) -> tuple:
         base += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     base += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     found = [(m.start(), 3, m.end()) for m in _LONG.finditer(text)]
-    found = [x for x in found if not any(a < x[2] and x[0] < b for a, _, b in base) and random_looking(text[x[0] : x[2]], path, max_ratio)] if found else found
+    if found:
+        starts, ends = ends_before(base)
+        free = lambda a, b: not (i := bisect_left(starts, b)) or ends[i - 1] <= a
+        found = [x for x in found if free(x[0], x[2]) and random_looking(text[x[0] : x[2]], path, max_ratio)]
     show = lambda xs: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(xs))
     n = [sum(x[1] == k for x in base) for k in range(3)]
     return *n, hashlib.sha256(show(base).encode()).hexdigest(), show(base + found), len(found), [text[a:b] for a, _, b in sorted(base + found)]
