@@ -25,7 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each source go; n_chars follows the text."""
     out = boilerplate.drop_boilerplate(docs, min_pages=LEAST_PAGES, copies_count=False)
-    n_chars = F.when(F.col("_n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    n_chars = F.when(F.col(boilerplate.count_names(docs)[1]) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars).select(docs.columns)
 
 
