@@ -14,7 +14,7 @@ from provlake.functions import hashing
 from provlake.functions.text import col
 from provlake.operators import intake
 from provlake.sources.readers import _fs as folder
-from provlake.sources.readers import file_hashes
+from provlake.sources.readers import file_hashes, read_json_strict
 
 # Logical names of the files of an accepted bundle.
 LOGICAL = {
@@ -79,16 +79,30 @@ def copy_mismatches(before: DataFrame, after: DataFrame, keys: Sequence[str] = (
     return before.join(copied, list(keys), "left").where(~F.col(digest).eqNullSafe(F.col("_copy"))).select(*keys, F.lit("COPY_CHECKSUM_MISMATCH").alias("code"))
 
 
+def _same_or_refused(spark: SparkSession, files: DataFrame, target: str) -> None:
+    """Raises unless target holds exactly the files (path, name) and an accepted manifest."""
+    paths = [r.path for r in files.select("path").collect()]  # the names of one batch's files, a handful
+    asked = file_hashes(spark, paths).drop("name").join(files.select("path", "name"), "path").select("name", "sha256")
+    there = file_hashes(spark, f"{target}/*").where(~F.col("name").isin("manifest.json", "validation_report.json")).select("name", "sha256")
+    if not asked.exceptAll(there).isEmpty() or not there.exceptAll(asked).isEmpty():
+        raise FileExistsError(f"BATCH_ALREADY_ACCEPTED_DIFFERENT_CONTENT: {target}")
+    manifest = read_json_strict(spark, f"{target}/manifest.jso[n]").select(F.get_json_object("payload", "$.status").alias("s")).collect()
+    if [r.s for r in manifest] != ["ACCEPTED"]:
+        raise ValueError(f"ACCEPTED_MANIFEST_INVALID: {target}")
+
+
 def submit(spark: SparkSession, files: DataFrame, root: str, batch: str, report: DataFrame) -> str:
     """The files (path, name) of a batch as accepted/<batch>: copied beside it, hashed again, then one rename.
 
-    A batch that is there is refused.  A copy that differs raises COPY_CHECKSUM_MISMATCH and nothing is left behind.  The
-    report's one row becomes manifest.json and validation_report.json; only its bytes pass the driver.
+    The same files under an accepted batch's name again change nothing; other files are refused with BATCH_ALREADY_ACCEPTED_DIFFERENT_CONTENT, and
+    a batch whose manifest is no accepted one with ACCEPTED_MANIFEST_INVALID.  A copy that differs raises COPY_CHECKSUM_MISMATCH and nothing is
+    left behind.  The report's one row becomes manifest.json and validation_report.json; only its bytes pass the driver.
     """
     target, staging = f"{root.rstrip('/')}/{batch}", f"{root.rstrip('/')}/.{batch}-{uuid.uuid4().hex}"
     fs, path = folder(spark, target)
     if fs.exists(path):
-        raise FileExistsError(target)
+        _same_or_refused(spark, files, target)
+        return target
     make = spark._jvm.org.apache.hadoop.fs.Path
     util, conf = spark._jvm.org.apache.hadoop.fs.FileUtil, spark._jsc.hadoopConfiguration()
     try:

@@ -79,7 +79,16 @@ def test_submit_is_whole_or_nothing(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     bundles.submit(spark, files, root, "k-1", report)
     assert {p.name for p in (tmp_path / "accepted/k-1").iterdir() if p.name[0] != "."} == {"a.csv", "b.csv", "manifest.json", "validation_report.json"}
-    with pytest.raises(FileExistsError):
+    assert bundles.submit(spark, files, root, "k-1", report) == f"{root}/k-1"  # the same files again
+    with pytest.raises(FileExistsError, match="DIFFERENT_CONTENT"):
+        bundles.submit(spark, files.where("name = 'a.csv'"), root, "k-1", report)
+    (tmp_path / "a").write_text("other")
+    with pytest.raises(FileExistsError, match="DIFFERENT_CONTENT"):
+        bundles.submit(spark, files, root, "k-1", report)
+    (tmp_path / "a").write_text("a" * 9)
+    (tmp_path / "accepted/k-1/.manifest.json.crc").unlink()
+    (tmp_path / "accepted/k-1/manifest.json").write_text('{"status": "DRAFT"}')
+    with pytest.raises(ValueError, match="ACCEPTED_MANIFEST_INVALID"):
         bundles.submit(spark, files, root, "k-1", report)
 
 
