@@ -8,7 +8,9 @@ from provlake.functions import extract, text
 from provlake.operators import publish
 from provlake.plans.discovery import table
 
-NAMES = [(1, "[마을] 국내산 두부 300g (냉장)"), (2, "한우 불고기 1.5kg"), (3, "Cold brew 500ml"), (4, "냉동 frozen 만두"), (5, " - 실온 과자 /"), (6, None)]
+#: Names by row, in words that Spark and the SQL read alike.
+STORED_NAME = """CASE p_partkey % 9 WHEN 0 THEN concat(p_name, ' 냉장') WHEN 1 THEN concat('Frozen ', p_name) WHEN 2 THEN concat(p_name, ' REFRIGERATED / frozen') WHEN 3 THEN concat('[실온] ', p_name, ' 냉동')
+    WHEN 4 THEN concat(p_name, ' Room Temperature') WHEN 5 THEN concat('상온', p_name) WHEN 6 THEN concat(p_name, '냉동 냉장') WHEN 7 THEN p_name END"""
 
 
 def blank_to_null(spark, d):
@@ -54,7 +56,7 @@ def keyword_gate(spark, d):
 
 
 def storage_types(spark, d):
-    n = spark.createDataFrame(NAMES, "id int, name string")
+    n = table(spark, d, "part").selectExpr("p_partkey AS id", f"{STORED_NAME} AS name")
     return n.select("id", extract.storage_type("name").alias("crawl"), extract.storage_type("name", frozen_first=True).alias("ocr"))
 
 
@@ -76,11 +78,6 @@ def silver_normalize(spark, d):
     return e.select("p_partkey", "text", F.col("p.value").alias("value"), F.col("p.unit").alias("unit"), F.col("p.basis").alias("basis"))
 
 
-def _values(rows: list[tuple]) -> str:
-    q = lambda v: "NULL" if v is None else str(v) if isinstance(v, int | float) else "'" + str(v).replace("'", "''") + "'"
-    return ", ".join("(" + ", ".join(map(q, r)) + ")" for r in rows)
-
-
 _LABELS = """
     WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda v: trim(regexp_replace(v, '\\s+', ' ', 'g'))), lambda v: v <> '') AS lines FROM documents),
     x AS (SELECT doc_id, i, lines[i] AS line, lines[i + 1] AS nxt FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS i FROM l)),
@@ -108,7 +105,7 @@ QUERIES = [
     (disclosure_literal, """SELECT p_partkey, CASE WHEN p_partkey % 5 = 2 THEN '두부' END AS food_type_raw, CASE p_partkey % 5 WHEN 0 THEN '2026-01-' || p_size WHEN 1 THEN '・' WHEN 2 THEN p_size || '개월' END AS expiration_info_raw,
         CASE p_partkey % 5 WHEN 0 THEN '냉장 보관' WHEN 2 THEN '-18℃ 이하' END AS storage_method_raw, p_partkey % 5 < 3 AS has_any_value FROM part"""),
     (keyword_gate, "SELECT doc_id, contains(replace(text, ' ', ''), 'theand') OR contains(replace(text, ' ', ''), 'trash') OR contains(replace(text, ' ', ''), 'unddie') AS hit FROM documents"),
-    (storage_types, f"""WITH n AS (SELECT id, lower(coalesce(name, '')) AS t FROM (VALUES {_values(NAMES)}) AS v(id, name)),
+    (storage_types, f"""WITH n AS (SELECT id, lower(coalesce(name, '')) AS t FROM (SELECT p_partkey AS id, {STORED_NAME} AS name FROM part)),
         m AS (SELECT id, contains(t, '냉장') OR contains(t, 'refrigerat') AS c, contains(t, '냉동') OR contains(t, 'frozen') AS f, contains(t, '상온') OR contains(t, '실온') OR contains(t, 'room temperature') AS r FROM n)
         SELECT id, CASE WHEN c THEN 'REFRIGERATED' WHEN f THEN 'FROZEN' WHEN r THEN 'ROOM_TEMPERATURE' ELSE 'UNKNOWN' END AS crawl, CASE WHEN f THEN 'FROZEN' WHEN c THEN 'REFRIGERATED' WHEN r THEN 'ROOM_TEMPERATURE' ELSE 'UNKNOWN' END AS ocr FROM m"""),
     (name_candidate, "SELECT p_partkey, p_name AS candidate, CASE p_partkey % 3 WHEN 0 THEN p_size || 'g' WHEN 1 THEN '1.5kg' END AS weight FROM part"),

@@ -107,9 +107,9 @@ def url_list(spark, d):
     """A list of addresses with comments and blanks: first of each product, in order of the list."""
     p = table(spark, d, "pages").coalesce(1).sortWithinPartitions("page_id")
     path = fresh_path(spark, "urls")
-    line = F.when(F.col("page_id") % 5 == 0, F.lit("# note")).when(F.col("page_id") % 7 == 0, F.lit("  ")).otherwise(F.concat(F.lit("https://www.kur.example/goods/"), (F.col("page_id") % 40).cast("string")))
+    line = F.when(F.col("page_id") % 5 == 0, F.lit("# note")).when(F.col("page_id") % 7 == 0, F.lit("  ")).otherwise(F.concat(F.lit("https://www.shop.example/goods/"), (F.col("page_id") % 40).cast("string")))
     p.select(line.alias("value")).write.text(path)
-    rules = readers.UrlRules(goods_path="/goods/", second_path="/none/", second_host="none.example", host="www.kur.example", domain="example")
+    rules = readers.UrlRules(goods_path="/goods/", second_path="/none/", second_host="none.example", host="www.shop.example", domain="example")
     return readers.read_urls(spark, path, rules).select("url", "product_id")
 
 
@@ -125,13 +125,15 @@ def manifest_commit(spark, d):
 
 
 def layout_folders(spark, d):
-    """The layout, created twice: which of its folders are there."""
-    root = fresh_path(spark, "layout")
-    for _ in range(2):
-        readers.create_layout(spark, root)
-    fs, _ = readers._fs(spark, root)
-    there = [(n, fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}"))) for n in readers.LAYOUT]
-    return spark.createDataFrame(there, "folder string, present boolean")
+    """The layout of each region's root, created twice: which of its folders are there."""
+    base = fresh_path(spark, "layout")
+    there = []
+    for r in table(spark, d, "region").select("r_name").collect():  # one root for each
+        for _ in range(2):
+            readers.create_layout(spark, f"{base}/{r.r_name}")
+        fs, _ = readers._fs(spark, base)
+        there += [(r.r_name, n, fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{r.r_name}/{n}"))) for n in readers.LAYOUT]
+    return spark.createDataFrame(there, "region string, folder string, present boolean")
 
 
 def bundle_submit(spark, d):
@@ -171,11 +173,11 @@ QUERIES = [
     (nested_scan, "SELECT l_orderkey, max(l_linestatus) OVER (PARTITION BY l_orderkey) AS status, CAST(l_linenumber AS INTEGER) AS line, l_partkey AS part FROM lineitem"),
     (batch_listing, "SELECT b AS batch_id, CAST(row_number() OVER (ORDER BY b DESC) AS INTEGER) AS place FROM (SELECT 'batch=b' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS b FROM nation) WHERE contains(b, '1')"),
     (accepted_listing, "SELECT 'batch=b' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS batch_id FROM nation WHERE n_nationkey % 2 = 0"),
-    (url_list, "SELECT 'https://www.kur.example/goods/' || k AS url, CAST(k AS VARCHAR) AS product_id FROM (SELECT DISTINCT page_id % 40 AS k FROM pages WHERE page_id % 5 <> 0 AND page_id % 7 <> 0)"),
+    (url_list, "SELECT 'https://www.shop.example/goods/' || k AS url, CAST(k AS VARCHAR) AS product_id FROM (SELECT DISTINCT page_id % 40 AS k FROM pages WHERE page_id % 5 <> 0 AND page_id % 7 <> 0)"),
     (manifest_commit, """WITH f AS (SELECT user_id, count(DISTINCT event_type) AS n, count(*) AS a, bool_or(value > 45) AS bad FROM events GROUP BY 1)
         SELECT c_custkey AS batch_id, c_mktsegment AS source_mode, CASE WHEN n IS NULL THEN 'RUNNING' WHEN bad THEN 'FAILED' ELSE 'COMPLETED' END AS status,
         coalesce(n, 0) AS discovered_count, coalesce(a - n, 0) AS duplicate_count, CASE WHEN n IS NOT NULL THEN 'NO_NEW' END AS stop_reason FROM customer LEFT JOIN f ON user_id = c_custkey"""),
-    (layout_folders, f"SELECT unnest([{', '.join(repr(n) for n in readers.LAYOUT)}]) AS folder, true AS present"),
+    (layout_folders, f"SELECT r_name AS region, unnest([{', '.join(repr(n) for n in readers.LAYOUT)}]) AS folder, true AS present FROM region"),
     (bundle_submit, "SELECT r_name || '.csv' AS name, CAST(strlen(r_name) + 1 AS BIGINT) AS size, sha256(r_name || chr(10)) AS sha256 FROM region"),
     (migration_scan, "SELECT lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS version, lpad(CAST(n_nationkey AS VARCHAR), 4, '0') || '_' || n_name || '.up.sql' AS name, sha256(n_name) AS checksum FROM nation WHERE n_nationkey % 2 = 0"),
     (compaction, "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1"),

@@ -8,18 +8,20 @@ from provlake.functions import hashing, text
 from provlake.operators import bundles, contracts, emission, intake, lineage, metadata, publish, summaries
 from provlake.operators.contracts import Contract, Rule
 from provlake.plans.discovery import table
-from provlake.plans.extraction import _values
 from provlake.streaming.sensor import new_batches
 
-VERSIONS = [(1, "1.0.0"), (2, "2.1"), (3, ""), (4, "x.1"), (5, None), (6, "1"), (7, "0.9.3")]
-BATCHES = [(1, "20260801-ann-001", "ann"), (2, "20260801-annie-001", "ann"), (3, "-bad", "ann"), (4, "20260801-bo-002", "b o"), (5, "a--ann", "ann"), (6, "20260801-ann-002", "")]
-FILES = [(1, "discovered_products.csv,crawled_products.csv,image_text_check.csv,products.csv"), (2, "products.csv"), (3, "")]
+#: Values by row, in words that Spark and the SQL read alike.
+VERSION = "CASE o_orderkey % 8 WHEN 0 THEN '1.0.0' WHEN 1 THEN concat(o_custkey % 3, '.', o_orderkey % 7) WHEN 2 THEN '' WHEN 3 THEN 'x.1' WHEN 5 THEN '1' WHEN 6 THEN concat('0.9.', o_custkey) WHEN 7 THEN '1.b' END"
+BATCH = """CASE o_orderkey % 6 WHEN 0 THEN concat('2026-ann-', o_custkey) WHEN 1 THEN concat('2026-annie-', o_custkey) WHEN 2 THEN '-bad' WHEN 3 THEN concat(o_custkey, '-bo-002')
+    WHEN 4 THEN 'a--ann' ELSE '20260801-ann-002' END"""
+MEMBER = "CASE o_custkey % 4 WHEN 0 THEN 'b o' WHEN 1 THEN '' WHEN 2 THEN 'bo' ELSE 'ann' END"
+FILES = "concat(" + ", ".join(f"CASE WHEN o_custkey % {i + 2} = 0 THEN '{n},' ELSE '' END" for i, n in enumerate(intake.REQUIRED_FILES)) + ")"
 _SECONDS = "yyyy-MM-dd HH:mm:ss"
 STATES = ("PENDING", "RUNNING", "SUCCEEDED", "FAILED", "RUNNING")
 
 
 def version_gate(spark, d):
-    v = spark.createDataFrame(VERSIONS, "id int, v string")
+    v = table(spark, d, "orders").selectExpr("o_orderkey AS id", f"{VERSION} AS v")
     return v.select("id", hashing.version_issue("v").alias("issue"), hashing.schema_version("v")["major"].alias("major"))
 
 
@@ -48,12 +50,12 @@ def submission_nest(spark, d):
 
 
 def required_files(spark, d):
-    f = spark.createDataFrame(FILES, "id int, files string")
+    f = table(spark, d, "orders").selectExpr("o_orderkey AS id", f"{FILES} AS files")
     return f.select("id", F.array_join(F.array_sort(intake.missing_files(text.id_list("files"))), ",").alias("missing"))
 
 
 def member_ownership(spark, d):
-    b = spark.createDataFrame(BATCHES, "id int, batch string, member string")
+    b = table(spark, d, "orders").selectExpr("o_orderkey AS id", f"{BATCH} AS batch", f"{MEMBER} AS member")
     return b.select("id", intake.owned_by("batch", "member").alias("owned"), intake.owner("batch", ["bo", "ann"]).alias("owner"), intake.identity_error("batch", "member").alias("error"))
 
 
@@ -206,9 +208,9 @@ _H = "sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('run:' || n_name
 _FLAT = " UNION ALL ".join(f"SELECT '{n}' AS rule, l_orderkey * 10 + l_linenumber AS k, {c} AS ok FROM lineitem" for n, c in _RULES.items())
 
 QUERIES = [
-    (version_gate, f"""WITH v AS (SELECT id, v, string_split(coalesce(v, ''), '.') AS p FROM (VALUES {_values(VERSIONS)}) AS t(id, v)),
+    (version_gate, f"""WITH v AS (SELECT id, v, string_split(coalesce(v, ''), '.') AS p FROM (SELECT o_orderkey AS id, {VERSION} AS v FROM orders)),
         m AS (SELECT id, v, TRY_CAST(p[1] AS INTEGER) AS a, TRY_CAST(coalesce(p[2], '0') AS INTEGER) AS b FROM v)
-        SELECT id, CASE WHEN coalesce(trim(v), '') = '' THEN 'MISSING_SCHEMA_VERSION' WHEN a IS NULL OR b IS NULL THEN 'INVALID_SCHEMA_VERSION' WHEN a <> 1 THEN 'UNSUPPORTED_SCHEMA_VERSION' END AS issue, CASE WHEN coalesce(trim(v), '') <> '' THEN a END AS major FROM m"""),
+        SELECT id, CASE WHEN coalesce(trim(v), '') = '' THEN 'MISSING_SCHEMA_VERSION' WHEN a IS NULL OR b IS NULL THEN 'INVALID_SCHEMA_VERSION' WHEN a <> 1 THEN 'UNSUPPORTED_SCHEMA_VERSION' END AS issue, CASE WHEN coalesce(trim(v), '') <> '' AND b IS NOT NULL THEN a END AS major FROM m"""),
     (contract_issues, """SELECT o_orderkey, '$.o_custkey' AS path, 'MAXIMUM' AS code FROM orders WHERE o_custkey > 1400
         UNION ALL SELECT o_orderkey, '$.o_orderstatus', 'ENUM' FROM orders WHERE o_orderstatus NOT IN ('O', 'F')
         UNION ALL SELECT o_orderkey, '$.o_totalprice', 'MINIMUM' FROM orders WHERE o_totalprice < 1000 UNION ALL SELECT o_orderkey, '$.o_totalprice', 'MAXIMUM' FROM orders WHERE o_totalprice > 400000
@@ -217,9 +219,9 @@ QUERIES = [
     (content_hash, "SELECT n_nationkey, sha256(CAST(to_json({'n_name': n_name, 'n_nationkey': n_nationkey, 'n_regionkey': n_regionkey}) AS VARCHAR)) AS content_hash FROM nation"),
     (bundle_checksum, "SELECT o_custkey, sha256(string_agg(lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || chr(0) || sha256(o_orderstatus) || chr(10), '' ORDER BY o_orderkey)) AS bundle_checksum FROM orders GROUP BY 1"),
     (submission_nest, "SELECT o_orderkey, CAST(count(l_orderkey) AS INTEGER) AS n, coalesce(string_agg(l_returnflag, '' ORDER BY l_linenumber, l_returnflag), '') AS flags FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1"),
-    (required_files, f"""WITH f AS (SELECT id, files FROM (VALUES {_values(FILES)}) AS t(id, files)), r AS (SELECT unnest(['discovered_products.csv', 'crawled_products.csv', 'image_text_check.csv', 'products.csv']) AS name)
+    (required_files, f"""WITH f AS (SELECT o_orderkey AS id, {FILES} AS files FROM orders), r AS (SELECT unnest(['discovered_products.csv', 'crawled_products.csv', 'image_text_check.csv', 'products.csv']) AS name)
         SELECT id, coalesce(string_agg(name, ',' ORDER BY name) FILTER (NOT list_contains(string_split(files, ','), name)), '') AS missing FROM f, r GROUP BY 1"""),
-    (member_ownership, f"""WITH b AS (SELECT *, list_filter(string_split(batch, '-'), lambda x: x <> '') AS p FROM (VALUES {_values(BATCHES)}) AS t(id, batch, member))
+    (member_ownership, f"""WITH b AS (SELECT *, list_filter(string_split(batch, '-'), lambda x: x <> '') AS p FROM (SELECT o_orderkey AS id, {BATCH} AS batch, {MEMBER} AS member FROM orders))
         SELECT id, member <> '' AND list_contains(p, member) AS owned, CASE WHEN list_contains(p, 'bo') THEN 'bo' WHEN list_contains(p, 'ann') THEN 'ann' END AS owner,
         CASE WHEN NOT regexp_matches(batch, '^[A-Za-z0-9][A-Za-z0-9_-]*$') THEN 'INVALID_BATCH_ID' WHEN NOT regexp_matches(member, '^[A-Za-z0-9_]+$') THEN 'INVALID_MEMBER' WHEN NOT list_contains(p, member) THEN 'BATCH_MEMBER_MISMATCH' END AS error FROM b"""),
     (submit_decision, "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 5 = 0 THEN 'REJECTED' WHEN o_orderkey % 3 = 0 AND o_orderstatus <> 'F' THEN 'CONFLICT' WHEN o_orderkey % 3 = 0 THEN 'DUPLICATE' ELSE 'ACCEPTED' END AS decision FROM orders"),

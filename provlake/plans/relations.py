@@ -93,7 +93,14 @@ _SIDES = """WITH s AS (SELECT coalesce(d.doc_id, p.page_id) AS id, d.lang AS a,
         CASE WHEN a IS NULL AND b IS NULL THEN 'FIELD_NOT_FOUND' WHEN a <> b THEN 'REVIEW_REQUIRED' ELSE 'MATCHED' END AS status FROM s)"""
 _ERROR = "CASE WHEN event_id % 4 = 0 THEN 'IMAGE_NOT_FOUND' WHEN event_id % 3 = 0 THEN 'OCR_TEXT_EMPTY' WHEN event_id % 4 = 1 THEN 'INVALID_INPUT' ELSE 'OCR_FAILED' END"
 
+def text_check_map(spark, d):
+    """The last check of each image path, which is what later stages look up."""
+    e = table(spark, d, "events").select("event_id", F.concat(F.lit("img/"), (F.col("user_id") % 40).cast("string")).alias("image_path"), F.col("event_type").alias("status"))
+    return dedupe.last_wins(e, "image_path", "event_id").select("image_path", "status")
+
+
 QUERIES = [
+    (text_check_map, "SELECT 'img/' || (user_id % 40) AS image_path, arg_max(event_type, event_id) AS status FROM events GROUP BY 1"),
     (team_summary, """SELECT c_custkey, c_mktsegment, coalesce(o.n, 0) AS n_orders, coalesce(l.n, 0) AS n_lines, CASE WHEN l.n > 50 THEN 'ACCEPTED' WHEN l.n > 20 THEN 'OCR_DONE' WHEN o.n > 0 THEN 'CRAWLED' ELSE 'IN_PROGRESS' END AS status
         FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o.o_custkey = c_custkey
         LEFT JOIN (SELECT o_custkey, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1) l ON l.o_custkey = c_custkey"""),
