@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.plans import agreements, batches, discovery, extraction, gold, layout, matching, records, registry, relations, stores, streams, submissions
+from provlake.plans import agreements, batches, discovery, extraction, gold, layout, matching, records, registration, registry, relations, stores, streams, submissions
 
 Query = Callable[[SparkSession, str], DataFrame]
-_ALL = [*relations.QUERIES, *discovery.QUERIES, *extraction.QUERIES, *registry.QUERIES, *layout.QUERIES, *records.QUERIES, *matching.QUERIES, *gold.QUERIES, *agreements.QUERIES, *stores.QUERIES, *streams.QUERIES, *submissions.QUERIES, *batches.QUERIES]
+_ALL = [*relations.QUERIES, *discovery.QUERIES, *extraction.QUERIES, *registry.QUERIES, *layout.QUERIES, *records.QUERIES, *matching.QUERIES, *gold.QUERIES, *agreements.QUERIES, *stores.QUERIES, *streams.QUERIES, *submissions.QUERIES, *batches.QUERIES, *registration.QUERIES]
 
 
 def queries() -> dict[str, Query]:
