@@ -79,3 +79,29 @@ def merged_products(emitted: DataFrame) -> DataFrame:
     out = [x for n in fields for x in (F.col(f"_{n}.value").alias(f"{n}_raw"), F.col(f"_{n}.source").alias(f"{n}_source"))]
     states = merge.rollup_status(*[F.col(f"_{n}.status") for n in fields])
     return found.select("batch_id", "position", "site", "pid", "outcome", *out, extract.storage_type("_storage.value").alias("storage_type"), states.alias("validation_status"))
+
+
+def product_records(emitted: DataFrame, parser_version: str = "0.1.0") -> DataFrame:
+    """The whole product row of every emitted image and page row: 24 columns, in their order in the product file.
+
+    emitted: emit's rows with product_name, food_name_candidate, product_url, sales_unit_raw, weight_raw, quantity_raw, storage_type_dom, ocr_confidence,
+    crawl_collected_at and ocr_collected_at.  Page rows have no image fields, and their parse status counts the name too.
+    """
+    image, none = F.col("outcome") == "IMAGE", F.lit(None).cast("string")
+    rows = emitted.where(F.col("outcome").isin("IMAGE", "DOM_ONLY")).withColumn("_f", extract.disclosure_fields(F.when(image, F.col("ocr_text"))))
+    pairs = {"food_type": (none, "_f.food_type_raw"), "expiration": ("expiration_dom", "_f.expiration_info_raw"), "storage": ("storage_dom", "_f.storage_method_raw")}
+    rows = rows.withColumns({f"_{n}": merge.merge_field(a, b) for n, (a, b) in pairs.items()})
+    of_image = lambda c: F.when(image, c)
+    value, source = lambda n: F.col(f"_{n}.value"), lambda n: F.col(f"_{n}.source")
+    inferred = of_image(extract.storage_type("_storage.value", "product_name", frozen_first=True))
+    storage_type = F.coalesce(F.nullif(F.col("storage_type_dom"), F.lit("")), inferred, F.lit("UNKNOWN"))
+    third = F.when(image, value("food_type")).otherwise(F.col("product_name"))
+    record = F.concat_ws(":", "site", "pid", of_image(F.left("digest", F.lit(12))))
+    return rows.select(
+        "batch_id", F.col("site").alias("source_site"), F.col("pid").alias("original_product_id"), F.col("product_name").alias("product_name_raw"), "food_name_candidate", "product_url",
+        "sales_unit_raw", "weight_raw", "quantity_raw", value("food_type").alias("food_type_raw"), source("food_type").alias("food_type_source"),
+        value("expiration").alias("expiration_info_raw"), source("expiration").alias("expiration_source"), value("storage").alias("storage_method_raw"), source("storage").alias("storage_source"),
+        storage_type.alias("storage_type"), of_image(F.col("ocr_confidence")).alias("ocr_confidence"), "crawl_collected_at", of_image(F.col("ocr_collected_at")).alias("ocr_collected_at"),
+        F.lit(parser_version).alias("parser_version"), merge.rollup_status(*[F.col(f"_{n}.status") for n in pairs]).alias("validation_status"),
+        merge.parse_status(value("expiration"), value("storage"), third).alias("parse_status"), record.alias("source_record_id"), of_image(F.col("digest")).alias("image_sha256"),
+    )
