@@ -30,17 +30,73 @@ def storage_enum(x: str | Column) -> Column:
     return out
 
 
-def expiration_parts(x: str | Column) -> Column:
+def expiration_parts(x: str | Column, bases: Mapping[str, str] = BASIS_WORDS) -> Column:
     """struct(value, unit, basis) of the first number with a unit."""
     t = F.lower(F.coalesce(clean_text(x), F.lit("")))
     words = "|".join(UNIT_WORDS.values())
     number = F.regexp_extract(t, f"([0-9]+(?:\\.[0-9]+)?)\\s*(?:{words})", 1).try_cast("double")
     word = F.regexp_extract(t, f"[0-9]+(?:\\.[0-9]+)?\\s*({words})", 1)
     unit = F.coalesce(*[F.when(word.rlike(f"^(?:{w})$"), u) for u, w in UNIT_WORDS.items()])
-    basis = F.coalesce(*[F.when(t.rlike(w), b) for b, w in BASIS_WORDS.items()], F.when(number.isNotNull(), "UNKNOWN"))
+    basis = F.coalesce(*[F.when(t.rlike(w), b) for b, w in bases.items()], F.when(number.isNotNull(), "UNKNOWN"))
     return F.struct(number.alias("value"), unit.alias("unit"), basis.alias("basis"))
 
 
+# Words of what a shelf life after opening counts from, and of storage in a sentence.
+OPENING_WORDS = {"OPENING": "개봉|opening|opened"}
+STORAGE_WORDS = {"FROZEN": "냉동|frozen", "REFRIGERATED": "냉장|refrigerat", "ROOM": "실온|상온|room temp"}
+#: What ends a sentence: a mark before a blank or the end, a line, a bullet.  A point inside a number ends none.
+SENTENCE_END = r"(?<=[.!?;。])(?=\s|$)|[\n\r•·※]+"
+
+
+def without_noise(x: str | Column) -> Column:
+    """Text as image recognition often spoils it, mended: letters for digits beside digits, blanks inside words of Hangul, wide forms of digits.
+
+    Hangul words are joined only where single syllables stand alone one after another, three or more of them.
+    """
+    t = F.translate(col(x), "０１２３４５６７８９．", "0123456789.")
+    for letter, digit in (("[OoＯ]", "0"), ("[lI|]", "1")):
+        t = F.regexp_replace(t, rf"(?<=[0-9]){letter}(?=[0-9\s가-힣])|{letter}(?=[0-9])", digit)
+    t = F.regexp_replace(t, r"(?<![가-힣])([가-힣]) ([가-힣]) ([가-힣])(?![가-힣])", "$1$2$3")
+    return F.regexp_replace(t, r"([0-9])\s+\.\s*(?=[0-9])", "$1.")
+
+
+def expiration_sentences(x: str | Column) -> Column:
+    """array of struct(value, unit, basis, storage), one for each sentence that says something of shelf life or storage, in order."""
+    sentences = F.split(without_noise(F.coalesce(clean_lines(x), F.lit(""))), SENTENCE_END)
+
+    def one(s: Column) -> Column:
+        e, low = expiration_parts(s, BASIS_WORDS | OPENING_WORDS), F.lower(s)
+        storage = F.coalesce(*[F.when(low.rlike(w), k) for k, w in STORAGE_WORDS.items()])
+        return F.struct(e["value"].alias("value"), e["unit"].alias("unit"), e["basis"].alias("basis"), storage.alias("storage"))
+
+    return F.filter(F.transform(sentences, one), lambda e: e["value"].isNotNull() | e["storage"].isNotNull())
+
+
+def expiration_choice(x: str | Column) -> Column:
+    """struct(value, unit, basis, storage, conflict) of a whole text.
+
+    The first sentence with a value and a basis other than opening or unknown, else the first with a value.  storage: of that sentence, else the first that is named.
+    conflict: another sentence gives another value for the same basis.
+    """
+    found = F.transform(F.array(expiration_sentences(x)), lambda all_: _chosen(all_))
+    return found[0]
+
+
+def _chosen(found: Column) -> Column:
+    valued = F.filter(found, lambda e: e["value"].isNotNull())
+    firm = F.filter(valued, lambda e: ~e["basis"].isin("OPENING", "UNKNOWN"))
+    best = F.coalesce(F.get(firm, F.lit(0)), F.get(valued, F.lit(0)))
+    storage = F.coalesce(best["storage"], F.get(F.filter(found, lambda e: e["storage"].isNotNull()), F.lit(0))["storage"])
+    other = F.exists(valued, lambda e: (e["basis"] == best["basis"]) & ~((e["value"] == best["value"]) & (e["unit"] == best["unit"])))
+    return F.struct(best["value"].alias("value"), best["unit"].alias("unit"), best["basis"].alias("basis"), storage.alias("storage"), F.coalesce(other, F.lit(False)).alias("conflict"))
+
+
+def clean_lines(x: str | Column) -> Column:
+    """Without tags, entities for blanks and control characters; line ends, also those of tags, stay."""
+    t = F.regexp_replace(F.regexp_replace(col(x), "(?i)<(br|p|li|/p|/li|/tr)[^>]*>", "\n"), "<[^>]*>", " ")
+    return F.regexp_replace(F.replace(t, F.lit("&nbsp;"), F.lit(" ")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " ")
+
+
 def _pieces(p: DataFrame, ref: DataFrame, group: str, d: int) -> DataFrame:
     """Pairs of a product (_n) and a reference (_name) of one group that may differ by at most d edits.
 
