@@ -92,7 +92,8 @@ def disclosure_value(text: str | Column, aliases: Sequence[str]) -> Column:
 def disclosure_fields(text: str | Column) -> Column:
     """struct(food_type_raw, expiration_info_raw, storage_method_raw, has_any_value)."""
     f = [disclosure_value(text, a) for a in (FOOD_TYPE_ALIASES, EXPIRATION_ALIASES, STORAGE_ALIASES)]
-    return F.struct(f[0].alias("food_type_raw"), f[1].alias("expiration_info_raw"), f[2].alias("storage_method_raw"), F.coalesce(*f).isNotNull().alias("has_any_value"))
+    return F.struct(f[0].alias("food_type_raw"), f[1].alias("expiration_info_raw"), f[2].alias("storage_method_raw"),
+        F.coalesce(*f).isNotNull().alias("has_any_value"))
 
 
 def has_keywords(text: str | Column, keywords: Sequence[str] = GATE_KEYWORDS) -> Column:

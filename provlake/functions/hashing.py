@@ -68,7 +68,8 @@ def open_content_hash(payload: str | Column) -> Column:
 def bundle_checksum(files: DataFrame, keys: Sequence[str], name: str = "name", digest: str = "sha256") -> DataFrame:
     """One SHA-256 for each group: name, NUL, hex digest and a line feed for each file in order of name."""
     nul = F.decode(F.unhex(F.lit("00")), "UTF-8")
-    lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(digest).alias("d")))), lambda v: F.concat(v["n"], nul, v["d"], F.lit("\n")))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(digest).alias("d")))),
+        lambda v: F.concat(v["n"], nul, v["d"], F.lit("\n")))
     return files.groupBy(*keys).agg(F.sha2(F.array_join(lines, ""), 256).alias("bundle_checksum"))
 
 
@@ -76,7 +77,8 @@ def uuid5(name: str | Column, namespace: str = URL_NAMESPACE) -> Column:
     """The version-5 UUID of a name."""
     h = F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(col(name), "UTF-8")))
     digit = F.substring(F.lit("89ab"), F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(digit, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)),
+        F.concat(digit, F.substring(h, 18, 3)), F.substring(h, 21, 12))
 
 
 def artifact_id(run_id: str | Column, logical_name: str | Column, checksum: str | Column) -> Column:
@@ -95,14 +97,17 @@ def source_record_id(site: str | Column, pid: str | Column, digest: str | Column
 def schema_version(x: str | Column) -> Column:
     """struct(major, minor, patch); missing parts are 0; null where a part is no number."""
     parts = [F.coalesce(F.nullif(F.split_part(col(x), F.lit("."), F.lit(i)), F.lit("")), F.lit("0")).try_cast("int") for i in (1, 2, 3)]
-    return F.when(parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull() & (F.trim(col(x)) != ""), F.struct(*[p.alias(n) for p, n in zip(parts, ("major", "minor", "patch"), strict=True)]))
+    return F.when(parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull() & (F.trim(col(x)) != ""),
+        F.struct(*[p.alias(n) for p, n in zip(parts, ("major", "minor", "patch"), strict=True)]))
 
 
 def version_issue(x: str | Column, supported: Sequence[int] = (1,)) -> Column:
     v = schema_version(x)
-    return F.when(F.coalesce(F.trim(col(x)), F.lit("")) == "", "MISSING_SCHEMA_VERSION").when(v.isNull(), "INVALID_SCHEMA_VERSION").when(~v["major"].isin(*supported), "UNSUPPORTED_SCHEMA_VERSION")
+    return F.when(F.coalesce(F.trim(col(x)), F.lit("")) == "", "MISSING_SCHEMA_VERSION").when(v.isNull(),
+        "INVALID_SCHEMA_VERSION").when(~v["major"].isin(*supported), "UNSUPPORTED_SCHEMA_VERSION")
 
 
 def json_path(parts: Column) -> Column:
     """array of keys and numbers (as text) -> $.a[0].b"""
-    return F.concat(F.lit("$"), F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^[0-9]+$"), F.concat(F.lit("["), p, F.lit("]"))).otherwise(F.concat(F.lit("."), p))), ""))
+    return F.concat(F.lit("$"), F.array_join(F.transform(parts,
+        lambda p: F.when(p.rlike("^[0-9]+$"), F.concat(F.lit("["), p, F.lit("]"))).otherwise(F.concat(F.lit("."), p))), ""))

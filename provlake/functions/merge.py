@@ -47,7 +47,8 @@ def merge_field(first: str | Column, second: str | Column, names: tuple[str, str
 def rollup_status(*states: str | Column) -> Column:
     """Any review: review; nothing found at all: not found; else matched."""
     s = F.array(*map(col, states))
-    return F.when(F.exists(s, lambda v: v == "REVIEW_REQUIRED"), "REVIEW_REQUIRED").when(F.forall(s, lambda v: v == "FIELD_NOT_FOUND"), "FIELD_NOT_FOUND").otherwise("MATCHED")
+    return F.when(F.exists(s, lambda v: v == "REVIEW_REQUIRED"), "REVIEW_REQUIRED").when(F.forall(s, lambda v: v == "FIELD_NOT_FOUND"),
+        "FIELD_NOT_FOUND").otherwise("MATCHED")
 
 
 def parse_status(*values: str | Column) -> Column:
@@ -57,4 +58,5 @@ def parse_status(*values: str | Column) -> Column:
 def classify_error(error_type: str | Column, message: str | Column) -> Column:
     """File missing before empty text before bad value before anything else."""
     t, m = F.coalesce(col(error_type), F.lit("")), F.coalesce(col(message), F.lit(""))
-    return F.when(t == "FileNotFoundError", "IMAGE_NOT_FOUND").when(F.contains(m, F.lit("OCR_TEXT_EMPTY")), "OCR_TEXT_EMPTY").when(t == "ValueError", "INVALID_INPUT").otherwise("OCR_FAILED")
+    return F.when(t == "FileNotFoundError", "IMAGE_NOT_FOUND").when(F.contains(m, F.lit("OCR_TEXT_EMPTY")), "OCR_TEXT_EMPTY").when(t == "ValueError",
+        "INVALID_INPUT").otherwise("OCR_FAILED")

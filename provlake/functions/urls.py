@@ -77,7 +77,8 @@ def category_input_ok(code: str | Column, url: str | Column) -> Column:
 
 def _without_dots(path: Column) -> Column:
     """A path without its . and .. parts."""
-    step = lambda acc, p: F.when(p == ".", acc).when(p == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(p)))
+    step = lambda acc, p: F.when(p == ".", acc).when(p == "..",
+        F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(p)))
     parts = F.split(path, "/")
     folder = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
     inner = F.slice(F.concat(parts, folder), 2, F.size(parts) + F.size(folder))

@@ -35,7 +35,8 @@ def artifact_records(files: DataFrame, profile: DataFrame | None = None) -> Data
     run = hashing.intake_run_id("batch_id", F.max(F.when(F.col("logical_name") == "manifest", F.col("sha256"))).over(Window.partitionBy("batch_id")))
     out = files.withColumn("run_id", run)
     suffix = F.lower(F.regexp_extract("path", "[.]([A-Za-z0-9]+)$", 1))
-    out = out.select("run_id", hashing.artifact_id("run_id", "logical_name", "sha256").alias("artifact_id"), "batch_id", "logical_name", "path", F.upper(suffix).alias("format"), "size", F.col("sha256").alias("checksum"))
+    out = out.select("run_id", hashing.artifact_id("run_id", "logical_name", "sha256").alias("artifact_id"), "batch_id", "logical_name", "path",
+        F.upper(suffix).alias("format"), "size", F.col("sha256").alias("checksum"))
     if profile is None:
         return out.withColumns({"row_count": F.lit(None).cast("long"), "schema_versions": F.lit(None).cast("string")})
     return out.join(profile.select("path", "row_count", "schema_versions"), "path", "left")
@@ -57,10 +58,12 @@ def validate_batches(batches: DataFrame, files: DataFrame, issues: DataFrame, ac
     sums = hashing.bundle_checksum(files, ["batch_id"])
     n = issues.groupBy("batch_id").agg(F.count("*").alias("n_issues"))
     was = accepted.select("batch_id", F.col("bundle_checksum").alias("_was"))
-    out = batches.join(have, "batch_id", "left").join(sums, "batch_id", "left").join(n, "batch_id", "left").join(was, "batch_id", "left").fillna(0, ["n_issues"])
+    out = batches.join(have, "batch_id", "left").join(sums, "batch_id", "left").join(n, "batch_id", "left").join(was, "batch_id", "left").fillna(0,
+        ["n_issues"])
     missing = F.array_sort(intake.missing_files(F.coalesce("_have", F.array().cast("array<string>"))))
     error = intake.identity_error("batch_id", "member")
-    return out.select("batch_id", "member", error.alias("identity_error"), F.array_join(missing, ",").alias("missing"), "n_issues", "bundle_checksum", intake.decide(error, missing, F.col("n_issues"), F.col("_was"), F.col("bundle_checksum")).alias("decision"))
+    return out.select("batch_id", "member", error.alias("identity_error"), F.array_join(missing, ",").alias("missing"), "n_issues", "bundle_checksum",
+        intake.decide(error, missing, F.col("n_issues"), F.col("_was"), F.col("bundle_checksum")).alias("decision"))
 
 
 def accepted_uris(batch: str | Column, root: str = "inbox/accepted") -> Column:
@@ -112,7 +115,8 @@ def submit(spark: SparkSession, files: DataFrame, root: str, batch: str, report:
             source = make(r.path)
             if not util.copy(source.getFileSystem(conf), source, fs, make(f"{staging}/{r.name}"), False, conf):
                 raise OSError(r.path)
-        wrong = copy_mismatches(file_hashes(spark, [r.path for r in rows]).drop("name").join(files.select("path", "name"), "path"), file_hashes(spark, f"{staging}/*"), ["name"])
+        wrong = copy_mismatches(file_hashes(spark, [r.path for r in rows]).drop("name").join(files.select("path", "name"), "path"),
+            file_hashes(spark, f"{staging}/*"), ["name"])
         if bad := wrong.collect():
             raise ValueError("COPY_CHECKSUM_MISMATCH: " + ", ".join(r.name for r in bad))
         pretty = json.dumps(json.loads(report.select(F.to_json(F.struct("*"))).first()[0]), ensure_ascii=False, indent=2) + "\n"
@@ -142,7 +146,10 @@ def accepted_manifests(raw: DataFrame) -> DataFrame:
         .when(~v("status").eqNullSafe(F.lit("ACCEPTED")), "NOT_ACCEPTED")
     )
     name = F.concat_ws(":", F.lit("collection_submission"), "batch_id", "sha256")
-    return raw.select("batch_id", v("member").alias("member"), issue.alias("issue"), hashing.uuid5(name).alias("artifact_id"), F.lit("collection_manifest").alias("logical_name"), F.lit("JSON").alias("format"), F.col("sha256").alias("checksum"), "size", v("schema_version").alias("schema_version"), F.coalesce(v("row_count").try_cast("long"), F.lit(0).cast("long")).alias("row_count"), v("parser_version").alias("code_version"))
+    return raw.select("batch_id", v("member").alias("member"), issue.alias("issue"), hashing.uuid5(name).alias("artifact_id"),
+        F.lit("collection_manifest").alias("logical_name"), F.lit("JSON").alias("format"), F.col("sha256").alias("checksum"), "size",
+        v("schema_version").alias("schema_version"), F.coalesce(v("row_count").try_cast("long"), F.lit(0).cast("long")).alias("row_count"),
+        v("parser_version").alias("code_version"))
 
 
 def register_accepted(manifests: DataFrame, files: DataFrame, runs: DataFrame) -> dict[str, DataFrame]:
@@ -156,7 +163,8 @@ def register_accepted(manifests: DataFrame, files: DataFrame, runs: DataFrame) -
     own = files.join(new.select("batch_id"), "batch_id", "left_semi")
     artifacts = artifact_records(own)
     run = new.select("run_id", "batch_id", F.lit("SUCCEEDED").alias("status"))
-    step = new.select(hashing.uuid5(F.concat_ws(":", "run_id", F.lit("register"))).alias("step_id"), "run_id", F.lit("register").alias("name"), F.lit("SUCCEEDED").alias("status"))
+    step = new.select(hashing.uuid5(F.concat_ws(":", "run_id", F.lit("register"))).alias("step_id"), "run_id", F.lit("register").alias("name"),
+        F.lit("SUCCEEDED").alias("status"))
     return {"runs": run, "steps": step, "artifacts": artifacts, "edges": bundled_in(artifacts)}
 
 

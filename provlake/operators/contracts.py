@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 def _is(c: Column, kind: str) -> Column:
     """Whether text reads as a value of a JSON type."""
     t = c.cast("string")
-    return {"integer": t.rlike("^-?[0-9]+$"), "number": t.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"), "boolean": t.isin("true", "false")}.get(kind, F.lit(True))
+    return {"integer": t.rlike("^-?[0-9]+$"), "number": t.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"),
+        "boolean": t.isin("true", "false")}.get(kind, F.lit(True))
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,8 @@ class Rule:
             found += f.issues_at(c.getField(f.name), F.concat(path, F.lit(f".{f.name}")))
         if self.items is not None:
             none = F.array().cast("array<struct<path:string,code:string>>")
-            each = lambda x, i: F.flatten(F.array(*[F.coalesce(y, none) for y in self.items.issues_at(x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))]))
+            each = lambda x, i: F.flatten(F.array(*[F.coalesce(y, none)
+                for y in self.items.issues_at(x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))]))
             found.append(F.flatten(F.transform(c, each)))
         return found
 
@@ -75,7 +77,8 @@ class Contract:
     def issues(self) -> Column:
         """array<struct(path, code)> of a row, in order of path."""
         found = [x for r in self.rules for x in r.issues_at(F.col(r.name), F.lit(f"$.{r.name}"))]
-        found += [F.when(F.coalesce(b, F.lit(False)), F.array(F.struct(F.lit("$").alias("path"), F.lit(code).alias("code")))) for code, b in self.across.items()]
+        found += [F.when(F.coalesce(b, F.lit(False)), F.array(F.struct(F.lit("$").alias("path"), F.lit(code).alias("code")))) for code,
+            b in self.across.items()]
         none = F.array().cast("array<struct<path:string,code:string>>")
         return F.array_sort(F.flatten(F.array(none, *[F.coalesce(x, none) for x in found])))
 
@@ -104,7 +107,8 @@ def split(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
 def meta_rules() -> list[Rule]:
     """The ten fields that all contracts share."""
     text = [Rule(n, min_length=1) for n in ("run_id", "batch_id", "record_id", "source", "source_record_id", "parser_version")]
-    return [Rule("schema_version", const="1.0.0"), *text, Rule("source_uri", nullable=True), Rule("content_hash", pattern="^[0-9a-f]{64}$"), Rule("created_at", min_length=1)]
+    return [Rule("schema_version", const="1.0.0"), *text, Rule("source_uri", nullable=True), Rule("content_hash", pattern="^[0-9a-f]{64}$"),
+        Rule("created_at", min_length=1)]
 
 
 # Enums of the normalized, reconciled and published rows.
@@ -114,9 +118,16 @@ BASES = ("MANUFACTURE", "PACKAGING", "RECEIPT", "UNKNOWN")
 REVIEW = ("AUTO_APPROVED", "REVIEW_REQUIRED", "REJECTED")
 
 REGISTRY = {
-    "submitted_product": Contract("submitted_product", [*meta_rules(), Rule("original_product_id", min_length=1), Rule("product_name_raw", min_length=1), Rule("product_url", min_length=1)], closed=False),
-    "normalized_freshness": Contract("normalized_freshness", [*meta_rules(), Rule("food_name_normalized", min_length=1), Rule("storage_type", enum=STORAGE), Rule("expiration_value", nullable=True, minimum=0), Rule("expiration_unit", nullable=True, enum=UNITS), Rule("expiration_basis", nullable=True, enum=BASES), Rule("expiration_text", nullable=True)]),
-    "gold_freshness": Contract("gold_freshness", [Rule("dataset_version", min_length=1), Rule("external_product_id", min_length=1), Rule("product_name", min_length=1), Rule("storage_type", enum=STORAGE), Rule("expiration_value", nullable=True, minimum=0), Rule("confidence", minimum=0, maximum=1), Rule("review_status", enum=("AUTO_APPROVED", "APPROVED"))]),
+    "submitted_product": Contract("submitted_product",
+        [*meta_rules(), Rule("original_product_id", min_length=1), Rule("product_name_raw", min_length=1), Rule("product_url", min_length=1)], closed=False),
+    "normalized_freshness": Contract("normalized_freshness",
+        [*meta_rules(), Rule("food_name_normalized", min_length=1), Rule("storage_type", enum=STORAGE),
+        Rule("expiration_value", nullable=True, minimum=0), Rule("expiration_unit", nullable=True, enum=UNITS),
+        Rule("expiration_basis", nullable=True, enum=BASES), Rule("expiration_text", nullable=True)]),
+    "gold_freshness": Contract("gold_freshness",
+        [Rule("dataset_version", min_length=1), Rule("external_product_id", min_length=1), Rule("product_name", min_length=1),
+        Rule("storage_type", enum=STORAGE), Rule("expiration_value", nullable=True, minimum=0), Rule("confidence", minimum=0, maximum=1),
+        Rule("review_status", enum=("AUTO_APPROVED", "APPROVED"))]),
 }
 
 

@@ -70,13 +70,15 @@ def upsert(existing: DataFrame, new: DataFrame, key: str, order: str) -> DataFra
     w = W.partitionBy(key)
     rank = F.row_number().over(w.orderBy(F.col("_src").desc(), F.col(order).desc()))
     first = F.min(F.struct("_src", order)).over(w)
-    return rows.withColumn("_rn", rank).withColumn("_first", first).where("_rn = 1").withColumn("position", F.col("_first")[order]).drop("_rn", "_first", "_src")
+    return rows.withColumn("_rn", rank).withColumn("_first", first).where("_rn = 1").withColumn("position", F.col("_first")[order]).drop("_rn",
+        "_first", "_src")
 
 
 def reuse_or_fetch(wanted: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """wanted with `action`: reuse what is stored, fetch the rest."""
     keys = stored.select(key).distinct()
-    return wanted.join(keys, key, "left_semi").withColumn("action", F.lit("REUSE")).unionByName(wanted.join(keys, key, "left_anti").withColumn("action", F.lit("FETCH")))
+    return wanted.join(keys, key, "left_semi").withColumn("action",
+        F.lit("REUSE")).unionByName(wanted.join(keys, key, "left_anti").withColumn("action", F.lit("FETCH")))
 
 
 def drop_checked(rows: DataFrame, checks: DataFrame, key: str, where: str | Column) -> DataFrame:
@@ -105,5 +107,6 @@ def scroll_stop(candidates: DataFrame, batch: str, round_: str, item: str, max_i
         F.coalesce(F.min_by("_reason", F.when(F.col("_reason").isNotNull(), F.col(round_))), F.lit("SCROLL_LIMIT_REACHED")).alias("stop_reason"),
     )
     seen = candidates.join(first, [batch, item]).join(stop, batch).where(F.col(round_) <= F.col("stop_round"))
-    hits = seen.groupBy(batch).agg(F.count_if(F.col("_first") < F.col(round_)).alias("duplicates"), F.least(F.count_distinct(item), F.lit(max_items)).cast("long").alias("discovered"))
+    hits = seen.groupBy(batch).agg(F.count_if(F.col("_first") < F.col(round_)).alias("duplicates"),
+        F.least(F.count_distinct(item), F.lit(max_items)).cast("long").alias("discovered"))
     return stop.join(hits, batch).select(batch, "stop_round", "stop_reason", "discovered", "duplicates")

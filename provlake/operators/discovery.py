@@ -25,7 +25,8 @@ class Discovered:
 def _manifests(batches: DataFrame, products: DataFrame, failures: DataFrame, duplicates: DataFrame) -> DataFrame:
     """batches (batch_id, ...) with discovered_count, failure_count, duplicate_count and status."""
     count = lambda d, name: d.groupBy("batch_id").agg(F.count("*").alias(name))
-    out = batches.join(count(products, "discovered_count"), "batch_id", "left").join(count(failures, "failure_count"), "batch_id", "left").join(duplicates, "batch_id", "left")
+    out = batches.join(count(products, "discovered_count"), "batch_id", "left").join(count(failures, "failure_count"), "batch_id",
+        "left").join(duplicates, "batch_id", "left")
     out = out.fillna(0, ["discovered_count", "failure_count", "duplicate_count"])
     status = F.when(F.col("discovered_count") == 0, "FAILED").when(F.col("failure_count") > 0, "PARTIAL_FAILED").otherwise("COMPLETED")
     return out.withColumn("status", status)
@@ -42,7 +43,8 @@ def discover_url_lists(batches: DataFrame, lines: DataFrame, rules: UrlRules = R
     Comments and blank lines don't count.  A product's first line in its batch stays; lines without an id all stay and are failures, as are addresses
     of other hosts.  duplicate_count: the lines that went.
     """
-    asked = lines.select("batch_id", "position", F.trim("line").alias("requested_url")).where((F.col("requested_url") != "") & ~F.col("requested_url").startswith("#"))
+    asked = lines.select("batch_id", "position",
+        F.trim("line").alias("requested_url")).where((F.col("requested_url") != "") & ~F.col("requested_url").startswith("#"))
     asked = asked.join(batches.select("batch_id"), "batch_id", "left_semi").withColumn("original_product_id", product_id("requested_url", rules))
     keyed, bare = asked.where("original_product_id is not null"), asked.where("original_product_id is null")
     once = first_wins(keyed, ["batch_id", "original_product_id"], "position").unionByName(bare).withColumn("product_url", canonical_url("requested_url", rules))

@@ -46,14 +46,16 @@ def emit(rows: DataFrame, known: DataFrame, batch: str = "batch_id", position: s
     """
     pid = F.concat_ws(":", "site", "pid")
     image = F.coalesce(F.col("image_path"), F.lit("")) != ""
-    r = rows.withColumn("_pid", pid).withColumn("_full", F.concat_ws(":", "site", "pid", "digest")).withColumn("_short", F.concat_ws(":", "site", "pid", F.left("digest", F.lit(12))))
+    r = rows.withColumn("_pid", pid).withColumn("_full", F.concat_ws(":", "site", "pid", "digest")).withColumn("_short",
+        F.concat_ws(":", "site", "pid", F.left("digest", F.lit(12))))
     for name in ("_pid", "_full", "_short"):
         seen = known.select(F.col("key").alias(f"{name}_key")).distinct()
         r = r.join(seen, F.col(name) == F.col(f"{name}_key"), "left")
     r = r.withColumn("_image", image).withColumn("_old", F.col("_full_key").isNotNull() | F.col("_short_key").isNotNull())
     r = r.withColumn("_branch", gate_branch("gate_text", "expiration_dom", "storage_dom"))
     r = r.withColumn("_failed", F.col("_image") & (F.col("_branch") == "FULL") & (F.trim(F.coalesce("ocr_text", F.lit(""))) == ""))
-    done = F.sum((F.col("_image") & ~F.col("_old") & ~F.col("_failed")).cast("int")).over(W.partitionBy(batch, "_full").orderBy(position).rowsBetween(W.unboundedPreceding, -1))
+    done = F.sum((F.col("_image") & ~F.col("_old") & ~F.col("_failed")).cast("int")).over(W.partitionBy(batch,
+        "_full").orderBy(position).rowsBetween(W.unboundedPreceding, -1))
     r = r.withColumn("_first", F.col("_image") & ~F.col("_old") & (F.coalesce(done, F.lit(0)) == 0))
     r = r.withColumn("_page", ~F.col("_image") | (F.col("_first") & (F.col("_branch") == "DOM_ONLY")))
     pages = F.sum(F.col("_page").cast("int")).over(W.partitionBy(batch, "_pid").orderBy(position).rowsBetween(W.unboundedPreceding, -1))
@@ -73,12 +75,14 @@ def merged_products(emitted: DataFrame) -> DataFrame:
     text = F.when(F.col("outcome") == "IMAGE", F.col("ocr_text"))
     found = emitted.where(F.col("outcome").isin("IMAGE", "DOM_ONLY")).withColumn("_f", extract.disclosure_fields(text))
     none = F.lit(None).cast("string")
-    fields = {"food_type": (none, "_f.food_type_raw"), "expiration": ("expiration_dom", "_f.expiration_info_raw"), "storage": ("storage_dom", "_f.storage_method_raw")}
+    fields = {"food_type": (none, "_f.food_type_raw"), "expiration": ("expiration_dom", "_f.expiration_info_raw"),
+        "storage": ("storage_dom", "_f.storage_method_raw")}
     for name, (dom, ocr) in fields.items():
         found = found.withColumn(f"_{name}", merge.merge_field(dom, ocr))
     out = [x for n in fields for x in (F.col(f"_{n}.value").alias(f"{n}_raw"), F.col(f"_{n}.source").alias(f"{n}_source"))]
     states = merge.rollup_status(*[F.col(f"_{n}.status") for n in fields])
-    return found.select("batch_id", "position", "site", "pid", "outcome", *out, extract.storage_type("_storage.value").alias("storage_type"), states.alias("validation_status"))
+    return found.select("batch_id", "position", "site", "pid", "outcome", *out, extract.storage_type("_storage.value").alias("storage_type"),
+        states.alias("validation_status"))
 
 
 def product_records(emitted: DataFrame, parser_version: str = "0.1.0") -> DataFrame:
@@ -89,7 +93,8 @@ def product_records(emitted: DataFrame, parser_version: str = "0.1.0") -> DataFr
     """
     image, none = F.col("outcome") == "IMAGE", F.lit(None).cast("string")
     rows = emitted.where(F.col("outcome").isin("IMAGE", "DOM_ONLY")).withColumn("_f", extract.disclosure_fields(F.when(image, F.col("ocr_text"))))
-    pairs = {"food_type": (none, "_f.food_type_raw"), "expiration": ("expiration_dom", "_f.expiration_info_raw"), "storage": ("storage_dom", "_f.storage_method_raw")}
+    pairs = {"food_type": (none, "_f.food_type_raw"), "expiration": ("expiration_dom", "_f.expiration_info_raw"),
+        "storage": ("storage_dom", "_f.storage_method_raw")}
     rows = rows.withColumns({f"_{n}": merge.merge_field(a, b) for n, (a, b) in pairs.items()})
     of_image = lambda c: F.when(image, c)
     value, source = lambda n: F.col(f"_{n}.value"), lambda n: F.col(f"_{n}.source")
@@ -98,10 +103,14 @@ def product_records(emitted: DataFrame, parser_version: str = "0.1.0") -> DataFr
     third = F.when(image, value("food_type")).otherwise(F.col("product_name"))
     record = F.concat_ws(":", "site", "pid", of_image(F.left("digest", F.lit(12))))
     return rows.select(
-        "batch_id", F.col("site").alias("source_site"), F.col("pid").alias("original_product_id"), F.col("product_name").alias("product_name_raw"), "food_name_candidate", "product_url",
+        "batch_id", F.col("site").alias("source_site"), F.col("pid").alias("original_product_id"), F.col("product_name").alias("product_name_raw"),
+            "food_name_candidate", "product_url",
         "sales_unit_raw", "weight_raw", "quantity_raw", value("food_type").alias("food_type_raw"), source("food_type").alias("food_type_source"),
-        value("expiration").alias("expiration_info_raw"), source("expiration").alias("expiration_source"), value("storage").alias("storage_method_raw"), source("storage").alias("storage_source"),
-        storage_type.alias("storage_type"), of_image(F.col("ocr_confidence")).alias("ocr_confidence"), "crawl_collected_at", of_image(F.col("ocr_collected_at")).alias("ocr_collected_at"),
+        value("expiration").alias("expiration_info_raw"), source("expiration").alias("expiration_source"),
+            value("storage").alias("storage_method_raw"), source("storage").alias("storage_source"),
+        storage_type.alias("storage_type"), of_image(F.col("ocr_confidence")).alias("ocr_confidence"), "crawl_collected_at",
+            of_image(F.col("ocr_collected_at")).alias("ocr_collected_at"),
         F.lit(parser_version).alias("parser_version"), merge.rollup_status(*[F.col(f"_{n}.status") for n in pairs]).alias("validation_status"),
-        merge.parse_status(value("expiration"), value("storage"), third).alias("parse_status"), record.alias("source_record_id"), of_image(F.col("digest")).alias("image_sha256"),
+        merge.parse_status(value("expiration"), value("storage"), third).alias("parse_status"), record.alias("source_record_id"),
+            of_image(F.col("digest")).alias("image_sha256"),
     )

@@ -75,7 +75,8 @@ def _output(spark: SparkSession, folder: str, name: str, suffix: str) -> dict:
 
 def publish_bundle(
     rows: DataFrame, root: str, version: str, key: str, columns: Sequence[str], rules: Mapping[str, Column], inputs: DataFrame, created_at: str,
-    name: str = "freshness_profiles", schema_version: str = "1.0.0", rule_version: str = "1.0.0", files_of: int = 1_000_000, step: Callable[[str], None] = lambda _: None,
+    name: str = "freshness_profiles", schema_version: str = "1.0.0", rule_version: str = "1.0.0", files_of: int = 1_000_000,
+        step: Callable[[str], None] = lambda _: None,
 ) -> Bundle:
     """rows (with review_status) as version `version`.  inputs: artifact_id, checksum, one row for each input artifact.
 
@@ -103,7 +104,8 @@ def publish_bundle(
         "dataset_name": name, "dataset_version": version, "schema_version": schema_version, "rule_version": rule_version, "created_at": created_at,
         "inputs": [r.asDict() for r in inputs.select("artifact_id", "checksum").distinct().orderBy("artifact_id", "checksum").collect()],  # artifacts, not rows
         **now, "columns": good.columns, "quality": summary,
-        "outputs": [_output(spark, attempt, f"{name}.{suffix}", suffix) for suffix in ("parquet", "csv")], "quality_summary": f"{attempt.rsplit('/', 1)[1]}/quality_summary.json",
+        "outputs": [_output(spark, attempt, f"{name}.{suffix}", suffix) for suffix in ("parquet", "csv")],
+            "quality_summary": f"{attempt.rsplit('/', 1)[1]}/quality_summary.json",
     }
     step("manifest")
     if create_file(spark, f"{base}/manifest.json", (json.dumps(manifest, ensure_ascii=False, sort_keys=True, indent=2) + "\n").encode()):

@@ -13,8 +13,10 @@ from provlake.functions.text import col, optional_int
 from provlake.functions.urls import image_url
 
 # Words that exclude or prefer an image.
-EXCLUDED = ("review", "banner", "icon", "logo", "thumb", "recommend", "related", "sns", "share", "badge", "cart", "coupon", "recent-product", "상품-대표", "대표-이미지", "/brand/", "member", "profile")
-HINTS = ("goodsview", "goods_wrap", "goods_intro", "goods_point", "goods_note", "goods-detail", "product-detail", "detail", "description", "notice", "disclosure", "고시", "상세")
+EXCLUDED = ("review", "banner", "icon", "logo", "thumb", "recommend", "related", "sns", "share", "badge", "cart", "coupon", "recent-product", "상품-대표",
+    "대표-이미지", "/brand/", "member", "profile")
+HINTS = ("goodsview", "goods_wrap", "goods_intro", "goods_point", "goods_note", "goods-detail", "product-detail", "detail", "description", "notice",
+    "disclosure", "고시", "상세")
 HERO = ("main", "hero", "cover", "recent")
 NO_TEXT_BELOW, HAS_TEXT_ABOVE = 0.04, 0.12
 MAX_SIDE = 640
@@ -37,7 +39,8 @@ def candidates(images: DataFrame, page: str = "page_id", position: str = "positi
     drop = _any(hay, EXCLUDED) | F.coalesce(small, F.lit(False)) | (_any(hay, HERO) & ~hint)
     rows = images.withColumn("source_url", url).where(url.isNotNull() & ~drop).withColumn("preferred", hint | F.coalesce((h >= 900) & (w >= 700), F.lit(False)))
     rows = rows.withColumn("_d", F.row_number().over(W.partitionBy(page, "source_url").orderBy(position))).where("_d = 1").drop("_d")
-    rows = rows.withColumn("_any", F.max("preferred").over(W.partitionBy(page))).withColumn("_rn", F.row_number().over(W.partitionBy(page, "preferred").orderBy(position)))
+    rows = rows.withColumn("_any", F.max("preferred").over(W.partitionBy(page))).withColumn("_rn",
+        F.row_number().over(W.partitionBy(page, "preferred").orderBy(position)))
     kept = rows.where((F.col("_any") & F.col("preferred")) | (~F.col("_any") & (F.col("_rn") <= FALLBACK)))
     return kept.withColumn("sequence", F.row_number().over(W.partitionBy(page).orderBy(position))).drop("_any", "_rn")
 

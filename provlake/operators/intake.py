@@ -53,16 +53,20 @@ def adapt_products(rows: DataFrame, run_id: str, created_at: str, fallback_batch
     batch = F.coalesce(text("batch_id"), F.lit(fallback_batch))
     record = F.coalesce(text("source_record_id"), F.concat_ws(":", site, pid))
     url = F.coalesce(text("product_url"), F.lit(""))
-    known = {"schema_version", "batch_id", "source_site", "original_product_id", "product_name_raw", "product_url", "parser_version", "source_record_id", "ocr_confidence", *OPTIONAL_TEXT}
+    known = {"schema_version", "batch_id", "source_site", "original_product_id", "product_name_raw", "product_url", "parser_version",
+        "source_record_id", "ocr_confidence", *OPTIONAL_TEXT}
     extra = [c for c in rows.columns if c not in known]
     confidence = optional_double("ocr_confidence") if "ocr_confidence" in have else F.lit(None).cast("double")
     bad = confidence.isNull() & text("ocr_confidence").isNotNull()
     out = rows.select(
         F.lit("1.0.0").alias("schema_version"), F.lit(run_id).alias("run_id"), batch.alias("batch_id"), F.concat_ws(":", batch, record).alias("record_id"),
-        site.alias("source"), record.alias("source_record_id"), F.nullif(url, F.lit("")).alias("source_uri"), F.coalesce(text("parser_version"), F.lit("0.0.0")).alias("parser_version"),
-        F.lit(created_at).alias("created_at"), pid.alias("original_product_id"), F.coalesce(text("product_name_raw"), F.lit("")).alias("product_name_raw"), url.alias("product_url"),
+        site.alias("source"), record.alias("source_record_id"), F.nullif(url, F.lit("")).alias("source_uri"),
+            F.coalesce(text("parser_version"), F.lit("0.0.0")).alias("parser_version"),
+        F.lit(created_at).alias("created_at"), pid.alias("original_product_id"),
+            F.coalesce(text("product_name_raw"), F.lit("")).alias("product_name_raw"), url.alias("product_url"),
         *[text(c).alias(c) for c in OPTIONAL_TEXT], confidence.alias("ocr_confidence"), bad.alias("bad_confidence"),
-        (F.map_filter(F.create_map(*[x for c in extra for x in (F.lit(c), blank_to_null(c))]), lambda k, v: v.isNotNull()) if extra else F.create_map().cast("map<string,string>")).alias("extra"),
+        (F.map_filter(F.create_map(*[x for c in extra for x in (F.lit(c), blank_to_null(c))]), lambda k, v: v.isNotNull()) if extra
+            else F.create_map().cast("map<string,string>")).alias("extra"),
     )
     sealed = [c for c in out.columns if c not in ("bad_confidence", "ocr_confidence", "extra")]
     return out.withColumn(HASH_FIELD, content_hash(sealed))
@@ -122,12 +126,15 @@ def lifecycle(runs: DataFrame, found: DataFrame, key: str = "batch_id") -> DataF
 
     discovered: distinct items; duplicates: the other appearances; a run with a failed row ends FAILED, else COMPLETED.
     """
-    ends = found.groupBy(key).agg(F.count_distinct("item").alias("discovered_count"), (F.count("item") - F.count_distinct("item")).alias("duplicate_count"), F.max("stop_reason").alias("stop_reason"), F.max("ended_at").alias("finished_at"), F.bool_or("failed").alias("_failed"))
+    ends = found.groupBy(key).agg(F.count_distinct("item").alias("discovered_count"),
+        (F.count("item") - F.count_distinct("item")).alias("duplicate_count"), F.max("stop_reason").alias("stop_reason"),
+        F.max("ended_at").alias("finished_at"), F.bool_or("failed").alias("_failed"))
     out = runs.join(ends, key, "left").fillna(0, ["discovered_count", "duplicate_count"])
     return out.withColumn("status", F.when(F.col("_failed").isNull(), "RUNNING").when(F.col("_failed"), "FAILED").otherwise("COMPLETED")).drop("_failed")
 
 
-def submission_summary(batches: DataFrame, key: str, counts: dict[str, DataFrame], manifests: DataFrame, reports: DataFrame, needed: Sequence[str]) -> DataFrame:
+def submission_summary(batches: DataFrame, key: str, counts: dict[str, DataFrame], manifests: DataFrame, reports: DataFrame,
+    needed: Sequence[str]) -> DataFrame:
     """One row for each batch: a count for each table, and the status of the manifest, else of the report, else by the needed tables."""
     out = summaries.with_counts(batches, key, counts)
     out = out.join(manifests.select(key, F.col("status").alias("_m")), key, "left").join(reports.select(key, F.col("status").alias("_r")), key, "left")

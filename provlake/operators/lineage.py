@@ -38,7 +38,8 @@ def ancestors(spark: SparkSession, edges: DataFrame, start: DataFrame) -> DataFr
         parts, length = [scratch.written(start.select("root", F.col("root").alias("at"), F.lit(0).alias("depth")).distinct(), "reached")], 1
         while True:
             known = _joined(parts)
-            more = scratch.written(known.join(jumps, F.col("at") == F.col("low")).select("root", F.col("high").alias("at"), (F.col("depth") + length).alias("depth")).distinct(), "reached")
+            more = scratch.written(known.join(jumps, F.col("at") == F.col("low")).select("root", F.col("high").alias("at"),
+                (F.col("depth") + length).alias("depth")).distinct(), "reached")
             if more.isEmpty():
                 break
             if length > most:
@@ -69,7 +70,8 @@ def reached(spark: SparkSession, edges: DataFrame, start: DataFrame) -> DataFram
 
 def would_cycle(spark: SparkSession, edges: DataFrame, proposed: DataFrame) -> DataFrame:
     """proposed (parent, child) with `rejected`: the child is the parent or one of its ancestors already."""
-    up = reached(spark, edges, proposed.select(F.col("parent").alias("root")).distinct()).select(F.col("root").alias("parent"), F.col("ancestor").alias("child"))
+    up = reached(spark, edges, proposed.select(F.col("parent").alias("root")).distinct()).select(F.col("root").alias("parent"),
+        F.col("ancestor").alias("child"))
     marked = proposed.join(up.withColumn("_hit", F.lit(True)), ["parent", "child"], "left")
     return marked.select("parent", "child", (F.coalesce("_hit", F.lit(False)) | (F.col("parent") == F.col("child"))).alias("rejected"))
 

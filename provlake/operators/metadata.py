@@ -90,7 +90,8 @@ def migrations_to_apply(found: DataFrame, applied: DataFrame) -> DataFrame:
 
 def found_migrations(files: DataFrame) -> DataFrame:
     """(version, name, checksum) of files (name, sha256) named NNNN_<what>.up.sql."""
-    return files.where(F.col("name").rlike(r"^[0-9]{4}_.*\.up\.sql$")).select(F.left("name", F.lit(4)).alias("version"), "name", F.col("sha256").alias("checksum"))
+    return files.where(F.col("name").rlike(r"^[0-9]{4}_.*\.up\.sql$")).select(F.left("name", F.lit(4)).alias("version"), "name",
+        F.col("sha256").alias("checksum"))
 
 
 def with_trigger(runs: DataFrame, trigger: str | Column, logs: str, run_id: str = "run_id") -> DataFrame:

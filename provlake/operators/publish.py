@@ -88,7 +88,8 @@ def _chosen(found: Column) -> Column:
     best = F.coalesce(F.get(firm, F.lit(0)), F.get(valued, F.lit(0)))
     storage = F.coalesce(best["storage"], F.get(F.filter(found, lambda e: e["storage"].isNotNull()), F.lit(0))["storage"])
     other = F.exists(valued, lambda e: (e["basis"] == best["basis"]) & ~((e["value"] == best["value"]) & (e["unit"] == best["unit"])))
-    return F.struct(best["value"].alias("value"), best["unit"].alias("unit"), best["basis"].alias("basis"), storage.alias("storage"), F.coalesce(other, F.lit(False)).alias("conflict"))
+    return F.struct(best["value"].alias("value"), best["unit"].alias("unit"), best["basis"].alias("basis"), storage.alias("storage"),
+        F.coalesce(other, F.lit(False)).alias("conflict"))
 
 
 def clean_lines(x: str | Column) -> Column:
@@ -123,7 +124,8 @@ def reconcile(products: DataFrame, reference: DataFrame, code: str, name: str, g
     """
     ref = reference.select(F.col(code).alias("_code"), F.lower(F.col(name)).alias("_name"), F.col(group).alias("_group"), F.col("reference_id"))
     p = products.withColumn("_n", F.lower(F.col(name)))
-    pick = lambda d, t: d.groupBy("product_id").agg(F.min_by(F.struct("reference_id", F.lit(t).alias("match_type"), "distance"), F.struct("distance", "reference_id")).alias("_m"))
+    pick = lambda d, t: d.groupBy("product_id").agg(F.min_by(F.struct("reference_id", F.lit(t).alias("match_type"), "distance"),
+        F.struct("distance", "reference_id")).alias("_m"))
     exact = pick(p.join(ref, p[code] == ref["_code"]).withColumn("distance", F.lit(0)), "CODE")
     rest = p.join(exact.select("product_id"), "product_id", "left_anti")
     named = pick(rest.join(ref, (rest["_n"] == ref["_name"]) & (rest[group] == ref["_group"])).withColumn("distance", F.lit(0)), "NAME")
@@ -132,13 +134,18 @@ def reconcile(products: DataFrame, reference: DataFrame, code: str, name: str, g
     found = exact.unionByName(named).unionByName(pick(near, "FUZZY"))
     out = products.join(found, "product_id", "left")
     kind = F.coalesce("_m.match_type", F.lit("NONE"))
-    return out.select(*products.columns, F.col("_m.reference_id").alias("reference_id"), kind.alias("match_type"), F.col("_m.distance").alias("distance"), F.when(kind.isin("CODE", "NAME"), "AUTO_APPROVED").otherwise("REVIEW_REQUIRED").alias("review_status"), F.lit(rule_version).alias("rule_version"))
+    return out.select(*products.columns, F.col("_m.reference_id").alias("reference_id"), kind.alias("match_type"),
+        F.col("_m.distance").alias("distance"),
+        F.when(kind.isin("CODE", "NAME"), "AUTO_APPROVED").otherwise("REVIEW_REQUIRED").alias("review_status"), F.lit(rule_version).alias("rule_version"))
 
 
 def pass_rates(rows: DataFrame, rules: Mapping[str, Column], key: str, samples: int = 5) -> DataFrame:
     """One row for each rule: checked, failed, pass_rate, and the least keys that fail (a sample, at most `samples`)."""
-    flat = rows.select(F.col(key).alias("_k"), F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.coalesce(c, F.lit(False)).alias("ok")) for n, c in rules.items()])).alias("r")).select("_k", "r.*")
-    sums = flat.groupBy("rule").agg(F.count("*").alias("checked"), F.count_if(~F.col("ok")).alias("failed"), F.round(F.avg(F.col("ok").cast("int")), 6).alias("pass_rate"))
+    flat = rows.select(F.col(key).alias("_k"),
+        F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.coalesce(c, F.lit(False)).alias("ok")) for n,
+        c in rules.items()])).alias("r")).select("_k", "r.*")
+    sums = flat.groupBy("rule").agg(F.count("*").alias("checked"), F.count_if(~F.col("ok")).alias("failed"),
+        F.round(F.avg(F.col("ok").cast("int")), 6).alias("pass_rate"))
     bad = flat.where(~F.col("ok")).withColumn("_rn", F.row_number().over(W.partitionBy("rule").orderBy("_k"))).where(F.col("_rn") <= samples)
     few = bad.groupBy("rule").agg(F.array_sort(F.collect_list("_k")).alias("sample"))
     return sums.join(few, "rule", "left").withColumn("sample", F.coalesce("sample", F.array().cast(few.schema["sample"].dataType)))

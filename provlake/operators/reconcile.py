@@ -42,7 +42,8 @@ def word_weights(names: DataFrame) -> DataFrame:
     """(word, weight) of the words of distinct names (name); the weight of a word in n of N names is 1000 ln(1 + N / (1 + n)), rounded down, plus 1."""
     words = names.select(F.explode(F.array_distinct(F.split("name", " "))).alias("word"))
     total = names.agg(F.count("*").alias("_total"))  # one row
-    return words.groupBy("word").agg(F.count("*").alias("_n")).crossJoin(F.broadcast(total)).select("word", _weight(F.col("_total"), F.col("_n")).alias("weight"))
+    return words.groupBy("word").agg(F.count("*").alias("_n")).crossJoin(F.broadcast(total)).select("word",
+        _weight(F.col("_total"), F.col("_n")).alias("weight"))
 
 
 def _weight(total: Column, n: Column) -> Column:
@@ -63,7 +64,8 @@ def prefixes(names: DataFrame, least: int) -> DataFrame:
     step = F.struct(F.col("weight").alias("rest"), F.array().cast("array<struct<key:string,rest:bigint>>").alias("keys"))
     add = lambda at, w: F.struct(
         (at["rest"] - w["weight"]).alias("rest"),
-        F.when(1000 * at["rest"] >= least * F.col("weight"), F.concat(at["keys"], F.array(F.struct(w["word"].alias("key"), at["rest"].alias("rest"))))).otherwise(at["keys"]).alias("keys"),
+        F.when(1000 * at["rest"] >= least * F.col("weight"),
+            F.concat(at["keys"], F.array(F.struct(w["word"].alias("key"), at["rest"].alias("rest"))))).otherwise(at["keys"]).alias("keys"),
     )
     keys = F.aggregate("words", step, add)["keys"]
     return names.select("*", F.explode(keys).alias("_k")).select(*names.columns, "_k.key", "_k.rest")
@@ -88,8 +90,10 @@ def contained_names(products: DataFrame, reference: DataFrame) -> DataFrame:
 
     Both hold words and weight.  The join is on the reference's rarest word, so a large category does not meet itself.
     """
-    r = reference.select("reference_id", F.col("category").alias("r_category"), F.col("storage").alias("r_storage"), F.transform("words", lambda w: w["word"]).alias("r_words"), F.col("weight").alias("r_weight"), F.col("words")[0]["word"].alias("r_key"))
-    p = products.select("product_id", "category", "storage", F.transform("words", lambda w: w["word"]).alias("own"), "weight").withColumn("key", F.explode("own"))
+    r = reference.select("reference_id", F.col("category").alias("r_category"), F.col("storage").alias("r_storage"),
+        F.transform("words", lambda w: w["word"]).alias("r_words"), F.col("weight").alias("r_weight"), F.col("words")[0]["word"].alias("r_key"))
+    p = products.select("product_id", "category", "storage", F.transform("words", lambda w: w["word"]).alias("own"), "weight").withColumn("key",
+        F.explode("own"))
     on = (p["category"] == r["r_category"]) & (p["storage"] == r["r_storage"]) & (p["key"] == r["r_key"])
     pairs = p.join(r, on).where(F.size(F.array_except("r_words", "own")) == 0)
     return pairs.select("product_id", "reference_id", F.floor(1000 * F.col("r_weight") / F.col("weight")).alias("similarity"))
@@ -97,11 +101,13 @@ def contained_names(products: DataFrame, reference: DataFrame) -> DataFrame:
 
 def _best(pairs: DataFrame, tier: str) -> DataFrame:
     """The most similar reference of each product; of equals the one with the least id."""
-    first = F.min_by(F.struct("reference_id", F.lit(tier).alias("match_type"), F.col("similarity").cast("long").alias("similarity")), F.struct(-F.col("similarity"), "reference_id"))
+    first = F.min_by(F.struct("reference_id", F.lit(tier).alias("match_type"), F.col("similarity").cast("long").alias("similarity")),
+        F.struct(-F.col("similarity"), "reference_id"))
     return pairs.groupBy("product_id").agg(first.alias("m")).select("product_id", "m.*")
 
 
-def match(products: DataFrame, reference: DataFrame, least: int, certain: Mapping[str, int] = CERTAIN, keep: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
+def match(products: DataFrame, reference: DataFrame, least: int, certain: Mapping[str, int] = CERTAIN,
+    keep: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
     """(product_id, reference_id, match_type, confidence) of every product; NONE has no reference and confidence 0.
 
     Both tables: name (a standard name), code, category, storage, and product_id or reference_id.  least: thousandths.  keep: how tables that are read
@@ -124,12 +130,14 @@ def match(products: DataFrame, reference: DataFrame, least: int, certain: Mappin
     p = p.join(inside.select("product_id"), "product_id", "left_anti")
     near = similar_names(left.join(p.select("name").distinct(), "name", "left_semi"), right, least)
     least_id = r.groupBy(F.col("name").alias("other")).agg(F.min("reference_id").alias("reference_id"))
-    best = near.join(least_id, "other").groupBy("name").agg(F.min_by(F.struct("reference_id", "similarity"), F.struct(-F.col("similarity"), "reference_id")).alias("m"))
+    best = near.join(least_id, "other").groupBy("name").agg(F.min_by(F.struct("reference_id", "similarity"),
+        F.struct(-F.col("similarity"), "reference_id")).alias("m"))
     fuzzy = _best(p.join(best, "name").select("product_id", "m.*"), "FUZZY")
 
     found = by_code.unionByName(by_name).unionByName(inside).unionByName(fuzzy)
     out = products.select("product_id").distinct().join(found, "product_id", "left")
-    return out.select("product_id", "reference_id", F.coalesce("match_type", F.lit("NONE")).alias("match_type"), (F.coalesce("similarity", F.lit(0)) / 1000).alias("confidence"))
+    return out.select("product_id", "reference_id", F.coalesce("match_type", F.lit("NONE")).alias("match_type"),
+        (F.coalesce("similarity", F.lit(0)) / 1000).alias("confidence"))
 
 
 @dataclass(frozen=True)
@@ -156,7 +164,8 @@ RULES = (
 )
 
 
-def resolve(products: DataFrame, reference: DataFrame, matches: DataFrame, fields: Sequence[str], approve: float, rules: Sequence[Rule] = RULES, version: str = "1.0.0") -> DataFrame:
+def resolve(products: DataFrame, reference: DataFrame, matches: DataFrame, fields: Sequence[str], approve: float, rules: Sequence[Rule] = RULES,
+    version: str = "1.0.0") -> DataFrame:
     """One row for each product row and field: original, reference and chosen value, where it is from, rule, match, confidence, review status.
 
     The first rule whose condition holds decides.  A choice is APPROVED unless its rule asks for a review or a value taken from or beside a
@@ -165,23 +174,29 @@ def resolve(products: DataFrame, reference: DataFrame, matches: DataFrame, field
     own = products.select("product_id", *[F.col(f).cast("string").alias(f"o_{f}") for f in fields])
     ref = reference.select("reference_id", *[F.col(f).cast("string").alias(f"r_{f}") for f in fields])
     rows = own.join(matches, "product_id", "left").join(ref, "reference_id", "left")
-    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"o_{f}").alias("original_value"), F.col(f"r_{f}").alias("reference_value")) for f in fields]))
-    rows = rows.select("product_id", "reference_id", "match_type", "confidence", each.alias("_f")).select("product_id", "reference_id", "_f.*", "match_type", "confidence")
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"o_{f}").alias("original_value"), F.col(f"r_{f}").alias("reference_value"))
+        for f in fields]))
+    rows = rows.select("product_id", "reference_id", "match_type", "confidence", each.alias("_f")).select("product_id", "reference_id", "_f.*",
+        "match_type", "confidence")
     a, b = F.col("original_value"), F.col("reference_value")
-    decided = F.coalesce(*[F.when(F.coalesce(r.condition(a, b), F.lit(False)), F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.choice).alias("choice"), F.lit(r.review).alias("review"))) for r in rules])
+    decided = F.coalesce(*[F.when(F.coalesce(r.condition(a, b), F.lit(False)),
+        F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.choice).alias("choice"), F.lit(r.review).alias("review"))) for r in rules])
     rows = rows.withColumn("_d", decided)
     chosen = F.when(F.col("_d.choice") == "ORIGINAL", a).when(F.col("_d.choice") == "REFERENCE", b)
     doubtful = F.col("_d.review") | (b.isNotNull() & (F.col("confidence") < approve))
     status = F.when(F.coalesce(doubtful, F.lit(True)), "REVIEW_REQUIRED").otherwise("APPROVED")
-    evidence = [chosen.alias("chosen_value"), F.col("_d.choice").alias("selected_source"), F.col("_d.rule_id").alias("rule_id"), F.lit(version).alias("rule_version")]
-    return rows.select("product_id", "reference_id", "field", "original_value", "reference_value", *evidence, "match_type", "confidence", status.alias("review_status"))
+    evidence = [chosen.alias("chosen_value"), F.col("_d.choice").alias("selected_source"), F.col("_d.rule_id").alias("rule_id"),
+        F.lit(version).alias("rule_version")]
+    return rows.select("product_id", "reference_id", "field", "original_value", "reference_value", *evidence, "match_type", "confidence",
+        status.alias("review_status"))
 
 
 def review_queue(evidence: DataFrame) -> DataFrame:
     """Each product with the fields that need a person, the least confident first inside a product's row."""
     todo = evidence.where("review_status = 'REVIEW_REQUIRED'")
     fields = F.array_join(F.array_sort(F.collect_set("field")), ",")
-    return todo.groupBy("product_id").agg(F.any_value("reference_id").alias("reference_id"), F.any_value("match_type").alias("match_type"), F.min("confidence").alias("confidence"), fields.alias("fields"))
+    return todo.groupBy("product_id").agg(F.any_value("reference_id").alias("reference_id"), F.any_value("match_type").alias("match_type"),
+        F.min("confidence").alias("confidence"), fields.alias("fields"))
 
 
 def standardized(rows: DataFrame, name: str = "name") -> DataFrame:

@@ -80,7 +80,8 @@ class MetadataStore:
 
     def create_runs(self, new: DataFrame) -> DataFrame:
         """new: run_id and the five fields of RUN.  A run begins PENDING."""
-        pending = lambda now, fresh: {"run_events": fresh.select("run_id", F.lit("PENDING").alias("status"), F.lit(None).cast("string").alias("at"), F.lit(now.version + 1).cast("long").alias("version"))}
+        pending = lambda now, fresh: {"run_events": fresh.select("run_id", F.lit("PENDING").alias("status"), F.lit(None).cast("string").alias("at"),
+            F.lit(now.version + 1).cast("long").alias("version"))}
         return self._insert("runs", new.select("run_id", *RUN), ["run_id"], RUN, pending)
 
     def create_steps(self, new: DataFrame) -> DataFrame:
@@ -92,7 +93,8 @@ class MetadataStore:
             tagged = written(tagged.withColumn("step_id", F.coalesce("_id", "step_id")).drop("_id"), "outcome")
             fresh = tagged.where("outcome = 'INSERTED'")
             nothing = [F.lit(None).cast("long").alias(c) for c in ("input_count", "output_count")]
-            pending = fresh.select(*STEP, F.lit("PENDING").alias("status"), F.lit(None).cast("string").alias("at"), F.lit(now.version + 1).cast("long").alias("version"), *nothing)
+            pending = fresh.select(*STEP, F.lit("PENDING").alias("status"), F.lit(None).cast("string").alias("at"),
+                F.lit(now.version + 1).cast("long").alias("version"), *nothing)
             return Change(add={"steps": fresh.drop("outcome"), "step_events": pending}, outcome=tagged)
 
         return self._call(change)
@@ -153,7 +155,8 @@ class MetadataStore:
         keys = ["run_id", "artifact_id", "rule"]
 
         def change(now: Snapshot) -> Change:
-            rows = new.groupBy(*keys).agg(F.min(F.struct("result_id", "passed", "value")).alias("r")).select(*keys, "r.*", F.lit(now.version + 1).cast("long").alias("version"))
+            rows = new.groupBy(*keys).agg(F.min(F.struct("result_id", "passed", "value")).alias("r")).select(*keys, "r.*",
+                F.lit(now.version + 1).cast("long").alias("version"))
             rows = written(rows, "quality")
             return Change(add={"quality": rows}, outcome=rows.drop("version").withColumn("outcome", F.lit("RECORDED")))
 
@@ -176,12 +179,14 @@ class MetadataStore:
     def quality(self, now: Snapshot | None = None) -> DataFrame:
         now = now or self.log.snapshot()
         last = F.max_by(F.struct("passed", "value"), "version").alias("r")
-        return now.table("quality").groupBy("run_id", "artifact_id", "rule").agg(F.min_by("result_id", "version").alias("result_id"), last).select("run_id", "artifact_id", "rule", "result_id", "r.*")
+        return now.table("quality").groupBy("run_id", "artifact_id", "rule").agg(F.min_by("result_id", "version").alias("result_id"),
+            last).select("run_id", "artifact_id", "rule", "result_id", "r.*")
 
     def get_runs(self, now: Snapshot | None = None) -> DataFrame:
         """Runs with their steps, artifacts and quality results as sorted arrays."""
         now = now or self.log.snapshot()
         return metadata.snapshot(
             self.runs(now), "run_id", steps=(self.steps(now), ["name", "attempt", "status", "input_count", "output_count"]),
-            artifacts=(now.table("artifacts"), ["logical_name", "checksum", "artifact_id"]), results=(self.quality(now), ["artifact_id", "rule", "passed", "value"]),
+            artifacts=(now.table("artifacts"), ["logical_name", "checksum", "artifact_id"]),
+                results=(self.quality(now), ["artifact_id", "rule", "passed", "value"]),
         )

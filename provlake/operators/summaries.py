@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from provlake.functions.text import blank_to_null, col
 
 # Patterns of one finished item in a step's log.
-PROGRESS = {"collect": "(?m)^(OK:|SKIP:|FAILED:)", "classify": "(?m)^(HAS_TEXT|NO_TEXT|UNKNOWN):", "ocr": "(?m)^(OK:|SKIP_NO_TEXT:|FAILED:)", "batch": "(?m)^BATCH_DONE:"}
+PROGRESS = {"collect": "(?m)^(OK:|SKIP:|FAILED:)", "classify": "(?m)^(HAS_TEXT|NO_TEXT|UNKNOWN):", "ocr": "(?m)^(OK:|SKIP_NO_TEXT:|FAILED:)",
+    "batch": "(?m)^BATCH_DONE:"}
 SOURCE_LABELS = {"SEARCH": "search", "CATEGORY": "category", "URL_LIST": "URL list"}
 
 
@@ -62,7 +63,8 @@ def progress_percent(done: str | Column, total: str | Column) -> Column:
 
 def csv_profile(rows: DataFrame, key: str, version: str = "schema_version") -> DataFrame:
     """row_count and the sorted distinct versions, joined by commas."""
-    return rows.groupBy(key).agg(F.count("*").alias("row_count"), F.array_join(F.array_sort(F.collect_set(blank_to_null(version))), ",").alias("schema_versions"))
+    return rows.groupBy(key).agg(F.count("*").alias("row_count"),
+        F.array_join(F.array_sort(F.collect_set(blank_to_null(version))), ",").alias("schema_versions"))
 
 
 def outcome_counters(rows: DataFrame, key: str, outcome: str, kinds: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -16,19 +16,26 @@ _META = {
 }
 #: A valid payload of each contract.  NAME and SHARE stand for values of the row.
 PAYLOADS = {
-    "collection_submission": {**_META, "source": "SITE_COLLECTION", "member": "ann", "status": "READY", "row_count": 2, "artifacts": {"products_csv_uri": "p.csv", "failures_csv_uri": None}, "products": [
+    "collection_submission": {**_META, "source": "SITE_COLLECTION", "member": "ann", "status": "READY", "row_count": 2,
+        "artifacts": {"products_csv_uri": "p.csv", "failures_csv_uri": None}, "products": [
         {**_META, "source": "x", "original_product_id": "1", "product_name_raw": "NAME", "product_url": "u", "ocr_confidence": "SHARE"},
         {**_META, "source": "x", "original_product_id": "2", "product_name_raw": "NAME", "product_url": "u", "shade": "red"}]},
-    "site_raw_product": {**_META, "source": "SITE", "original_product_id": "1", "product_name_raw": "NAME", "product_url": "u", "detail_image_urls": ["a", "b"], "shade": "red"},
+    "site_raw_product": {**_META, "source": "SITE", "original_product_id": "1", "product_name_raw": "NAME", "product_url": "u",
+        "detail_image_urls": ["a", "b"], "shade": "red"},
     "agency_raw_record": {**_META, "source": "AGENCY", "document_id": "d", "page_number": 3, "food_name_raw": "NAME", "raw_text": ""},
-    "normalized_freshness": {**_META, "source": "SITE", "food_name_normalized": "NAME", "storage_type": "ROOM", "expiration_value": 3.5, "expiration_unit": "DAY", "expiration_basis": None},
-    "reconciled_freshness": {**_META, "source": "RECONCILER", "site_record_id": "1", "review_status": "APPROVED", "match_type": "NAME", "confidence": "SHARE", "rule_id": "R", "rule_version": "1", "selected_source": "NONE"},
-    "gold_freshness": {**_META, "source": "GOLD", "dataset_version": "v", "external_product_id": "1", "food_mapping_key": "k", "product_name": "NAME", "storage_type": "ROOM", "selected_source": "SITE", "confidence": "SHARE", "review_status": "APPROVED"},
-    "ocr_record": {"schema_version": "1.0", "source_site": "SHOP", "original_product_id": "1", "product_name": "NAME", "product_url": "u", "ocr_raw_text": "", "parser_version": "p", "ocr_confidence": "SHARE"},
+    "normalized_freshness": {**_META, "source": "SITE", "food_name_normalized": "NAME", "storage_type": "ROOM", "expiration_value": 3.5,
+        "expiration_unit": "DAY", "expiration_basis": None},
+    "reconciled_freshness": {**_META, "source": "RECONCILER", "site_record_id": "1", "review_status": "APPROVED", "match_type": "NAME",
+        "confidence": "SHARE", "rule_id": "R", "rule_version": "1", "selected_source": "NONE"},
+    "gold_freshness": {**_META, "source": "GOLD", "dataset_version": "v", "external_product_id": "1", "food_mapping_key": "k", "product_name": "NAME",
+        "storage_type": "ROOM", "selected_source": "SITE", "confidence": "SHARE", "review_status": "APPROVED"},
+    "ocr_record": {"schema_version": "1.0", "source_site": "SHOP", "original_product_id": "1", "product_name": "NAME", "product_url": "u",
+        "ocr_raw_text": "", "parser_version": "p", "ocr_confidence": "SHARE"},
 }
 #: Changes of the JSON text (what is replaced, by what), taken in turn by the part's number; the first leaves it as it is.
 CHANGES = [
-    ("", ""), ('"parser_version": "p', '"parser_versions": "p'), ('"schema_version": "1', '"schema_version": "2'), ('"schema_version": "1.0', '"schema_version": "one'), ('"schema_version": ', '"schema_versions": '),
+    ("", ""), ('"parser_version": "p', '"parser_versions": "p'), ('"schema_version": "1', '"schema_version": "2'),
+        ('"schema_version": "1.0', '"schema_version": "one'), ('"schema_version": ', '"schema_versions": '),
     ('"1"', "1"), ('"NAME"', '""'), ('"ROOM"', '"room"'), ("[", "[null, "), ('"page_number": 3', '"page_number": 0.5'), ('"p.csv"', "[]"), ("{", "[{"),
 ]
 
@@ -71,11 +78,13 @@ def _expected() -> str:
             schema(c, 3, f"{p}.schema_version", "const")
         rows.append((c, 4, "MISSING_SCHEMA_VERSION", "$.schema_version", None, -1))
         rows.append((c, 11, "INVALID_PAYLOAD", "$", None, -1))
-    texts = {"collection_submission": ["$.products[0].original_product_id"], "reconciled_freshness": ["$.site_record_id", "$.rule_version"], "gold_freshness": ["$.external_product_id"], "site_raw_product": ["$.original_product_id"], "ocr_record": ["$.original_product_id"]}
+    texts = {"collection_submission": ["$.products[0].original_product_id"], "reconciled_freshness": ["$.site_record_id", "$.rule_version"],
+        "gold_freshness": ["$.external_product_id"], "site_raw_product": ["$.original_product_id"], "ocr_record": ["$.original_product_id"]}
     for c, paths in texts.items():
         for p in paths:
             schema(c, 5, p, "type")
-    for c, p in {"normalized_freshness": "$.food_name_normalized", "gold_freshness": "$.product_name", "reconciled_freshness": "$.match_type", "ocr_record": "$.product_name"}.items():
+    for c, p in {"normalized_freshness": "$.food_name_normalized", "gold_freshness": "$.product_name", "reconciled_freshness": "$.match_type",
+        "ocr_record": "$.product_name"}.items():
         schema(c, 6, p, "minLength")
     for p in products:
         schema("collection_submission", 6, f"{p}.product_name_raw", "minLength")

@@ -36,8 +36,11 @@ def url_list_manifests(spark, d):
 
 def visit_manifests(spark, d):
     """Customers as visits, their orders as what was found; some visits time out, some fail."""
-    c = table(spark, d, "customer").selectExpr("c_custkey AS batch_id", "concat('s/', c_custkey) AS requested_url", "CASE c_custkey % 8 WHEN 3 THEN 'TIMEOUT' WHEN 5 THEN 'ERROR' ELSE 'OK' END AS fetch")
-    o = table(spark, d, "orders").selectExpr("o_custkey AS batch_id", "'NO_NEW_PRODUCTS' AS stop_reason", "cast(o_orderkey AS string) AS original_product_id", "o_orderkey AS discovery_order", "concat('u/', o_orderkey) AS product_url", "o_custkey % 3 AS duplicates")
+    c = table(spark, d, "customer").selectExpr("c_custkey AS batch_id", "concat('s/', c_custkey) AS requested_url",
+        "CASE c_custkey % 8 WHEN 3 THEN 'TIMEOUT' WHEN 5 THEN 'ERROR' ELSE 'OK' END AS fetch")
+    o = table(spark, d, "orders").selectExpr("o_custkey AS batch_id", "'NO_NEW_PRODUCTS' AS stop_reason",
+        "cast(o_orderkey AS string) AS original_product_id", "o_orderkey AS discovery_order", "concat('u/', o_orderkey) AS product_url",
+        "o_custkey % 3 AS duplicates")
     out = discovery.discover_visits(c, o)
     codes = out.failures.select("batch_id", "error_code")
     return out.manifests.join(codes, "batch_id", "left").drop("requested_url")

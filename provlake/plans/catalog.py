@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from provlake.plans import agreements, batches, discovery, expiry, extraction, gold, layout, matching, products, records, registration, registry, relations, stores, streams, submissions
 
 Query = Callable[[SparkSession, str], DataFrame]
-_ALL = [*relations.QUERIES, *discovery.QUERIES, *extraction.QUERIES, *registry.QUERIES, *layout.QUERIES, *records.QUERIES, *matching.QUERIES, *gold.QUERIES, *agreements.QUERIES, *stores.QUERIES, *streams.QUERIES, *submissions.QUERIES, *batches.QUERIES, *registration.QUERIES, *products.QUERIES, *expiry.QUERIES]
+_ALL = [*relations.QUERIES, *discovery.QUERIES, *extraction.QUERIES, *registry.QUERIES, *layout.QUERIES, *records.QUERIES, *matching.QUERIES,
+    *gold.QUERIES, *agreements.QUERIES, *stores.QUERIES, *streams.QUERIES, *submissions.QUERIES, *batches.QUERIES, *registration.QUERIES,
+    *products.QUERIES, *expiry.QUERIES]
 
 
 def queries() -> dict[str, Query]:

@@ -31,7 +31,8 @@ def url_dedupe_first(spark, d):
 
 def url_duplicate_count(spark, d):
     p = _pages(spark, d)
-    return p.agg(F.count("*").alias("usable"), F.count_distinct("pid").alias("unique_ids"), F.greatest(F.lit(0).cast("long"), F.count("pid") - F.count_distinct("pid")).alias("duplicates"))
+    return p.agg(F.count("*").alias("usable"), F.count_distinct("pid").alias("unique_ids"),
+        F.greatest(F.lit(0).cast("long"), F.count("pid") - F.count_distinct("pid")).alias("duplicates"))
 
 
 def search_url_encode(spark, d):
@@ -61,7 +62,8 @@ def scroll_stop(spark, d):
 
 
 def category_inputs(spark, d):
-    p = table(spark, d, "pages").select("page_id", F.when(F.col("page_id") % 3 != 0, F.col("page_id").cast("string")).alias("code"), F.when(F.col("page_id") % 2 == 0, F.col("url")).alias("u"))
+    p = table(spark, d, "pages").select("page_id", F.when(F.col("page_id") % 3 != 0, F.col("page_id").cast("string")).alias("code"),
+        F.when(F.col("page_id") % 2 == 0, F.col("url")).alias("u"))
     return p.select("page_id", urls.category_input_ok("code", "u").alias("ok"), urls.category_url("code").alias("category_url"))
 
 
@@ -70,7 +72,8 @@ def image_candidates(spark, d):
     made = e.select(
         F.col("user_id").alias("page_id"),
         F.col("event_id").alias("position"),
-        F.concat(F.lit("https://img.example/"), "event_type", F.lit("/"), (F.col("event_id") % 50).cast("string"), F.when(F.col("event_id") % 7 == 0, "/detail.jpg#x").otherwise("/a.jpg")).alias("src"),
+        F.concat(F.lit("https://img.example/"), "event_type", F.lit("/"), (F.col("event_id") % 50).cast("string"),
+            F.when(F.col("event_id") % 7 == 0, "/detail.jpg#x").otherwise("/a.jpg")).alias("src"),
         F.when(F.col("event_id") % 11 == 0, "logo").alias("alt"), F.lit(None).cast("string").alias("class_name"), F.lit(None).cast("string").alias("dom_path"),
         (F.col("event_id") % 1000).alias("width"), (F.col("event_id") % 1300).alias("height"),
     )

@@ -14,7 +14,8 @@ STORED_NAME = """CASE p_partkey % 9 WHEN 0 THEN concat(p_name, ' 냉장') WHEN 1
 
 
 def blank_to_null(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.blank_to_null(F.regexp_extract("text", "\n([^\n]*)$", 1)).alias("last_line"), text.optional_double(F.regexp_extract("text", "([0-9]+[.][0-9]+)", 1)).alias("number"))
+    return table(spark, d, "documents").select("doc_id", text.blank_to_null(F.regexp_extract("text", "\n([^\n]*)$", 1)).alias("last_line"),
+        text.optional_double(F.regexp_extract("text", "([0-9]+[.][0-9]+)", 1)).alias("number"))
 
 
 def lines_explode(spark, d):
@@ -62,7 +63,8 @@ def storage_types(spark, d):
 
 def name_candidate(spark, d):
     k = F.col("p_partkey") % 3
-    name = F.when(k == 0, F.concat(F.lit("[마을] 국내산 "), "p_name", F.lit(" "), "p_size", F.lit("g (냉장)"))).when(k == 1, F.concat(F.lit("한우 "), "p_name", F.lit(" 1.5kg"))).otherwise(F.concat(F.lit(" - "), "p_name", F.lit(" /")))
+    name = F.when(k == 0, F.concat(F.lit("[마을] 국내산 "), "p_name", F.lit(" "), "p_size", F.lit("g (냉장)"))).when(k == 1,
+        F.concat(F.lit("한우 "), "p_name", F.lit(" 1.5kg"))).otherwise(F.concat(F.lit(" - "), "p_name", F.lit(" /")))
     return table(spark, d, "part").select("p_partkey", extract.food_name(name).alias("candidate"), extract.weight_in(name).alias("weight"))
 
 
@@ -73,7 +75,8 @@ def part_name_candidate(spark, d):
 
 def silver_normalize(spark, d):
     k, n = F.col("p_partkey") % 5, F.col("p_size").cast("string")
-    text = F.when(k == 0, F.concat(F.lit("제조일로부터 "), n, F.lit("일"))).when(k == 1, F.concat(n, F.lit(" months from packaging"))).when(k == 2, F.concat(F.lit("<b>수령</b> 후&nbsp;"), n, F.lit("시간"))).when(k == 3, "unknown")
+    text = F.when(k == 0, F.concat(F.lit("제조일로부터 "), n, F.lit("일"))).when(k == 1, F.concat(n, F.lit(" months from packaging"))).when(k == 2,
+        F.concat(F.lit("<b>수령</b> 후&nbsp;"), n, F.lit("시간"))).when(k == 3, "unknown")
     e = table(spark, d, "part").select("p_partkey", publish.clean_text(text).alias("text"), publish.expiration_parts(text).alias("p"))
     return e.select("p_partkey", "text", F.col("p.value").alias("value"), F.col("p.unit").alias("unit"), F.col("p.basis").alias("basis"))
 

@@ -31,11 +31,13 @@ def _published(spark, d):
     p = table(spark, d, "part")
     rows = p.selectExpr(
         "*", "concat('P-', if(p_partkey % 50 = 0, p_partkey + 1, p_partkey)) AS external_product_id", "p_name AS product_name",
-        "if(p_size % 2 = 0, 'ROOM', 'FROZEN') AS storage_type", "p_size / 64 AS confidence", "if(p_size > 15, 'AUTO_APPROVED', 'REVIEW_REQUIRED') AS review_status",
+        "if(p_size % 2 = 0, 'ROOM', 'FROZEN') AS storage_type", "p_size / 64 AS confidence",
+            "if(p_size > 15, 'AUTO_APPROVED', 'REVIEW_REQUIRED') AS review_status",
     )
     inputs = p.select(F.concat(F.lit("type-"), "p_type").alias("artifact_id"), F.sha2("p_type", 256).alias("checksum")).distinct()
     rules = {n: F.expr(e) for n, e in _RULES.items()}
-    publish = lambda step: gold.publish_bundle(rows, root, "v1", "external_product_id", _COLUMNS, rules, inputs, "2026-01-01T00:00:00Z", step=step)
+    publish = lambda step: gold.publish_bundle(rows, root, "v1", "external_product_id", _COLUMNS, rules, inputs, "2026-01-01T00:00:00Z",
+        step=step)
     for name in STEPS:
         try:
             publish(_stop_at(name))

@@ -32,8 +32,10 @@ def batch_files(spark, d):
 def failure_log(spark, d):
     """Failures of two commands, appended to one file one after the other."""
     e = table(spark, d, "events").where("event_type = 'error'")
-    crawl = e.where("event_id % 2 = 0").select(F.col("event_id").cast("string").alias("product_id"), F.lit("CRAWL").alias("step"), F.lit(None).cast("string").alias("image_path"))
-    ocr = e.where("event_id % 2 = 1").select(F.col("event_id").cast("string").alias("product_id"), F.lit("OCR").alias("step"), F.concat(F.lit("img/"), "user_id").alias("image_path"))
+    crawl = e.where("event_id % 2 = 0").select(F.col("event_id").cast("string").alias("product_id"), F.lit("CRAWL").alias("step"),
+        F.lit(None).cast("string").alias("image_path"))
+    ocr = e.where("event_id % 2 = 1").select(F.col("event_id").cast("string").alias("product_id"), F.lit("OCR").alias("step"),
+        F.concat(F.lit("img/"), "user_id").alias("image_path"))
     path = fresh_path(spark, "failures")
     readers.write_flat(crawl, path)
     readers.write_flat(ocr, path, mode="append")
@@ -43,7 +45,8 @@ def failure_log(spark, d):
 def failures_union(spark, d):
     """Failure tables of different columns as one."""
     e = table(spark, d, "events").where("event_type = 'error'")
-    return dedupe.failures(e.where("event_id % 2 = 0").select("event_id", "value"), e.where("event_id % 2 = 1").select("event_id", F.col("user_id").cast("string").alias("user_id")))
+    return dedupe.failures(e.where("event_id % 2 = 0").select("event_id", "value"),
+        e.where("event_id % 2 = 1").select("event_id", F.col("user_id").cast("string").alias("user_id")))
 
 
 def _json_files(spark, d):
@@ -77,13 +80,15 @@ def nested_scan(spark, d):
     path = fresh_path(spark, "nested")
     readers.write_nested(o, path, partition="status")
     rows = readers.read_nested(spark, path, "l_orderkey long, items array<struct<l_linenumber:int,l_partkey:long>>, status string", lines=True)
-    return rows.select("l_orderkey", "status", F.explode("items").alias("i")).select("l_orderkey", "status", F.col("i.l_linenumber").alias("line"), F.col("i.l_partkey").alias("part"))
+    return rows.select("l_orderkey", "status", F.explode("items").alias("i")).select("l_orderkey", "status", F.col("i.l_linenumber").alias("line"),
+        F.col("i.l_partkey").alias("part"))
 
 
 def _accepted(spark, d):
     n = table(spark, d, "nation")
     root = fresh_path(spark, "accepted")
-    n.select(F.concat(F.lit("b"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0")).alias("batch"), F.col("n_name").alias("value")).write.partitionBy("batch").text(root)
+    n.select(F.concat(F.lit("b"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0")).alias("batch"),
+        F.col("n_name").alias("value")).write.partitionBy("batch").text(root)
     fs, _ = readers._fs(spark, root)
     make = spark._jvm.org.apache.hadoop.fs.Path
     for r in n.where("n_nationkey % 2 = 0").select("n_nationkey").collect():  # 13 of the 25 nations
@@ -96,7 +101,8 @@ def _accepted(spark, d):
 def batch_listing(spark, d):
     """Folders by name, descending; those with an 1 in their name."""
     rows = readers.list_batches(spark, _accepted(spark, d), contains="1")
-    return dedupe.numbered(rows.withColumn("_all", F.lit(0)).withColumn("_down", -F.regexp_extract("batch_id", "([0-9]+)", 1).cast("int")), "_all", "_down", "place").select("batch_id", "place")
+    return dedupe.numbered(rows.withColumn("_all", F.lit(0)).withColumn("_down", -F.regexp_extract("batch_id", "([0-9]+)", 1).cast("int")), "_all",
+        "_down", "place").select("batch_id", "place")
 
 
 def accepted_listing(spark, d):
@@ -107,7 +113,8 @@ def url_list(spark, d):
     """A list of addresses with comments and blanks: first of each product, in order of the list."""
     p = table(spark, d, "pages").coalesce(1).sortWithinPartitions("page_id")
     path = fresh_path(spark, "urls")
-    line = F.when(F.col("page_id") % 5 == 0, F.lit("# note")).when(F.col("page_id") % 7 == 0, F.lit("  ")).otherwise(F.concat(F.lit("https://www.shop.example/goods/"), (F.col("page_id") % 40).cast("string")))
+    line = F.when(F.col("page_id") % 5 == 0, F.lit("# note")).when(F.col("page_id") % 7 == 0,
+        F.lit("  ")).otherwise(F.concat(F.lit("https://www.shop.example/goods/"), (F.col("page_id") % 40).cast("string")))
     p.select(line.alias("value")).write.text(path)
     rules = readers.UrlRules(goods_path="/goods/", second_path="/none/", second_host="none.example", host="www.shop.example", domain="example")
     return readers.read_urls(spark, path, rules).select("url", "product_id")
@@ -117,10 +124,12 @@ def manifest_commit(spark, d):
     """Discovery manifests: derived, written beside, renamed once, read again."""
     e = table(spark, d, "events")
     runs = table(spark, d, "customer").select(F.col("c_custkey").alias("batch_id"), F.col("c_mktsegment").alias("source_mode"))
-    found = e.select(F.col("user_id").alias("batch_id"), F.col("event_type").alias("item"), F.lit("NO_NEW").alias("stop_reason"), F.col("ts").alias("ended_at"), (F.col("value") > 45).alias("failed"))
+    found = e.select(F.col("user_id").alias("batch_id"), F.col("event_type").alias("item"), F.lit("NO_NEW").alias("stop_reason"),
+        F.col("ts").alias("ended_at"), (F.col("value") > 45).alias("failed"))
     path = fresh_path(spark, "manifests")
     readers.commit_folder(intake.lifecycle(runs, found), path, "json")
-    m = readers.read_nested(spark, path, "batch_id long, source_mode string, status string, discovered_count long, duplicate_count long, stop_reason string", lines=True)
+    m = readers.read_nested(spark, path,
+        "batch_id long, source_mode string, status string, discovered_count long, duplicate_count long, stop_reason string", lines=True)
     return m.select("batch_id", "source_mode", "status", "discovered_count", "duplicate_count", "stop_reason")
 
 
@@ -149,7 +158,8 @@ def bundle_submit(spark, d):
 
 def migration_scan(spark, d):
     r = table(spark, d, "nation")
-    name = F.concat(F.lpad(F.col("n_nationkey").cast("string"), 4, "0"), F.lit("_"), "n_name", F.when(F.col("n_nationkey") % 2 == 0, ".up.sql").otherwise(".down.sql"))
+    name = F.concat(F.lpad(F.col("n_nationkey").cast("string"), 4, "0"), F.lit("_"), "n_name",
+        F.when(F.col("n_nationkey") % 2 == 0, ".up.sql").otherwise(".down.sql"))
     return metadata.found_migrations(r.select(name.alias("name"), F.sha2("n_name", 256).alias("sha256")))
 
 

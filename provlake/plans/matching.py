@@ -26,9 +26,11 @@ def _tables(spark, d):
     """A third of all parts has one brand."""
     p = table(spark, d, "part").selectExpr("*", *[f"{e} AS {n}" for n, e in _PART.items()])
     name = "concat('<b>', upper(brand), '</b> ', p_name, ' ', sort, ' ', tail)"
-    products = p.selectExpr("p_partkey AS product_id", f"{name} AS name", "if(p_partkey % 5 = 0, p_partkey, null) AS code", "p_type AS category", "if(p_size % 9 = 0, null, storage) AS storage", "p_size AS days")
+    products = p.selectExpr("p_partkey AS product_id", f"{name} AS name", "if(p_partkey % 5 = 0, p_partkey, null) AS code", "p_type AS category",
+        "if(p_size % 9 = 0, null, storage) AS storage", "p_size AS days")
     reference = p.selectExpr(
-        "p_partkey AS reference_id", f"{_REFERENCE_NAME.format(note='[spare] ')} AS name", "if(p_partkey % 2 = 0, p_partkey, null) AS code", "p_type AS category",
+        "p_partkey AS reference_id", f"{_REFERENCE_NAME.format(note='[spare] ')} AS name", "if(p_partkey % 2 = 0, p_partkey, null) AS code",
+            "p_type AS category",
         "if(p_partkey % 11 = 0, 'JAR', storage) AS storage", "if(p_size % 4 = 0, p_size + 1, p_size) AS days",
     )
     ready = lambda rows: written(reconcile.standardized(rows).withColumn("code", F.col("code").cast("string")))

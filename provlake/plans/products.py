@@ -21,10 +21,14 @@ def product_records(spark, d):
     e = table(spark, d, "events")
     lines = f"concat_ws('\\n', concat('식품유형: ', {_FOOD_OCR}), concat('소비기한: ', {_EXP_OCR}), concat('보관방법: ', {_STORE_OCR}), '기타 문구')"
     rows = e.selectExpr(
-        "'b' AS batch_id", "event_id AS position", "'S' AS site", "cast(user_id AS string) AS pid", "CASE WHEN event_id % 4 <> 0 THEN 'i.jpg' END AS image_path",
-        "sha2(cast(event_id % 3 AS string), 256) AS digest", "CASE WHEN event_id % 5 < 3 THEN '유통기한 3일' ELSE 'none' END AS gate_text", f"CASE WHEN event_id % 7 <> 0 THEN {lines} END AS ocr_text",
-        f"{_EXP_DOM} AS expiration_dom", f"{_STORE_DOM} AS storage_dom", f"{_TYPE_DOM} AS storage_type_dom", f"{_NAME} AS product_name", "event_type AS food_name_candidate",
-        "concat('u/', user_id) AS product_url", "cast(null AS string) AS sales_unit_raw", "cast(value AS string) AS weight_raw", "cast(event_id % 9 AS string) AS quantity_raw",
+        "'b' AS batch_id", "event_id AS position", "'S' AS site", "cast(user_id AS string) AS pid",
+            "CASE WHEN event_id % 4 <> 0 THEN 'i.jpg' END AS image_path",
+        "sha2(cast(event_id % 3 AS string), 256) AS digest", "CASE WHEN event_id % 5 < 3 THEN '유통기한 3일' ELSE 'none' END AS gate_text",
+            f"CASE WHEN event_id % 7 <> 0 THEN {lines} END AS ocr_text",
+        f"{_EXP_DOM} AS expiration_dom", f"{_STORE_DOM} AS storage_dom", f"{_TYPE_DOM} AS storage_type_dom", f"{_NAME} AS product_name",
+            "event_type AS food_name_candidate",
+        "concat('u/', user_id) AS product_url", "cast(null AS string) AS sales_unit_raw", "cast(value AS string) AS weight_raw",
+            "cast(event_id % 9 AS string) AS quantity_raw",
         "cast(event_id % 100 AS double) / 100 AS ocr_confidence", "'c1' AS crawl_collected_at", "'o1' AS ocr_collected_at",
     )
     return emission.product_records(emission.emit(rows, rows.where("false").select(F.lit("").alias("key")))).drop("weight_raw")

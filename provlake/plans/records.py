@@ -20,13 +20,15 @@ def _batch(k, n=5):
 def classify_rows(spark, d):
     e = table(spark, d, "events")
     own = F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 3 == 1, "b-1").otherwise("b-2")
-    rows = e.select("event_id", own.alias("batch_id"), F.when(F.col("event_id") % 7 == 0, " ").otherwise(F.concat(F.lit("img/"), (F.col("event_id") % 50).cast("string"))).alias("image_path"))
+    rows = e.select("event_id", own.alias("batch_id"),
+        F.when(F.col("event_id") % 7 == 0, " ").otherwise(F.concat(F.lit("img/"), (F.col("event_id") % 50).cast("string"))).alias("image_path"))
     checked = table(spark, d, "nation").select(F.concat(F.lit("img/"), "n_nationkey").alias("image_path"))
     return intake.classify_rows(rows, F.lit("b-1"), checked).select("event_id", "action")
 
 
 def classify_counters(spark, d):
-    return summaries.outcome_counters(classify_rows(spark, d).withColumn("batch", F.col("event_id") % 10), "batch", "action", {"new": ["CHECK"], "skipped_existing": ["SKIP_EXISTING"]})
+    return summaries.outcome_counters(classify_rows(spark, d).withColumn("batch", F.col("event_id") % 10), "batch", "action",
+        {"new": ["CHECK"], "skipped_existing": ["SKIP_EXISTING"]})
 
 
 def ocr_rows(spark, d):
@@ -54,48 +56,62 @@ def submission_summaries(spark, d):
 
 def legacy_products(spark, d):
     p = table(spark, d, "part")
-    rows = p.select(F.col("p_partkey").cast("string").alias("original_product_id"), F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("product_name_raw"), F.when(F.col("p_partkey") % 3 == 0, " ").otherwise(F.col("p_brand")).alias("storage_type"),
-                    F.when(F.col("p_partkey") % 5 == 0, "n/a").otherwise((F.col("p_size") / 64).cast("string")).alias("ocr_confidence"), F.col("p_type").alias("shade"))
+    rows = p.select(F.col("p_partkey").cast("string").alias("original_product_id"),
+        F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("product_name_raw"),
+        F.when(F.col("p_partkey") % 3 == 0, " ").otherwise(F.col("p_brand")).alias("storage_type"),
+                    F.when(F.col("p_partkey") % 5 == 0, "n/a").otherwise((F.col("p_size") / 64).cast("string")).alias("ocr_confidence"),
+                        F.col("p_type").alias("shade"))
     a = intake.adapt_products(rows, "run-1", "2026-01-01", "b-ann")
-    return a.select("record_id", "source_record_id", "product_name_raw", "storage_type", "ocr_confidence", "bad_confidence", F.element_at("extra", "shade").alias("shade"), F.length("content_hash").alias("hash_chars"))
+    return a.select("record_id", "source_record_id", "product_name_raw", "storage_type", "ocr_confidence", "bad_confidence",
+        F.element_at("extra", "shade").alias("shade"), F.length("content_hash").alias("hash_chars"))
 
 
 def ocr_blocks(spark, d):
     """Block texts, mean confidence and safe indexing of results whose arrays differ in length."""
-    parts = F.array_sort(F.collect_list(F.struct("l_linenumber", F.concat(F.lit(" "), "l_returnflag", F.when(F.col("l_linenumber") % 3 == 0, "").otherwise(F.col("l_linestatus"))).alias("t"), F.col("l_quantity").cast("double").alias("q"))))
+    parts = F.array_sort(F.collect_list(F.struct("l_linenumber",
+        F.concat(F.lit(" "), "l_returnflag", F.when(F.col("l_linenumber") % 3 == 0, "").otherwise(F.col("l_linestatus"))).alias("t"),
+        F.col("l_quantity").cast("double").alias("q"))))
     o = table(spark, d, "lineitem").groupBy("l_orderkey").agg(parts.alias("x"))
     box = F.array(F.array(F.lit(0.0), F.lit(1.5)), F.array(F.lit(2.0), F.lit(3.0)))
-    o = o.select("l_orderkey", F.transform("x", lambda v: v["t"]).alias("texts"), F.transform(F.slice("x", 1, 2), lambda v: v["q"]).alias("scores"), F.array(box).alias("polygons"))
+    o = o.select("l_orderkey", F.transform("x", lambda v: v["t"]).alias("texts"), F.transform(F.slice("x", 1, 2), lambda v: v["q"]).alias("scores"),
+        F.array(box).alias("polygons"))
     b = emission.blocks("texts", "scores", "polygons")
-    return o.select("l_orderkey", F.size(b).alias("n"), emission.joined_text(b).alias("text"), emission.mean_confidence(b).alias("mean_confidence"), F.size(F.filter(b, lambda v: v["polygon"].isNotNull())).alias("n_polygons"))
+    return o.select("l_orderkey", F.size(b).alias("n"), emission.joined_text(b).alias("text"), emission.mean_confidence(b).alias("mean_confidence"),
+        F.size(F.filter(b, lambda v: v["polygon"].isNotNull())).alias("n_polygons"))
 
 
 def content_names(spark, d):
-    e = table(spark, d, "events").select(F.col("user_id").alias("product_id"), F.col("event_id").alias("position"), F.sha2(F.concat_ws(":", "event_type", (F.col("event_id") % 4).cast("string")), 256).alias("sha256"))
+    e = table(spark, d, "events").select(F.col("user_id").alias("product_id"), F.col("event_id").alias("position"),
+        F.sha2(F.concat_ws(":", "event_type", (F.col("event_id") % 4).cast("string")), 256).alias("sha256"))
     return images.renamed_by_content(e).select("product_id", "position", "sequence", "local_name")
 
 
 def intake_runs(spark, d):
     n = table(spark, d, "orders")
-    return n.select("o_orderkey", hashing.intake_run_id(_batch("o_orderkey"), F.sha2("o_orderpriority", 256)).alias("run_id"), hashing.json_path(F.array(F.lit("rows"), F.col("o_orderkey").cast("string"), F.lit("id"))).alias("path"))
+    return n.select("o_orderkey", hashing.intake_run_id(_batch("o_orderkey"), F.sha2("o_orderpriority", 256)).alias("run_id"),
+        hashing.json_path(F.array(F.lit("rows"), F.col("o_orderkey").cast("string"), F.lit("id"))).alias("path"))
 
 
 def suggested_batches(spark, d):
     e = table(spark, d, "events")
-    return e.select("event_id", bundles.suggested_batch_id(F.lit("ann"), F.col("ts"), 2).alias("batch_id"), bundles.accepted_uris(F.concat(F.lit("b-"), "event_id"))["products"].alias("uri"))
+    return e.select("event_id", bundles.suggested_batch_id(F.lit("ann"), F.col("ts"), 2).alias("batch_id"),
+        bundles.accepted_uris(F.concat(F.lit("b-"), "event_id"))["products"].alias("uri"))
 
 
 def discovery_labels(spark, d):
     e = table(spark, d, "events")
-    mode = F.when(F.col("event_type") == "click", "search").when(F.col("event_type") == "view", "URL_LIST").when(F.col("event_type") == "error", " ").otherwise(F.col("event_type"))
-    return e.select("event_id", summaries.discovery_label(mode, F.when(F.col("event_id") % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit("v"), "user_id"))).alias("label"))
+    mode = F.when(F.col("event_type") == "click", "search").when(F.col("event_type") == "view", "URL_LIST").when(F.col("event_type") == "error",
+        " ").otherwise(F.col("event_type"))
+    return e.select("event_id", summaries.discovery_label(mode,
+        F.when(F.col("event_id") % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit("v"), "user_id"))).alias("label"))
 
 
 def log_progress(spark, d):
     """Finished items by the log of a step."""
     e = table(spark, d, "events")
     word = F.when(F.col("event_type") == "error", "FAILED: ").when(F.col("event_type") == "click", "OK: ").otherwise("note OK: ")
-    logs = e.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", F.concat(word, "event_type").alias("t")))), lambda v: v["t"]), "\n").alias("log"), F.count("*").alias("total"))
+    logs = e.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id",
+        F.concat(word, "event_type").alias("t")))), lambda v: v["t"]), "\n").alias("log"), F.count("*").alias("total"))
     done = summaries.progress_events("collect", "log")
     found = summaries.progress_events("discover", F.concat(F.lit("start\nDiscovered="), F.col("total").cast("string"), F.lit(" items")))
     return logs.select("user_id", done.alias("done"), found.alias("discovered"), summaries.progress_percent(done, "total").alias("percent"))
@@ -103,27 +119,34 @@ def log_progress(spark, d):
 
 def product_urls(spark, d):
     """Requested address, id and canonical address as one value; category codes of addresses; link texts."""
-    p = table(spark, d, "part").select("p_partkey", F.concat(F.lit("https://www.shop.example/goods/"), "p_partkey", F.when(F.col("p_size") % 2 == 0, "?a=b#c").otherwise("")).alias("url"), "p_name")
-    rules = urls.UrlRules(goods_path="/goods/", second_path="/none/", second_host="none.example", host="www.shop.example", domain="example", categories_path="/categories/")
+    p = table(spark, d, "part").select("p_partkey",
+        F.concat(F.lit("https://www.shop.example/goods/"), "p_partkey", F.when(F.col("p_size") % 2 == 0, "?a=b#c").otherwise("")).alias("url"), "p_name")
+    rules = urls.UrlRules(goods_path="/goods/", second_path="/none/", second_host="none.example", host="www.shop.example", domain="example",
+        categories_path="/categories/")
     u = urls.product_url("url", rules)
     code = urls.category_code(F.concat(F.lit("https://www.shop.example/categories/"), (F.col("p_partkey") % 900).cast("string"), F.lit("?page=2")), rules)
-    return p.select("p_partkey", u["product_id"].alias("product_id"), (u["requested_url"] == F.col("url")).alias("as_asked"), code.alias("code"), urls.preview_text(F.when(F.col("p_partkey") % 3 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" "), "p_name"))).alias("preview"))
+    return p.select("p_partkey", u["product_id"].alias("product_id"), (u["requested_url"] == F.col("url")).alias("as_asked"), code.alias("code"),
+        urls.preview_text(F.when(F.col("p_partkey") % 3 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" "), "p_name"))).alias("preview"))
 
 
 def residues(spark, d):
     """Remains of a label, placeholders, and the first value that is filled."""
     k = F.col("p_partkey") % 5
-    p = table(spark, d, "part").withColumn("v", F.when(k == 0, "정 보").when(k == 1, "상품설명 및 상품이미지 참조").when(k == 2, "또는 기타").when(k == 3, "").otherwise(F.col("p_name")))
-    return p.select("p_partkey", extract.is_residue(F.col("v")).alias("residue"), extract.is_placeholder(F.col("v")).alias("placeholder"), extract.first_filled(F.when(k == 2, F.lit("")).otherwise(F.col("v")), "p_brand").alias("filled"))
+    p = table(spark, d, "part").withColumn("v",
+        F.when(k == 0, "정 보").when(k == 1, "상품설명 및 상품이미지 참조").when(k == 2, "또는 기타").when(k == 3, "").otherwise(F.col("p_name")))
+    return p.select("p_partkey", extract.is_residue(F.col("v")).alias("residue"), extract.is_placeholder(F.col("v")).alias("placeholder"),
+        extract.first_filled(F.when(k == 2, F.lit("")).otherwise(F.col("v")), "p_brand").alias("filled"))
 
 
 def same_meaning(spark, d):
     """Two texts of a field compared: normalized, contained, or with the same key words and numbers."""
     k, n = F.col("p_partkey") % 4, F.col("p_size").cast("string")
     p = table(spark, d, "part").withColumn("a", F.concat(F.lit("냉장 "), n, F.lit("℃ 보관하세요")))
-    p = p.withColumn("b", F.when(k == 0, F.concat(F.lit("즉시 냉장/"), n, F.lit("도"))).when(k == 1, F.concat(n, F.lit(" 이하 냉장 보관"))).when(k == 2, F.lit("")).otherwise(F.concat(F.lit("냉동 "), n)))
+    p = p.withColumn("b", F.when(k == 0, F.concat(F.lit("즉시 냉장/"), n, F.lit("도"))).when(k == 1, F.concat(n, F.lit(" 이하 냉장 보관"))).when(k == 2,
+        F.lit("")).otherwise(F.concat(F.lit("냉동 "), n)))
     m = merge.merge_field("a", "b")
-    return p.select("p_partkey", merge.comparable("a").alias("text"), merge.same_meaning("a", "b").alias("same"), m["source"].alias("source"), m["status"].alias("status"))
+    return p.select("p_partkey", merge.comparable("a").alias("text"), merge.same_meaning("a", "b").alias("same"), m["source"].alias("source"),
+        m["status"].alias("status"))
 
 
 def image_sizes(spark, d):
@@ -136,22 +159,27 @@ def text_presence(spark, d):
     """Image scores decide first; the undecided ones by the text of a first pass."""
     e = table(spark, d, "events")
     img = e.select("event_id", F.when(F.col("event_id") % 9 != 0, F.col("event_id") % 20 / 100.0).alias("score"))
-    pre = e.where("event_id % 4 <> 0").select("event_id", (F.col("event_id") % 3).cast("int").alias("n_blocks"), F.when(F.col("event_id") % 5 != 0, "text").alias("text"), (F.col("event_id") % 10 / 10.0).alias("confidence"))
+    pre = e.where("event_id % 4 <> 0").select("event_id", (F.col("event_id") % 3).cast("int").alias("n_blocks"),
+        F.when(F.col("event_id") % 5 != 0, "text").alias("text"), (F.col("event_id") % 10 / 10.0).alias("confidence"))
     return images.text_presence(img, pre, "event_id").select("event_id", "text_presence", "detect_method", "notes")
 
 
 def relative_images(spark, d):
     """Addresses of images as seen from their page."""
     k = F.col("page_id") % 5
-    src = F.when(k == 0, "a/b.jpg").when(k == 1, "/c/../d.jpg?x=1").when(k == 2, "//cdn.example/e.jpg#f").when(k == 3, "../up.jpg").otherwise("data:image/png;base64,AA")
-    return table(spark, d, "pages").select("page_id", urls.image_url(src, F.concat(F.lit("https://h.example/p/q/"), F.col("page_id").cast("string"), F.lit("?z"))).alias("url"))
+    src = F.when(k == 0, "a/b.jpg").when(k == 1, "/c/../d.jpg?x=1").when(k == 2, "//cdn.example/e.jpg#f").when(k == 3,
+        "../up.jpg").otherwise("data:image/png;base64,AA")
+    return table(spark, d, "pages").select("page_id",
+        urls.image_url(src, F.concat(F.lit("https://h.example/p/q/"), F.col("page_id").cast("string"), F.lit("?z"))).alias("url"))
 
 
 def image_elements(spark, d):
     """Image elements of pages, one for each document, with position and address."""
     from provlake.sources.html import Images
 
-    doc = table(spark, d, "documents").select("doc_id", F.concat(F.lit("<html><body><div class='g'><img src='/i/"), F.col("doc_id").cast("string"), F.lit(".jpg' alt='one'></div><p>x</p><img data-src='b.png' width='10'></body></html>")).alias("html"))
+    doc = table(spark, d, "documents").select("doc_id",
+        F.concat(F.lit("<html><body><div class='g'><img src='/i/"), F.col("doc_id").cast("string"),
+        F.lit(".jpg' alt='one'></div><p>x</p><img data-src='b.png' width='10'></body></html>")).alias("html"))
     return doc.lateralJoin(Images(F.col("html").outer())).select("doc_id", "position", "src", "alt", "dom_path", "width")
 
 
@@ -159,7 +187,9 @@ def page_probe(spark, d):
     """Title, value of a label in a definition list, and body text of a page."""
     from provlake.sources.html import page_udf
 
-    n = table(spark, d, "part").select("p_partkey", F.concat(F.lit("<html><head><title>T | site</title></head><body><h1>"), "p_name", F.lit("</h1><dl><dt>중량</dt><dd>"), F.col("p_size").cast("string"), F.lit("g</dd></dl></body></html>")).alias("html"))
+    n = table(spark, d, "part").select("p_partkey",
+        F.concat(F.lit("<html><head><title>T | site</title></head><body><h1>"), "p_name", F.lit("</h1><dl><dt>중량</dt><dd>"),
+        F.col("p_size").cast("string"), F.lit("g</dd></dl></body></html>")).alias("html"))
     return n.select("p_partkey", page_udf(["용량", "중량"])("html").alias("r")).select("p_partkey", "r.title", "r.value", "r.text")
 
 
@@ -175,7 +205,8 @@ def ancestor_artifacts(spark, d):
 def _manifests(spark, d):
     n = table(spark, d, "nation").withColumn("batch_id", F.concat(F.lit("b-ann-"), "n_nationkey"))
     status = F.when(F.col("n_nationkey") % 4 == 0, "REJECTED").otherwise("ACCEPTED")
-    body = F.to_json(F.struct(F.when(F.col("n_nationkey") % 7 == 0, "bo").otherwise("ann").alias("member"), status.alias("status"), F.col("n_regionkey").cast("int").alias("row_count"), F.lit("1.0.0").alias("schema_version")))
+    body = F.to_json(F.struct(F.when(F.col("n_nationkey") % 7 == 0, "bo").otherwise("ann").alias("member"), status.alias("status"),
+        F.col("n_regionkey").cast("int").alias("row_count"), F.lit("1.0.0").alias("schema_version")))
     raw = n.select("n_nationkey", "batch_id", F.when(F.col("n_nationkey") % 5 == 0, "[]").otherwise(body).alias("payload"))
     return bundles.accepted_manifests(raw.withColumns({"sha256": F.sha2("payload", 256), "size": F.length("payload").cast("long")}))
 
@@ -187,7 +218,9 @@ def accepted_manifests(spark, d):
 def register_accepted(spark, d):
     """Rows of the tables that registration adds, first and when it is repeated."""
     m = _manifests(spark, d)
-    files = m.select("batch_id", F.explode(F.array(*[F.struct(F.lit(n).alias("logical_name"), F.lit(f"{n}.{x}").alias("path"), c.alias("sha256"), F.col("size")) for n, x, c in (("manifest", "json", F.col("checksum")), ("products", "csv", F.sha2("batch_id", 256)))])).alias("f")).select("batch_id", "f.*")
+    files = m.select("batch_id", F.explode(F.array(*[F.struct(F.lit(n).alias("logical_name"), F.lit(f"{n}.{x}").alias("path"), c.alias("sha256"),
+        F.col("size")) for n, x, c in (("manifest", "json", F.col("checksum")),
+        ("products", "csv", F.sha2("batch_id", 256)))])).alias("f")).select("batch_id", "f.*")
     none = m.where("false").select(F.lit("").alias("run_id"))
     new = bundles.register_accepted(m, files, none)
     again = bundles.register_accepted(m, files, new["runs"])
@@ -211,9 +244,12 @@ NESTED = Contract("order_lines", [
 
 def nested_contract(spark, d):
     """Types, structs inside rows, and elements of arrays, with paths down to the value."""
-    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("lines"))
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber",
+        "l_returnflag"))).alias("lines"))
     buyer = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.struct("c_name", "c_acctbal").alias("buyer"))
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice").cast("long").cast("string")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey",
+        F.when(F.col("o_orderkey") % 2 == 0,
+        F.col("o_totalprice").cast("long").cast("string")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"))
     return issue_rows(o.join(buyer, "o_custkey").join(lines, "o_orderkey"), NESTED, ["o_orderkey"])
 
 
@@ -221,8 +257,11 @@ def expiry_axes(spark, d):
     """Expiration texts with tags, units and bases as value, unit and basis."""
     k = F.col("p_partkey") % 6
     n = F.col("p_size").cast("string")
-    text = F.when(k == 0, F.concat(F.lit("<b>제조일로부터</b>&nbsp;"), n, F.lit(" 일"))).when(k == 1, F.concat(F.lit("packed: "), n, F.lit(" months"))).when(k == 2, F.concat(F.lit("수령 후 "), n, F.lit("시간"))).when(k == 3, F.concat(n, F.lit(".5 weeks"))).when(k == 4, F.lit("see package")).otherwise(F.lit(" "))
-    p = table(spark, d, "part").select("p_partkey", publish.clean_text(text).alias("text"), publish.expiration_parts(text).alias("e"), publish.storage_enum(F.when(k < 3, "room_temperature").otherwise("frozen?")).alias("storage"))
+    text = F.when(k == 0, F.concat(F.lit("<b>제조일로부터</b>&nbsp;"), n, F.lit(" 일"))).when(k == 1,
+        F.concat(F.lit("packed: "), n, F.lit(" months"))).when(k == 2, F.concat(F.lit("수령 후 "), n, F.lit("시간"))).when(k == 3,
+        F.concat(n, F.lit(".5 weeks"))).when(k == 4, F.lit("see package")).otherwise(F.lit(" "))
+    p = table(spark, d, "part").select("p_partkey", publish.clean_text(text).alias("text"), publish.expiration_parts(text).alias("e"),
+        publish.storage_enum(F.when(k < 3, "room_temperature").otherwise("frozen?")).alias("storage"))
     return p.select("p_partkey", "text", F.col("e.value").alias("value"), F.col("e.unit").alias("unit"), F.col("e.basis").alias("basis"), "storage")
 
 

@@ -16,7 +16,8 @@ _CANONICAL = r"""concat('{"":', o_orderkey % 3, ',"t":"q\"é\n/","z":[1,{"a":nul
 def canonical_hashes(spark, d):
     """Hashes of nested payloads whose keys, blanks and escapes differ from the canonical form; null for what is no object."""
     o = table(spark, d, "orders").withColumn("payload", F.expr(_PAYLOAD))
-    payload = F.when(F.col("o_orderkey") % 11 == 0, F.concat(F.lit("["), "payload", F.lit("]"))).when(F.col("o_orderkey") % 13 == 0, F.left("payload", F.length("payload") - 1)).otherwise(F.col("payload"))
+    payload = F.when(F.col("o_orderkey") % 11 == 0, F.concat(F.lit("["), "payload", F.lit("]"))).when(F.col("o_orderkey") % 13 == 0,
+        F.left("payload", F.length("payload") - 1)).otherwise(F.col("payload"))
     return o.select("o_orderkey", hashing.open_content_hash(payload).alias("content_hash"))
 
 
@@ -24,7 +25,9 @@ def _raw(spark, d):
     """Orders as accepted manifests: sealed, sealed wrongly, without a hash, of another member, not accepted, or no JSON."""
     o = table(spark, d, "orders").withColumn("batch_id", F.concat(F.lit("b-ann-"), "o_orderkey"))
     member, status = F.when(F.col("o_orderkey") % 7 == 0, "bo").otherwise("ann"), F.when(F.col("o_orderkey") % 6 == 1, "REJECTED").otherwise("ACCEPTED")
-    fields = [F.lit("p1").alias("parser_version"), member.alias("member"), F.struct(F.lit("x").alias("content_hash"), F.col("o_custkey").alias("k")).alias("nested"), F.col("o_custkey").alias("row_count"), status.alias("status")]
+    fields = [F.lit("p1").alias("parser_version"), member.alias("member"),
+        F.struct(F.lit("x").alias("content_hash"), F.col("o_custkey").alias("k")).alias("nested"), F.col("o_custkey").alias("row_count"),
+        status.alias("status")]
     body = F.to_json(F.struct(*fields))
     digest = F.when(F.col("o_orderkey") % 5 == 2, F.sha2(F.lit("other"), 256)).otherwise(hashing.open_content_hash(body))
     sealed = F.concat(F.lit('{"content_hash":"'), digest, F.lit('",'), F.substring(body, F.lit(2), F.length(body)))
@@ -39,8 +42,10 @@ def manifest_issues(spark, d):
 
 def _registered(spark, d):
     m = bundles.accepted_manifests(_raw(spark, d))
-    file = lambda n, x, c: F.struct(F.lit(n).alias("logical_name"), F.concat(F.lit("accepted/"), "batch_id", F.lit(f"/{n}.{x}")).alias("path"), c.alias("sha256"), F.col("size"))
-    files = m.select("batch_id", F.explode(F.array(file("manifest", "json", F.col("checksum")), file("products", "csv", F.sha2("batch_id", 256)))).alias("f")).select("batch_id", "f.*")
+    file = lambda n, x, c: F.struct(F.lit(n).alias("logical_name"), F.concat(F.lit("accepted/"), "batch_id", F.lit(f"/{n}.{x}")).alias("path"),
+        c.alias("sha256"), F.col("size"))
+    files = m.select("batch_id", F.explode(F.array(file("manifest", "json", F.col("checksum")),
+        file("products", "csv", F.sha2("batch_id", 256)))).alias("f")).select("batch_id", "f.*")
     known = m.where("row_count % 4 = 1").select(hashing.intake_run_id("batch_id", "checksum").alias("run_id"))  # registered before
     return bundles.register_accepted(m, files, known)
 
@@ -55,7 +60,8 @@ def registered_artifacts(spark, d):
     """Each new artifact with the manifest that it is bundled in."""
     t = _registered(spark, d)
     edges = t["edges"].select(F.col("parent").alias("artifact_id"), F.col("child").alias("bundled_in"))
-    return t["artifacts"].join(edges, "artifact_id", "left").select("artifact_id", "run_id", "batch_id", "logical_name", "path", "format", "size", "checksum", "bundled_in")
+    return t["artifacts"].join(edges, "artifact_id", "left").select("artifact_id", "run_id", "batch_id", "logical_name", "path", "format", "size",
+        "checksum", "bundled_in")
 
 
 def _uuid(name: str) -> str:

@@ -26,7 +26,8 @@ def version_gate(spark, d):
 
 
 def _order_contract() -> Contract:
-    rules = [Rule("o_orderkey", minimum=1), Rule("o_custkey", maximum=1400), Rule("o_orderstatus", enum=("O", "F")), Rule("o_totalprice", minimum=1000, maximum=400000), Rule("o_orderpriority", pattern="^[1-4]", min_length=6)]
+    rules = [Rule("o_orderkey", minimum=1), Rule("o_custkey", maximum=1400), Rule("o_orderstatus", enum=("O", "F")),
+        Rule("o_totalprice", minimum=1000, maximum=400000), Rule("o_orderpriority", pattern="^[1-4]", min_length=6)]
     return Contract("orders", rules, closed=False)
 
 
@@ -39,7 +40,8 @@ def content_hash(spark, d):
 
 
 def bundle_checksum(spark, d):
-    o = table(spark, d, "orders").select("o_custkey", F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("name"), F.sha2(F.col("o_orderstatus"), 256).alias("sha256"))
+    o = table(spark, d, "orders").select("o_custkey", F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("name"),
+        F.sha2(F.col("o_orderstatus"), 256).alias("sha256"))
     return hashing.bundle_checksum(o, ["o_custkey"])
 
 
@@ -56,13 +58,15 @@ def required_files(spark, d):
 
 def member_ownership(spark, d):
     b = table(spark, d, "orders").selectExpr("o_orderkey AS id", f"{BATCH} AS batch", f"{MEMBER} AS member")
-    return b.select("id", intake.owned_by("batch", "member").alias("owned"), intake.owner("batch", ["bo", "ann"]).alias("owner"), intake.identity_error("batch", "member").alias("error"))
+    return b.select("id", intake.owned_by("batch", "member").alias("owned"), intake.owner("batch", ["bo", "ann"]).alias("owner"),
+        intake.identity_error("batch", "member").alias("error"))
 
 
 def submit_decision(spark, d):
     o = table(spark, d, "orders")
     return o.select("o_orderkey", intake.decide(
-        F.when(F.col("o_orderkey") % 7 == 0, "INVALID_MEMBER"), F.when(F.col("o_orderkey") % 5 == 0, F.array(F.lit("products.csv"))).otherwise(F.array().cast("array<string>")), F.lit(0),
+        F.when(F.col("o_orderkey") % 7 == 0, "INVALID_MEMBER"),
+            F.when(F.col("o_orderkey") % 5 == 0, F.array(F.lit("products.csv"))).otherwise(F.array().cast("array<string>")), F.lit(0),
         F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")), F.lit("F")).alias("decision"))
 
 
@@ -86,7 +90,8 @@ def artifact_register(spark, d):
 
 
 def artifact_uuid5(spark, d):
-    return table(spark, d, "nation").select("n_nationkey", hashing.artifact_id(F.lit("run"), "n_name", F.col("n_regionkey").cast("string")).alias("artifact_id"))
+    return table(spark, d, "nation").select("n_nationkey",
+        hashing.artifact_id(F.lit("run"), "n_name", F.col("n_regionkey").cast("string")).alias("artifact_id"))
 
 
 def _states(spark, d):
@@ -116,7 +121,8 @@ def lineage_ancestors(spark, d):
 
 def lineage_cycle(spark, d):
     e = _edges(spark, d)
-    proposed = e.select(F.col("child").alias("parent"), F.col("parent").alias("child")).unionAll(e.select("parent", F.concat("child", F.lit("x")).alias("child")))
+    proposed = e.select(F.col("child").alias("parent"),
+        F.col("parent").alias("child")).unionAll(e.select("parent", F.concat("child", F.lit("x")).alias("child")))
     return lineage.would_cycle(spark, e, proposed)
 
 
@@ -137,7 +143,8 @@ def sensor_new(spark, d):
 
 def progress_events(spark, d):
     docs = table(spark, d, "documents")
-    return docs.select("doc_id", F.regexp_count("text", F.lit("(?m)^(The|In|And) ")).alias("done"), summaries.progress_percent(F.col("doc_id") % 300, F.when(F.col("doc_id") % 4 != 0, F.lit(200))).alias("percent"))
+    return docs.select("doc_id", F.regexp_count("text", F.lit("(?m)^(The|In|And) ")).alias("done"),
+        summaries.progress_percent(F.col("doc_id") % 300, F.when(F.col("doc_id") % 4 != 0, F.lit(200))).alias("percent"))
 
 
 def csv_profile(spark, d):
@@ -148,14 +155,18 @@ def csv_profile(spark, d):
 def migrations(spark, d):
     n = table(spark, d, "nation")
     found = n.select(F.col("n_name").alias("version"), F.sha2("n_name", 256).alias("checksum"))
-    applied = n.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("version"), F.when(F.col("n_nationkey") % 6 == 0, "old").otherwise(F.sha2("n_name", 256)).alias("checksum"))
+    applied = n.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("version"),
+        F.when(F.col("n_nationkey") % 6 == 0, "old").otherwise(F.sha2("n_name", 256)).alias("checksum"))
     return metadata.migrations_to_apply(found, applied)
 
 
 def reconcile_tiers(spark, d):
     p = table(spark, d, "part")
-    products = p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("product_id"), F.when(F.col("p_partkey") % 4 == 0, F.col("p_partkey")).alias("code"), "p_name", "p_brand")
-    reference = p.where("p_partkey % 6 <> 1").select(F.col("p_partkey").alias("reference_id"), F.when(F.col("p_partkey") % 8 == 0, F.col("p_partkey")).alias("code"), F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, "s").otherwise("")).alias("p_name"), "p_brand")
+    products = p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("product_id"),
+        F.when(F.col("p_partkey") % 4 == 0, F.col("p_partkey")).alias("code"), "p_name", "p_brand")
+    reference = p.where("p_partkey % 6 <> 1").select(F.col("p_partkey").alias("reference_id"),
+        F.when(F.col("p_partkey") % 8 == 0, F.col("p_partkey")).alias("code"),
+        F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, "s").otherwise("")).alias("p_name"), "p_brand")
     return publish.reconcile(products, reference, "code", "p_name", "p_brand").select("product_id", "reference_id", "match_type", "distance", "review_status")
 
 
@@ -174,16 +185,20 @@ def quarantine_split(spark, d):
 
 
 def gold_publish(spark, d):
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("external_product_id"), F.col("p_name").alias("product_name"), F.when(F.col("p_size") > 25, "AUTO_APPROVED").otherwise("REVIEW_REQUIRED").alias("review_status"))
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("external_product_id"), F.col("p_name").alias("product_name"),
+        F.when(F.col("p_size") > 25, "AUTO_APPROVED").otherwise("REVIEW_REQUIRED").alias("review_status"))
     return publish.publish(p, ["external_product_id", "product_name", "review_status"], "v1")
 
 
 def validate_batches(spark, d):
     """Suppliers as batches, their parts' lines as files."""
-    s = table(spark, d, "supplier").select(F.concat_ws("-", F.lit("b"), F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 3 == 0, "bo").otherwise("ann")).alias("batch_id"), "s_suppkey")
+    s = table(spark, d, "supplier").select(F.concat_ws("-", F.lit("b"), F.col("s_suppkey").cast("string"),
+        F.when(F.col("s_suppkey") % 3 == 0, "bo").otherwise("ann")).alias("batch_id"), "s_suppkey")
     batches = s.select("batch_id", F.lit("ann").alias("member"))
     names = F.explode(F.array(*map(F.lit, intake.REQUIRED_FILES)))
-    files = s.select("batch_id", "s_suppkey", names.alias("name")).where((F.col("s_suppkey") % 7 != 0) | (F.col("name") != "products.csv")).select("batch_id", "name", F.sha2("name", 256).alias("sha256"))
+    files = s.select("batch_id", "s_suppkey",
+        names.alias("name")).where((F.col("s_suppkey") % 7 != 0) | (F.col("name") != "products.csv")).select("batch_id", "name",
+        F.sha2("name", 256).alias("sha256"))
     issues = s.where("s_suppkey % 5 = 0").select("batch_id")
     accepted = s.where("s_suppkey % 4 = 0").select("batch_id", F.lit("other").alias("bundle_checksum"))
     return bundles.validate_batches(batches, files, issues, accepted).drop("bundle_checksum")
@@ -197,7 +212,8 @@ def emission_outcomes(spark, d):
         F.when(F.col("event_id") % 5 < 3, "유통기한 3일").otherwise("none").alias("gate_text"), F.when(F.col("event_id") % 7 != 0, "유통기한 3일").alias("ocr_text"),
         F.when(F.col("event_id") % 2 == 0, "3일").alias("expiration_dom"), F.lit(None).cast("string").alias("storage_dom"),
     )
-    known = e.where("user_id % 9 = 0").select(F.concat(F.lit("S:"), F.col("user_id").cast("string"), F.lit(":"), F.sha2(F.lit("1"), 256)).alias("key")).distinct()
+    known = e.where("user_id % 9 = 0").select(F.concat(F.lit("S:"), F.col("user_id").cast("string"), F.lit(":"),
+        F.sha2(F.lit("1"), 256)).alias("key")).distinct()
     known = known.unionAll(e.where("user_id % 11 = 0").select(F.concat(F.lit("S:"), F.col("user_id").cast("string")).alias("key")).distinct())
     return emission.emit(rows, known).select("position", "outcome")
 

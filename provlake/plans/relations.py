@@ -13,7 +13,8 @@ def team_summary(spark, d):
     orders = table(spark, d, "orders")
     lines = table(spark, d, "lineitem").select("l_orderkey").join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     base = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    out = summaries.with_counts(base, "c_custkey", {"n_orders": orders.select(F.col("o_custkey").alias("c_custkey")), "n_lines": lines.select(F.col("o_custkey").alias("c_custkey"))})
+    out = summaries.with_counts(base, "c_custkey",
+        {"n_orders": orders.select(F.col("o_custkey").alias("c_custkey")), "n_lines": lines.select(F.col("o_custkey").alias("c_custkey"))})
     return out.withColumn("status", summaries.pipeline_status(F.col("n_lines") > 50, F.col("n_lines") > 20, F.col("n_orders") > 0))
 
 
@@ -37,7 +38,8 @@ def no_text_skip(spark, d):
 
 
 def dedupe_two_keys(spark, d):
-    e = table(spark, d, "events").withColumn("k1", F.concat_ws(":", "event_type", F.col("user_id").cast("string"))).withColumn("k2", F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    e = table(spark, d, "events").withColumn("k1", F.concat_ws(":", "event_type", F.col("user_id").cast("string"))).withColumn("k2",
+        F.concat(F.lit("u"), F.col("user_id").cast("string")))
     old = e.where("event_id % 10 = 0")
     known = dedupe.existing_keys(old, F.col("k1"), F.when(F.col("user_id") % 5 == 0, F.col("k2")))
     return dedupe.skip_known(e.where("event_id % 10 <> 0"), known, ["k1", "k2"]).select("event_id", "k1", "k2")
@@ -63,7 +65,9 @@ def chunk_slice(spark, d):
 
 
 def presence_histogram(spark, d):
-    e = table(spark, d, "events").select("user_id", F.when(F.col("event_type") == "click", " has_text ").when(F.col("event_type") == "view", "NO_TEXT").when(F.col("event_type") == "purchase", "  ").otherwise(F.col("event_type")).alias("presence"))
+    e = table(spark, d, "events").select("user_id",
+        F.when(F.col("event_type") == "click", " has_text ").when(F.col("event_type") == "view", "NO_TEXT").when(F.col("event_type") == "purchase",
+        "  ").otherwise(F.col("event_type")).alias("presence"))
     return summaries.presence_histogram(e, "user_id", "presence")
 
 
@@ -76,7 +80,8 @@ def failure_classify(spark, d):
 
 def outcome_counters(spark, d):
     f = failure_classify(spark, d).join(table(spark, d, "events").select("event_id", "event_type"), "event_id")
-    return f.groupBy("event_type").agg(F.count_if(F.col("error_code") == "OCR_FAILED").alias("failed"), F.count_if(F.col("error_code") != "OCR_FAILED").alias("success"), F.count_if(F.col("error_code") == "OCR_TEXT_EMPTY").alias("no_text"))
+    return f.groupBy("event_type").agg(F.count_if(F.col("error_code") == "OCR_FAILED").alias("failed"),
+        F.count_if(F.col("error_code") != "OCR_FAILED").alias("success"), F.count_if(F.col("error_code") == "OCR_TEXT_EMPTY").alias("no_text"))
 
 
 def process_batch(spark, d):
@@ -84,7 +89,8 @@ def process_batch(spark, d):
     rows = dedupe.drop_checked(table(spark, d, "documents").select("doc_id", "lang", "source"), table(spark, d, "labels"), "doc_id", "toxic = 1")
     ocr = table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z]+)/", 1).alias("ocr_lang"))
     m = rows.join(ocr, "doc_id", "left").withColumn("m", merge.merge_field("lang", "ocr_lang"))
-    m = m.select("doc_id", hashing.source_record_id("source", F.col("lang"), F.lit("")).alias("record"), F.col("m.value").alias("value"), F.col("m.source").alias("value_source"), F.col("m.status").alias("validation_status"))
+    m = m.select("doc_id", hashing.source_record_id("source", F.col("lang"), F.lit("")).alias("record"), F.col("m.value").alias("value"),
+        F.col("m.source").alias("value_source"), F.col("m.status").alias("validation_status"))
     return dedupe.first_wins(m, "record", "doc_id").withColumn("parse_status", merge.parse_status("value"))
 
 
@@ -95,7 +101,8 @@ _ERROR = "CASE WHEN event_id % 4 = 0 THEN 'IMAGE_NOT_FOUND' WHEN event_id % 3 =
 
 def text_check_map(spark, d):
     """The last check of each image path, which is what later stages look up."""
-    e = table(spark, d, "events").select("event_id", F.concat(F.lit("img/"), (F.col("user_id") % 40).cast("string")).alias("image_path"), F.col("event_type").alias("status"))
+    e = table(spark, d, "events").select("event_id", F.concat(F.lit("img/"), (F.col("user_id") % 40).cast("string")).alias("image_path"),
+        F.col("event_type").alias("status"))
     return dedupe.last_wins(e, "image_path", "event_id").select("image_path", "status")
 
 

@@ -38,11 +38,14 @@ def store_runs(spark, d):
 def store_quality(spark, d):
     """The same rule recorded twice for each line's artifact of a supplier, and artifacts that take another's id or key."""
     store = MetadataStore(spark, fresh_path(spark, "store"))
-    p = table(spark, d, "part").selectExpr("cast(p_partkey AS string) AS artifact_id", "p_brand AS run_id", "'s' AS step", "1 AS attempt", "p_name AS logical_name", "cast(p_partkey AS string) AS checksum", "p_type AS uri", "cast(p_size AS bigint) AS size")
+    p = table(spark, d, "part").selectExpr("cast(p_partkey AS string) AS artifact_id", "p_brand AS run_id", "'s' AS step", "1 AS attempt",
+        "p_name AS logical_name", "cast(p_partkey AS string) AS checksum", "p_type AS uri", "cast(p_size AS bigint) AS size")
     store.register_artifacts(p)
-    other = p.withColumn("artifact_id", F.expr("if(size % 2 = 0, concat('x', artifact_id), artifact_id)")).withColumn("checksum", F.expr("if(size % 3 = 0, concat('y', checksum), checksum)"))
+    other = p.withColumn("artifact_id", F.expr("if(size % 2 = 0, concat('x', artifact_id), artifact_id)")).withColumn("checksum",
+        F.expr("if(size % 3 = 0, concat('y', checksum), checksum)"))
     again = store.register_artifacts(other).select(F.col("checksum"), "artifact_id", "outcome")
-    rule = lambda tag, value: p.selectExpr("run_id", "artifact_id", "'R' AS rule", f"concat('{tag}-', artifact_id) AS result_id", f"{value} > 9 AS passed", f"double({value}) AS value")
+    rule = lambda tag, value: p.selectExpr("run_id", "artifact_id", "'R' AS rule", f"concat('{tag}-', artifact_id) AS result_id",
+        f"{value} > 9 AS passed", f"double({value}) AS value")
     store.record_quality(rule("a", "size"))
     store.record_quality(rule("b", "size + 1").where("value < 30"))
     now = store.quality().select(F.col("artifact_id").alias("own"), "result_id", "passed", "value")

@@ -45,8 +45,10 @@ def _replayed(rows: DataFrame, order: str, last: list[DataFrame], transform: Cal
 
 
 def scroll_stream(spark, d):
-    e = table(spark, d, "events").select(F.to_date("ts").cast("string").alias("batch"), F.hour("ts").alias("round"), F.col("user_id").alias("item"), F.col("ts").cast("timestamp").alias("at"), "event_id")
-    ends = [e.limit(1).withColumn("batch", F.lit("end")).withColumn("at", F.to_timestamp(F.lit(f"21{i}0-01-01"))) for i in (0, 1)]  # rows of no batch, to move the watermark on
+    e = table(spark, d, "events").select(F.to_date("ts").cast("string").alias("batch"), F.hour("ts").alias("round"), F.col("user_id").alias("item"),
+        F.col("ts").cast("timestamp").alias("at"), "event_id")
+    ends = [e.limit(1).withColumn("batch", F.lit("end")).withColumn("at", F.to_timestamp(F.lit(f"21{i}0-01-01")))
+        for i in (0, 1)]  # rows of no batch, to move the watermark on
     out = _replayed(e, "event_id", ends, lambda s: discovery.scroll_stream(s, 60, 3))
     return out.where("batch <> 'end'").select("batch", "stop_round", "stop_reason", "discovered", "duplicates")
 

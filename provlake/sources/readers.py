@@ -66,14 +66,16 @@ def read_urls(spark: SparkSession, path: str, rules: UrlRules = RULES) -> DataFr
 
 def file_hashes(spark: SparkSession, pattern: str) -> DataFrame:
     """(path, name, size, sha256) of files."""
-    return spark.read.format("binaryFile").load(pattern).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    return spark.read.format("binaryFile").load(pattern).select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
+        F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
 def list_batches(spark: SparkSession, root: str, contains: str = "", required: str | None = None) -> DataFrame:
     """Folders below root, names descending; optionally by a part of the name or by a file that they must hold."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
     rest = F.split_part(F.col("path"), F.lit(f"{root.rstrip('/')}/"), F.lit(2))
-    rows = files.select(F.split_part(rest, F.lit("/"), F.lit(1)).alias("batch_id"), F.element_at(F.split("path", "/"), -1).alias("name")).where(F.contains("batch_id", F.lit(contains)))
+    rows = files.select(F.split_part(rest, F.lit("/"), F.lit(1)).alias("batch_id"),
+        F.element_at(F.split("path", "/"), -1).alias("name")).where(F.contains("batch_id", F.lit(contains)))
     rows = rows.groupBy("batch_id").agg(F.bool_or(F.col("name") == F.lit(required or "")).alias("has"))
     return (rows.where("has") if required else rows).select("batch_id").orderBy(F.col("batch_id").desc())
 

@@ -102,8 +102,10 @@ def scroll_stream(rows: DataFrame, max_items: int, unchanged_limit: int, wait: s
     wait: how long after its last row a batch without a stop is ended.  late: how late rows of other batches may come.
     """
     wait_ms = int(pd.Timedelta(wait).total_seconds() * 1000)
-    typed = rows.select(F.col("batch").cast("string").alias("batch"), F.col("round").cast("int").alias("round"), F.col("item").cast("string").alias("item"), "at").withWatermark("at", late)
-    return typed.groupBy("batch").transformWithStateInPandas(_Scroll(max_items, unchanged_limit, wait_ms), outputStructType=_OUT, outputMode="Append", timeMode="EventTime")
+    typed = rows.select(F.col("batch").cast("string").alias("batch"), F.col("round").cast("int").alias("round"),
+        F.col("item").cast("string").alias("item"), "at").withWatermark("at", late)
+    return typed.groupBy("batch").transformWithStateInPandas(_Scroll(max_items, unchanged_limit, wait_ms), outputStructType=_OUT, outputMode="Append",
+        timeMode="EventTime")
 
 
 class _SeenOnce(StatefulProcessor):

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def new_batches(accepted: DataFrame, known: DataFrame, key: str = "batch_id") -> DataFrame:
     """Accepted batches that are not known, with their run key."""
-    return accepted.select(key).distinct().join(known.select(key), key, "left_anti").select(key, F.concat(F.lit("accepted:"), F.col(key).cast("string")).alias("run_key"))
+    return accepted.select(key).distinct().join(known.select(key), key, "left_anti").select(key,
+        F.concat(F.lit("accepted:"), F.col(key).cast("string")).alias("run_key"))
 
 
 def accepted_stream(spark: SparkSession, root: str) -> DataFrame:
