@@ -66,7 +66,8 @@ def _emitted(blocks: DataFrame, above: DataFrame, fan: int) -> DataFrame:
         F.when(F.col("n") > fan, F.array(_step(runs, j))).otherwise(F.array().cast(f"array<{_STEP}>")),
     )
     number = lambda i, j: (F.col("block") * fan + j) * fan + i
-    child = lambda kids, j: F.transform(kids, lambda x, i: F.struct(number(i, j).alias("rank"), x["h"].alias("h"), x["item"].alias("item"), steps(kids, i, F.col("runs"), j).alias("low")))
+    child = lambda kids, j: F.transform(kids, lambda x,
+        i: F.struct(number(i, j).alias("rank"), x["h"].alias("h"), x["item"].alias("item"), steps(kids, i, F.col("runs"), j).alias("low")))
     rows = own.select("g", "path", "subroot", "root", F.explode(F.flatten(F.transform("runs", lambda r, j: child(r["kids"], j)))).alias("x"))
     return rows.select("g", "x.rank", "x.h", "x.item", F.concat("x.low", "path").alias("path"), "subroot", "root")
 
@@ -89,14 +90,16 @@ def _descended(tiers: list[DataFrame], above: DataFrame, fan: int) -> DataFrame:
     return _emitted(tiers[0], paths, fan)
 
 
-def proofs(rows: DataFrame, columns: Sequence[str] = COLUMNS, group: str = "source", order: str = "doc_id", carry: Mapping[str, Column] | None = None, fan: int = FAN) -> DataFrame:
+def proofs(rows: DataFrame, columns: Sequence[str] = COLUMNS, group: str = "source", order: str = "doc_id", carry: Mapping[str, Column] | None = None,
+    fan: int = FAN) -> DataFrame:
     """One row for each row: `order`, leaf, path, subroot, root, and the values of `carry`, expressions over rows.
 
     path: for each level, from the leaf's up to the root's, the digests left and right of the row's node, concatenated.
     """
     carry = carry or {}
     item = F.struct(F.col(order).alias("key"), *[c.alias(f"c{i}") for i, c in enumerate(carry.values())])
-    leaves = written(rows.select(F.col(group).cast("string").alias("g"), F.col(order).alias("o"), leaf_digest([F.col(c) for c in columns]).alias("h"), item.alias("item")))
+    leaves = written(rows.select(F.col(group).cast("string").alias("g"), F.col(order).alias("o"), leaf_digest([F.col(c) for c in columns]).alias("h"),
+        item.alias("item")))
     sizes = written(leaves.groupBy("g").agg(F.count("*").alias("n")))
     total = sizes.agg(F.max("n"), F.count("*")).first()
     own = sizes.select(F.col("g").alias("_g"), "n")

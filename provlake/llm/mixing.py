@@ -44,7 +44,8 @@ def _marked(docs: DataFrame, seed: int) -> DataFrame:
     dash = F.lit("-")
     mark = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), dash), F.coalesce(F.md5("text"), dash)))
     size = F.size(words_of(F.col("text"))).cast("long")
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")).select("doc_id", "source", size.alias("size"), mark.alias("mark"))
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")).select("doc_id",
+        "source", size.alias("size"), mark.alias("mark"))
 
 
 def _number(mark: Column, digits: int = 8) -> Column:
@@ -58,7 +59,8 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     out = written(numbered.withColumn("weight", weight))
     cap, capped, level = most * F.col("words"), F.lit(False), 0.0
     while True:
-        sums = out.agg(F.sum("words").alias("all"), F.sum(F.when(capped, F.col("words"))).alias("full"), F.sum(F.when(~capped, F.col("weight"))).alias("weight")).first()
+        sums = out.agg(F.sum("words").alias("all"), F.sum(F.when(capped, F.col("words"))).alias("full"),
+            F.sum(F.when(~capped, F.col("weight"))).alias("weight")).first()
         left = share * (sums["all"] or 0) - most * (sums["full"] or 0)
         now = left / sums["weight"] if sums["weight"] else level
         if now <= level:  # no further source has reached its bound
@@ -111,9 +113,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     sums = written(rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")))
     all_words = sums.agg(F.sum("words")).first()[0] or 0
     sources = apportion_sources(targets(sums, weights, share, most), min(share, most) * all_words, block)
-    sources = written(sources.select(F.col("source").alias("_source"), "number", F.col("words").alias("n_words"), "target", "blocks", F.ceil(F.sqrt("n")).alias("n_shards")))
+    sources = written(sources.select(F.col("source").alias("_source"), "number", F.col("words").alias("n_words"), "target", "blocks",
+        F.ceil(F.sqrt("n")).alias("n_shards")))
     placed = rows.join(sources, rows["source"].eqNullSafe(sources["_source"]))
-    placed = written(placed.select("doc_id", "size", "mark", "number", "n_words", "target", "blocks", (_number(F.col("mark")) % F.col("n_shards")).alias("shard")))
+    placed = written(placed.select("doc_id", "size", "mark", "number", "n_words", "target", "blocks",
+        (_number(F.col("mark")) % F.col("n_shards")).alias("shard")))
     shards = placed.groupBy("number", "shard").agg(F.sum("size").alias("words"), F.any_value("n_words").alias("n_words"), F.any_value("blocks").alias("blocks"))
     shards = written(apportion_shards(shards)).select(F.col("number").alias("_number"), F.col("shard").alias("_shard"), "words", "quota")
     line = W.partitionBy("number", "shard").orderBy("mark").rowsBetween(W.unboundedPreceding, -1)
@@ -128,6 +132,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     around = F.greatest(F.lit(0), F.least(b, F.col("stop") - length) - a)
     piece = lambda start, n: F.when(n > 0, F.struct(start.cast("long").alias("start"), n.cast("long").alias("words")))
     pieces = F.array_compact(F.array(piece(F.lit(0), around), piece(F.greatest(F.lit(0), F.col("begin") - a), ahead)))
-    out = at.select("doc_id", "size", F.col("n_words").alias("source_size"), "target", F.when(b > a, F.col("rounds")).otherwise(0).alias("rounds"), pieces.alias("pieces"))
+    out = at.select("doc_id", "size", F.col("n_words").alias("source_size"), "target", F.when(b > a, F.col("rounds")).otherwise(0).alias("rounds"),
+        pieces.alias("pieces"))
     taken = F.col("rounds") * F.col("size") + F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["words"])
     return out.withColumn("taken", taken)

@@ -111,15 +111,18 @@ def instances(docs: DataFrame) -> DataFrame:
     t = F.coalesce("text", F.lit(""))
     src = keyed(docs).where(t.rlike("[0-9@]")).withColumn("_m", F.regexp_extract_all(t, F.lit(INSTANCE), F.lit(0))).withColumn("_g", F.split(t, INSTANCE, -1))
     before = F.transform(F.slice("_g", 1, F.size("_m")), lambda g: F.right(g, F.lit(CONTEXT)))
-    rows = src.where(F.size("_m") > 0).select(*KEY, F.posexplode(F.arrays_zip(_placed(F.col("_m"), F.col("_g")).alias("p"), before.alias("g"))).alias("_i", "x"))
+    rows = src.where(F.size("_m") > 0).select(*KEY,
+        F.posexplode(F.arrays_zip(_placed(F.col("_m"), F.col("_g")).alias("p"), before.alias("g"))).alias("_i", "x"))
     core = F.regexp_extract("x.p.m", r"^[^A-Za-z0-9+]*+(.*?)[^A-Za-z0-9]*+$", 1)
     words = F.filter(F.split(F.lower("x.g"), rf"[{_BLANK}]+"), lambda w: w != "")
-    rows = rows.select(*KEY, "x.p.a", "x.p.m", core.alias("instance"), F.array_join(F.slice(F.concat(F.array(F.lit(""), F.lit("")), words), -2, 2), " ").alias("pattern"))
+    rows = rows.select(*KEY, "x.p.a", "x.p.m", core.alias("instance"),
+        F.array_join(F.slice(F.concat(F.array(F.lit(""), F.lit("")), words), -2, 2), " ").alias("pattern"))
     a = F.col("a") + F.position("instance", "m") - 1
     kind = F.when(F.col("instance").rlike(f"^{_LOCAL}++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++$"), 0)
     for k, p in ((1, r"^[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++$"), (2, r"^[0-9](?:[ -]?[0-9])++$"), (3, rf"^{PHONE}$")):
         kind = kind.when(F.col("instance").rlike(p) & _valid(k, F.col("instance")), k)
-    return rows.where(F.length("instance") > 0).select(*KEY, a.cast("int").alias("a"), (a + F.length("instance")).cast("int").alias("b"), "pattern", F.lower("instance").alias("instance"), kind.cast("int").alias("kind"))
+    return rows.where(F.length("instance") > 0).select(*KEY, a.cast("int").alias("a"), (a + F.length("instance")).cast("int").alias("b"), "pattern",
+        F.lower("instance").alias("instance"), kind.cast("int").alias("kind"))
 
 
 def score_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confident: float = CONFIDENT) -> DataFrame:
@@ -135,10 +138,12 @@ def score_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPOR
     scores = known = written(known)
     for last in [False] * (rounds - 1) + [True]:
         sums = edges.select("pattern", "n", "instance").join(scores, "instance")
-        patterns = written(sums.groupBy("pattern", "kind").agg((F.sum("score") / (F.max("n") + 1)).alias("score"), F.count_if(F.col("score") >= confident).alias("seeds")))
+        patterns = written(sums.groupBy("pattern", "kind").agg((F.sum("score") / (F.max("n") + 1)).alias("score"),
+            F.count_if(F.col("score") >= confident).alias("seeds")))
         if last:
             return patterns.where(F.col("seeds") >= support)
-        again = edges.where("kind is null").select("pattern", "instance").join(patterns, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("score")))))).alias("score"))
+        again = edges.where("kind is null").select("pattern", "instance").join(patterns, "pattern").groupBy("instance",
+            "kind").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("score")))))).alias("score"))
         scores = written(known.unionAll(again))
     return patterns
 
@@ -147,7 +152,8 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
     """One row per document: counts of base spans, their digest, and all spans."""
     found = written(instances(docs))
     good = written(score_patterns(found, rounds, support, confident).where(F.col("score") >= confident).select("pattern").distinct())
-    new = found.where("kind is null").where(F.contains("instance", F.lit("@")) | (F.length(_digits(F.col("instance"))) >= MIN_DIGITS)).join(good, "pattern", "left_semi")
+    new = found.where("kind is null").where(F.contains("instance", F.lit("@")) | (F.length(_digits(F.col("instance"))) >= MIN_DIGITS)).join(good,
+        "pattern", "left_semi")
     new = written(new.groupBy(*KEY).agg(F.collect_set(F.struct("a", F.lit(4).alias("k"), "b")).alias("_new")))
     both = join_key(_spans(keyed(docs), "text"), new)
     free = lambda v: ~F.exists("_base", lambda x: (x["a"] < v["b"]) & (v["a"] < x["b"]))
@@ -155,4 +161,5 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
     names = F.array(*map(F.lit, KINDS))
     show = lambda xs: F.array_join(F.transform(xs, lambda v: F.concat_ws(":", F.element_at(names, v["k"] + 1), v["a"], v["b"])), ",")
     count = lambda k: F.size(F.filter("_base", lambda v: v["k"] == k)).cast("long")
-    return both.select("doc_id", *[count(k).alias(f"n_{KINDS[k]}") for k in range(4)], F.sha2(show(F.col("_base")), 256).alias("base_sha256"), show(every).alias("spans"))
+    return both.select("doc_id", *[count(k).alias(f"n_{KINDS[k]}") for k in range(4)], F.sha2(show(F.col("_base")), 256).alias("base_sha256"),
+        show(every).alias("spans"))

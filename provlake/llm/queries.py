@@ -33,7 +33,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     n_lines, n_dropped = boilerplate.count_names(docs)
     out = boilerplate.drop_boilerplate(docs)
-    return out.select("doc_id", F.col(n_lines).alias("n_lines"), F.col(n_dropped).alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return out.select("doc_id", F.col(n_lines).alias("n_lines"), F.col(n_dropped).alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
