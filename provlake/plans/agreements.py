@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from provlake.operators import documents, schemas
 from provlake.plans.discovery import table
-from provlake.sources.shared import fresh_path
+from provlake.sources.shared import fresh_path, spread
 
 _META = {
     "schema_version": "1.0.0", "run_id": "run", "batch_id": "b-1", "record_id": "rec", "source": "?", "source_record_id": "s-1", "source_uri": None,
@@ -46,7 +46,7 @@ def contract_documents(spark, d):
     documents.write_documents(spark, folder)
     nodes = schemas.read_documents(spark, folder)
     each = F.explode(F.create_map(*[F.lit(x) for n, p in PAYLOADS.items() for x in (n, json.dumps(p))])).alias("contract", "payload")
-    rows = table(spark, d, "part").select("p_partkey", "p_name", "p_size", each)
+    rows = spread(table(spark, d, "part").select("p_partkey", "p_name", "p_size")).select("p_partkey", "p_name", "p_size", each)
     changes = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in CHANGES])
     rows = rows.withColumn("c", changes[(F.col("p_partkey") % len(CHANGES)).cast("int")])
     changed = F.when(F.col("c.a") == "", F.col("payload")).otherwise(F.replace("payload", F.col("c.a"), F.col("c.b")))
