@@ -1,5 +1,10 @@
 """What keeps tasks, memory and files in bounds when the tables grow."""
 
+import re
+
+from pyspark.sql import functions as F
+
+from provlake.operators import documents, schemas, submission
 from provlake.plans import catalog
 
 DATA = "/root/testdata/sf0.001"
@@ -8,3 +13,24 @@ DATA = "/root/testdata/sf0.001"
 def test_contract_documents_do_not_share_one_task(spark):
     """The parts are one small file; their payloads were all checked by the task that reads it."""
     assert catalog.queries()["contract_documents"](spark, DATA).rdd.getNumPartitions() >= 4
+
+
+def _submissions(spark, n):
+    rows = spark.range(n).selectExpr("'b' AS batch_id", "id AS position", "cast(id AS string) AS original_product_id", "concat('né ', id, '/') AS product_name_raw",
+        "'u' AS product_url", "cast(id / 7 AS string) AS ocr_confidence")
+    batches = spark.sql("SELECT 'b' AS batch_id, 'ann' AS member, 'READY' AS status, 'p.csv' AS products_csv_uri, CAST(null AS string) AS failures_csv_uri, "
+        "CAST(null AS string) AS discovery_dir_uri UNION ALL SELECT 'none', 'ann', 'READY', 'é.csv', null, null")
+    return submission.seal_submissions(batches, rows, "run", "2026-01-01T00:00:00Z")
+
+
+def test_products_do_not_carry_their_document(spark):
+    """Verification shuffled the whole document once for each of its products: bytes with the square of a batch."""
+    nodes = {n: schemas.compile_document(x) for n, x in documents.documents().items()}
+    changed = F.regexp_replace("payload", '"product_name_raw":"[^,]*,', '"product_name_raw":"x",')
+    docs = _submissions(spark, 30).withColumn("payload", changed)
+    docs = docs.unionByName(docs)  # a document that comes twice has its issues once in each row
+    out = submission.verify_submissions(spark.createDataFrame(docs.collect(), docs.schema), nodes)
+    assert sorted((r.batch_id, len(r.issues)) for r in out.collect()) == [("b", 31), ("b", 31), ("none", 0), ("none", 0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    carried = re.search(r"Generate posexplode.*\), \[([^\]]*)\], (?:true|false), \[", plan)[1]
+    assert "_key" in carried and "payload" not in carried
