@@ -1,9 +1,12 @@
 """What keeps tasks, memory and files in bounds when the tables grow."""
 
+import hashlib
+import json
 import re
 
 from pyspark.sql import functions as F
 
+from provlake.functions import hashing
 from provlake.operators import documents, schemas, submission
 from provlake.plans import catalog
 
@@ -34,3 +37,29 @@ def test_products_do_not_carry_their_document(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     carried = re.search(r"Generate posexplode.*\), \[([^\]]*)\], (?:true|false), \[", plan)[1]
     assert "_key" in carried and "payload" not in carried
+
+
+def test_a_long_list_is_hashed_in_pieces():
+    """The worker held a second tree of a document, its whole canonical text and that text's bytes."""
+    doc = {"products": [{"a": "x" * 100, "i": i} for i in range(1000)]}
+    pieces = list(hashing._canonical_pieces(doc))
+    assert "".join(pieces) == hashing.canonical_json(doc) and max(map(len, pieces)) < 200
+
+
+def test_hashes_in_pieces_are_those_of_the_whole_text(spark):
+    values = [{}, {"a": []}, {"b": [{"content_hash": 1, "é": " "}, [], 1.50], "a": {"x": [], "content_hash": {}}}, {"content_hash": [1]}, {"": None}]
+    texts = [*map(json.dumps, values), '{"a": NaN}', '{"a": "\\ud800"}', "[1]", "", None, '{"a": 1, "a": [2]}']
+    want = [hashlib.sha256(hashing.canonical_json(v).encode()).hexdigest() for v in values] + [None] * 5 + [hashlib.sha256(b'{"a":[2]}').hexdigest()]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(hashing.open_content_hash("t")).collect()] == want
+
+
+def test_hashed_and_matched_rows_do_not_share_one_task(spark):
+    for name in ("canonical_hashes", "page_fields", "disclosure_literal", "manifest_issues"):
+        assert catalog.queries()[name](spark, DATA).rdd.getNumPartitions() >= 4, name
+
+
+def test_registered_tables_hash_each_manifest_once(spark):
+    for name in ("registered_runs", "registered_artifacts"):
+        plan = catalog.queries()[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+        assert "ArrowEvalPython" not in plan, name
