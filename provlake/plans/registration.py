@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from provlake.functions import hashing
 from provlake.operators import bundles
 from provlake.plans.discovery import table
+from provlake.sources.shared import spread, written
 
 #: A payload with keys in no order, hashes at several depths, escapes and nested lists, and its canonical form.
 _PAYLOAD = r"""concat('{"z": [1, {"content_hash": "x", "b": "', o_orderpriority, '", "a": null, "c": {}}], "content_hash" : "y", "é": {"é": true, "A": ', o_custkey, ', "a": -0.5}, "t":"q\\"\\u00e9\\n/", "":', o_orderkey % 3, '}')"""
@@ -15,7 +16,7 @@ _CANONICAL = r"""concat('{"":', o_orderkey % 3, ',"t":"q\"é\n/","z":[1,{"a":nul
 
 def canonical_hashes(spark, d):
     """Hashes of nested payloads whose keys, blanks and escapes differ from the canonical form; null for what is no object."""
-    o = table(spark, d, "orders").withColumn("payload", F.expr(_PAYLOAD))
+    o = spread(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")).withColumn("payload", F.expr(_PAYLOAD))
     payload = F.when(F.col("o_orderkey") % 11 == 0, F.concat(F.lit("["), "payload", F.lit("]"))).when(F.col("o_orderkey") % 13 == 0,
         F.left("payload", F.length("payload") - 1)).otherwise(F.col("payload"))
     return o.select("o_orderkey", hashing.open_content_hash(payload).alias("content_hash"))
@@ -23,7 +24,7 @@ def canonical_hashes(spark, d):
 
 def _raw(spark, d):
     """Orders as accepted manifests: sealed, sealed wrongly, without a hash, of another member, not accepted, or no JSON."""
-    o = table(spark, d, "orders").withColumn("batch_id", F.concat(F.lit("b-ann-"), "o_orderkey"))
+    o = spread(table(spark, d, "orders").select("o_orderkey", "o_custkey")).withColumn("batch_id", F.concat(F.lit("b-ann-"), "o_orderkey"))
     member, status = F.when(F.col("o_orderkey") % 7 == 0, "bo").otherwise("ann"), F.when(F.col("o_orderkey") % 6 == 1, "REJECTED").otherwise("ACCEPTED")
     fields = [F.lit("p1").alias("parser_version"), member.alias("member"),
         F.struct(F.lit("x").alias("content_hash"), F.col("o_custkey").alias("k")).alias("nested"), F.col("o_custkey").alias("row_count"),
@@ -41,7 +42,7 @@ def manifest_issues(spark, d):
 
 
 def _registered(spark, d):
-    m = bundles.accepted_manifests(_raw(spark, d))
+    m = written(bundles.accepted_manifests(_raw(spark, d)), "manifests")  # each table below is made from it more than once
     file = lambda n, x, c: F.struct(F.lit(n).alias("logical_name"), F.concat(F.lit("accepted/"), "batch_id", F.lit(f"/{n}.{x}")).alias("path"),
         c.alias("sha256"), F.col("size"))
     files = m.select("batch_id", F.explode(F.array(file("manifest", "json", F.col("checksum")),
