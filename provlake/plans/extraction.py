@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from provlake.functions import extract, text
 from provlake.operators import publish
 from provlake.plans.discovery import table
+from provlake.sources.shared import spread
 
 #: Names by row, in words that Spark and the SQL read alike.
 STORED_NAME = """CASE p_partkey % 9 WHEN 0 THEN concat(p_name, ' 냉장') WHEN 1 THEN concat('Frozen ', p_name) WHEN 2 THEN concat(p_name, ' REFRIGERATED / frozen') WHEN 3 THEN concat('[실온] ', p_name, ' 냉동')
@@ -37,7 +38,7 @@ def _page_texts(spark, d):
         .when(k == 3, "")
         .otherwise(F.concat(F.lit("판매단위\n"), n, F.lit("팩\n중량/용량\n300g\n"), n, F.lit("개입")))
     )
-    return table(spark, d, "part").withColumn("text", text)
+    return spread(table(spark, d, "part").select("p_partkey", "p_size")).withColumn("text", text)
 
 
 def page_fields(spark, d):
