@@ -542,6 +542,47 @@ def test_passages_whose_parts_belong_to_earlier_documents(spark):
     assert got[0].n_dup_words == got[100].n_dup_words == 0
 
 
+@pytest.mark.parametrize(("edits", "size"), [(0.1, 40), (0.15, 40), (0.1, 25)])
+def test_edited_passages_whose_parts_belong_to_earlier_documents(spark, edits, size):
+    """Each seed of two later documents was met with the earlier one that holds its fragment only, so they were not compared."""
+    r = random.Random(3)
+    own = lambda n: [word(r) for _ in range(n)]
+    rows = []
+    for case in range(8):
+        passage = own(200)
+        rows += [(case * 100 + j, own(70) + passage[a : a + size] + own(70)) for j, a in enumerate(range(0, 200, size))]
+        rows += [(case * 100 + 50, own(90) + passage + own(33)), (case * 100 + 51, own(20) + [word(r) if r.random() < edits else w for w in passage] + own(80))]
+    got = {x.doc_id: x for x in chains.fuzzy_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(4)).collect()}
+    for case in range(8):
+        for j, at in ((50, 90), (51, 20)):
+            spans = [tuple(map(int, v.split(":"))) for v in got[case * 100 + j].passages.split(",") if v]
+            assert sum(max(0, min(e, at + 200) - max(s, at)) for s, e in spans) >= 180, (case, j, spans)
+            assert got[case * 100 + j].n_links == 1
+
+
+def test_copies_and_rows_that_share_an_id(spark):
+    r = random.Random(5)
+    few = [word(r) for _ in range(8)]
+    repeated = " ".join(r.choice(few) for _ in range(136))
+    long, short, other = (" ".join(word(r) for _ in range(n)) for n in (120, 30, 300))
+    rows = [(1, repeated), (7, repeated), (9, repeated), (2, long), (2, "short text"), (2, other), (3, long), (4, short), (5, short), (None, long), (3, long)]
+    got = chains.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((x.doc_id or 0, x.n_words, x.passages, x.n_links, x.first_partner) for x in got)
+    assert found == [(0, 120, "", 0, None), (1, 136, "0:136", 2, 7), (2, 2, "", 0, None), (2, 120, "0:120", 1, 3), (2, 300, "", 0, None), (3, 120, "0:120", 1, 2), (3, 120, "0:120", 1, 2),
+        (4, 30, "", 0, None), (5, 30, "", 0, None), (7, 136, "0:136", 2, 1), (9, 136, "0:136", 2, 1)]
+
+
+@pytest.mark.parametrize(("texts", "every"), [(20, chains.EVERY), (50, None)])
+def test_links_against_all_pairs(spark, texts, every):
+    """All pairs of texts that share a passage, not only those with the first text."""
+    r = random.Random(texts)
+    own = lambda n: [word(r) for _ in range(n)]
+    passage = own(60)
+    d = spark.createDataFrame([(i, " ".join(own(65) + passage + own(65))) for i in range(texts)], "doc_id long, text string").repartition(3)
+    assert chains.shared_passages(d, every=every).select("doc_a", "doc_b").distinct().count() == texts * (texts - 1) // 2
+    assert {x.n_links for x in chains.fuzzy_passages(d, every=every).collect()} == {texts - 1}
+
+
 def test_words_by_numpy():
     r = random.Random(2)
     texts = ["", "  ", "a", " a b\ta\nb\x0bc ", "x" * 1000 + " y", "\u00a0x \x1cz é é"] + [" ".join(word(r)[: r.randrange(1, 7)] for _ in range(50)) for _ in range(20)]
