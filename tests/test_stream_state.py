@@ -2,6 +2,8 @@
 
 import random
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from provlake.operators import dedupe
@@ -52,3 +54,70 @@ def test_seen_once_equals_first_wins(spark, state_store, tmp_path):
     got, _ = replay(spark, str(tmp_path), [rows[i : i + 60] for i in range(0, 200, 60)], schema, lambda s: discovery.seen_once(s, "batch", "pid"))
     want = dedupe.first_wins(spark.createDataFrame(rows, schema), ["batch", "pid"], "position")
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_state_is_not_asked_for_each_item():
+    """Each round and item of a trigger was looked up and written by a call of its own."""
+
+    class Counted:
+        calls = 0
+
+        def __init__(self):
+            self.rows, self.value = [], None
+
+        def __getattr__(self, name):
+            def call(*args):
+                Counted.calls += 1
+                if name == "get":
+                    return self.value if self.value is not None else iter(list(self.rows)) if self.listed else None
+                if name in ("put", "appendList"):
+                    self.rows = [*(self.rows if name == "appendList" else []), *args[0]]
+                elif name == "update":
+                    self.value = args[0]
+                elif name == "clear":
+                    self.rows, self.value = [], None
+                return ()
+
+            return call
+
+    class Handle(Counted):
+        def _state(self, listed):
+            s = Counted()
+            s.listed = listed
+            return s
+
+        def getListState(self, *_):
+            return self._state(True)
+
+        def getMapState(self, *_):
+            return self._state(True)
+
+        def getValueState(self, *_):
+            return self._state(False)
+
+    p = discovery._Scroll(60, 3, 1000)
+    p.init(Handle())
+    rows = pd.DataFrame({"round": [0] * 5000, "item": [f"i{i}" for i in range(5000)], "at": pd.Timestamp("2026-01-01")})
+    assert list(p.handleInputRows(("b",), iter([rows, rows]), None)) == [] and Counted.calls < 20
+    assert len(p.pending.rows) == 60  # as many new items as stop the batch
+    out = list(p.handleInputRows(("b",), iter([rows.assign(round=1)]), None))
+    assert [tuple(x.iloc[0]) for x in out] == [("b", 0, "MAX_PRODUCTS_REACHED", 60, 0)] and Counted.calls < 40
+
+
+def test_seen_once_keeps_state_in_spark(spark):
+    """A worker was asked for each key: its state is Spark's own deduplication now, on rows reduced to the first of each key."""
+    stream = spark.readStream.format("rate").load().selectExpr("value % 7 AS k", "value AS position")
+    plan = discovery.seen_once(stream, "k")._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" in plan and "TransformWithState" not in plan
+
+
+def test_firsts_of_a_partition(monkeypatch):
+    monkeypatch.setattr(discovery, "GATHERED", 10)
+    rows = [{"a": rnd.randrange(3), "b": rnd.choice(["x", None]), "position": i} for i in rnd.sample(range(500), 500)]
+    parts = [pa.RecordBatch.from_pylist(rows[i : i + 7]) for i in range(0, 500, 7)]
+    got = [tuple(r.values()) for b in discovery._firsts(["a", "b"], "position")(iter(parts)) for r in b.to_pylist()]
+    least = {}
+    for r in rows:
+        least[r["a"], r["b"]] = min(r["position"], least.get((r["a"], r["b"]), 999))
+    assert sorted(got, key=str) == sorted(((*k, v) for k, v in least.items()), key=str)
+    assert list(discovery._firsts(["a"], "position")(iter([]))) == []
