@@ -98,8 +98,8 @@ def clean_lines(x: str | Column) -> Column:
     return F.regexp_replace(F.replace(t, F.lit("&nbsp;"), F.lit(" ")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " ")
 
 
-def _pieces(p: DataFrame, ref: DataFrame, group: str, d: int) -> DataFrame:
-    """Pairs of a product (_n) and a reference (_name) of one group that may differ by at most d edits.
+def _pieces(names: DataFrame, ref: DataFrame, d: int) -> DataFrame:
+    """Pairs of a product's name (_n, _g) and a reference (_name) of one group that may differ by at most d edits.
 
     A name cut into d + 1 pieces keeps one of them whole after d edits, moved by at most d places: the join is on group, length,
     piece number and piece, so no pair within d edits is lost and a large group does not meet itself.
@@ -110,7 +110,7 @@ def _pieces(p: DataFrame, ref: DataFrame, group: str, d: int) -> DataFrame:
     each = F.explode(F.sequence(F.lit(0), F.lit(d))).alias("_i")
     r = ref.select("*", F.length("_name").alias("_len"), each).withColumn("_piece", F.substr("_name", start + 1, size))
     own = F.length("_n")
-    q = p.select("product_id", "_n", F.col(group).alias("_g"), F.explode(F.sequence(F.greatest(F.lit(0), own - d), own + d)).alias("_len"))
+    q = names.select("_n", "_g", F.explode(F.sequence(F.greatest(F.lit(0), own - d), own + d)).alias("_len"))
     q = q.select("*", each).select("*", F.explode(F.sequence(F.lit(-d), F.lit(d))).alias("_by"))
     q = q.where((start + F.col("_by") >= 0) & (start + F.col("_by") + size <= own)).withColumn("_piece", F.substr("_n", start + F.col("_by") + 1, size))
     return q.drop("_by").distinct().join(r, (F.col("_g") == F.col("_group")) & (q["_len"] == r["_len"]) & (q["_i"] == r["_i"]) & (q["_piece"] == r["_piece"]))
@@ -119,18 +119,23 @@ def _pieces(p: DataFrame, ref: DataFrame, group: str, d: int) -> DataFrame:
 def reconcile(products: DataFrame, reference: DataFrame, code: str, name: str, group: str, max_distance: int = 3, rule_version: str = "1.0.0") -> DataFrame:
     """products with their best reference row: CODE, then NAME, then FUZZY inside the group, else NONE.
 
-    Tiers are equi-joins; fuzzy names are compared only inside a group and if they share a piece.  Fuzzy matches are always for review.
+    Tiers are equi-joins; fuzzy names are compared only inside a group and if they share a piece, each name of a group once.  Fuzzy matches are always for review.
     reference: (code, name, group, reference_id).  Ties: the least reference_id.
     """
     ref = reference.select(F.col(code).alias("_code"), F.lower(F.col(name)).alias("_name"), F.col(group).alias("_group"), F.col("reference_id"))
+    codes = ref.groupBy("_code").agg(F.min("reference_id").alias("reference_id"))
+    ref = ref.groupBy("_name", "_group").agg(F.min("reference_id").alias("reference_id"))  # rows of one name are one candidate
     p = products.withColumn("_n", F.lower(F.col(name)))
     pick = lambda d, t: d.groupBy("product_id").agg(F.min_by(F.struct("reference_id", F.lit(t).alias("match_type"), "distance"),
         F.struct("distance", "reference_id")).alias("_m"))
-    exact = pick(p.join(ref, p[code] == ref["_code"]).withColumn("distance", F.lit(0)), "CODE")
+    exact = pick(p.join(codes, p[code] == codes["_code"]).withColumn("distance", F.lit(0)), "CODE")
     rest = p.join(exact.select("product_id"), "product_id", "left_anti")
     named = pick(rest.join(ref, (rest["_n"] == ref["_name"]) & (rest[group] == ref["_group"])).withColumn("distance", F.lit(0)), "NAME")
     rest = rest.join(named.select("product_id"), "product_id", "left_anti")
-    near = _pieces(rest, ref, group, max_distance).withColumn("distance", F.levenshtein("_n", "_name", max_distance)).where("distance >= 0")
+    names = rest.select("_n", F.col(group).alias("_g")).distinct()
+    near = _pieces(names, ref, max_distance).withColumn("distance", F.levenshtein("_n", "_name", max_distance)).where("distance >= 0")
+    near = near.groupBy(F.col("_n").alias("_own"), "_g").agg(F.min(F.struct("distance", "reference_id")).alias("_near"))
+    near = rest.join(near, (rest["_n"] == near["_own"]) & (rest[group] == near["_g"])).select("product_id", "_near.*")
     found = exact.unionByName(named).unionByName(pick(near, "FUZZY"))
     out = products.join(found, "product_id", "left")
     kind = F.coalesce("_m.match_type", F.lit("NONE"))
