@@ -5,8 +5,8 @@ The automaton starts with one arc per base symbol, any arc after any other.  The
 takes away holds for every arc that still ends in u and every arc that still begins with v at that
 moment, so a succession (a, b) is open exactly if no gadget met a right edge of a with a left edge of b.
 The full table has |V|^2 cells; the edges of every arc are compiled once, the cells on first use.
-Each string has one path of open successions: the walk keeps, for each place of a word, the one arc that
-ends there.  Decoding emits the labels of the arcs.
+Each string has one path of open successions, and so has what stands before any place of it: the walk goes
+forward by the longest open arc, back where none is open, and never comes to a place twice.  Decoding emits the labels of the arcs.
 
 Null text: no tokens, both digests of the empty string.  Documents are handled whole and alone (one map).
 """
@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -26,9 +28,12 @@ from tokenizers import Tokenizer
 from provlake.llm.common import per_text
 from provlake.llm.secrets import vocabulary_path
 
-#: Bounds on what a worker remembers: the first words and cells it meets, frequent ones among them.  Others are worked out each time.
-CACHED_WORDS = 100_000
+#: Bounds on what a worker remembers: words of the last texts, in two halves of which the older one is left when the newer one has this many,
+#: and the first cells that it meets.  Others are worked out each time.
+CACHED_WORDS = 200_000
 CACHED_CELLS = 300_000
+#: First symbols that tell which lengths an arc may have.
+HEAD = 3
 _BLANK = r"\p{White_Space}"
 
 
@@ -65,14 +70,27 @@ class MergeAutomaton:
         self.split = regex.compile(pieces.replace(r"[^\s\p{L}\p{N}]", rf"[^{_BLANK}\p{{L}}\p{{N}}]"))
         #: Beyond these, case and letters differ between versions of Unicode: the tokenizer's own pre-split is taken.
         self.rare = regex.compile(r"[^\x00-\u024F\u2010-\u2027\u2030-\u205E\u20A0-\u20BF]|\u0130")
+        #: The same pieces in small ASCII text, where nothing else can stand.
+        ascii_only = pieces.replace(r"[^\s\p{L}\p{N}]", r"[^\x09-\x0D\x20a-z0-9]").replace(r"[\p{L}]", "[a-z]").replace(r"[\p{N}]", "[0-9]")
+        self.split_ascii = self.split if r"\p" in ascii_only or r"\s" in ascii_only else re.compile(ascii_only)
         self.library = Tokenizer.from_str(json.dumps(spec))
         self.symbols = _byte_symbols()
-        self.words: dict[str, tuple[str, str]] = {}
+        self.stand_in = dict(enumerate(self.symbols))
+        self.number = {i: str(i) for i in self.label}
+        #: Ids and labels of known words, each joined by spaces.
+        self.words: tuple[dict[str, str], dict[str, str]] = ({}, {})
+        self.older: tuple[dict[str, str], dict[str, str]] = ({}, {})
         # arcs that the gadgets never build from base symbols are no arcs
         self.made: dict[int, bool] = {}
         self.plain = {t: i for t, i in self.plain.items() if self._reaches(i)}
         self.final = {t: i for t, i in self.final.items() if self._reaches(i)}
         self.made.clear()
+        #: Lengths of the arcs inside a word, the greatest first, by their first HEAD symbols.
+        self.lengths: dict[str, tuple[int, ...]] = {}
+        short = tuple(range(HEAD - 1, 0, -1))
+        for t in sorted(self.plain, key=len):
+            if len(t) >= HEAD and (got := self.lengths.get(t[:HEAD], short))[0] < len(t):
+                self.lengths[t[:HEAD]] = (len(t), *got)
 
     def _edge(self, arc: int, side: int) -> list[tuple[int, float]]:
         """Arcs on the right (side 1) or left (0) edge of arc, each with the rank of the gadget that absorbs it."""
@@ -105,35 +123,46 @@ class MergeAutomaton:
         return got
 
     def walk(self, s: str) -> list[int]:
-        """The arcs of one pre-split word, given as symbols of its bytes.  One arc at most can end at each place."""
+        """The arcs of one pre-split word, given as symbols of its bytes.  One arc at most can end at each place, so a place that leads nowhere is left for good."""
         n = len(s)
-        if (whole := self.final.get(s)) is not None:
+        if not n:
+            return []
+        final, plain, memo, lengths = self.final.get, self.plain.get, self.open.get, self.lengths.get
+        if (whole := final(s)) is not None:
             return [whole]
-        get, memo, longest = self.plain.get, self.open, self.longest
-        last, back = [-1] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            if i == n:
-                get = self.final.get
-            for j in range(i - longest if i > longest else 0, i):  # longest first
-                arc = get(s[j:i])
-                if arc is None:
+        short, longest = range(HEAD - 1, 0, -1), self.longest
+        arcs: list[int] = []
+        trail: list[tuple] = []  # where each arc begins, and the lengths left to try there
+        dead: set[int] = set()
+        at, before = 0, -1
+        while True:
+            if before >= 0 and n - at <= longest and (arc := final(s[at:])) is not None:
+                ok = memo(before << 32 | arc)
+                if self.opens(before, arc) if ok is None else ok:
+                    arcs.append(arc)
+                    return arcs
+            left = iter(lengths(s[at : at + HEAD], short))
+            while True:
+                for length in left:
+                    end = at + length
+                    if end < n and end not in dead and (arc := plain(s[at:end])) is not None:
+                        if before < 0:
+                            break
+                        ok = memo(before << 32 | arc)
+                        if self.opens(before, arc) if ok is None else ok:
+                            break
+                else:
+                    if not trail:
+                        raise ValueError(f"no path for {s!r}")
+                    dead.add(at)
+                    at, left = trail.pop()
+                    arcs.pop()
+                    before = arcs[-1] if arcs else -1
                     continue
-                if j:
-                    before = last[j]
-                    if before < 0:
-                        continue
-                    ok = memo.get(before << 32 | arc)
-                    if not (self.opens(before, arc) if ok is None else ok):
-                        continue
-                last[i], back[i] = arc, j
                 break
-        if n and last[n] < 0:
-            raise ValueError(f"no path for {s!r}")
-        out, i = [], n
-        while i:
-            out.append(last[i])
-            i = back[i]
-        return out[::-1]
+            trail.append((at, left))
+            arcs.append(arc)
+            at, before = end, arc
 
     def _reaches(self, arc: int) -> bool:
         """Whether gadgets build the arc from base symbols: the two parts must be open to that very gadget only."""
@@ -152,22 +181,42 @@ class MergeAutomaton:
             self.made[arc] = got
         return got
 
-    def _word(self, word: str, symbols: str | None = None) -> tuple[str, str]:
-        arcs = self.walk(symbols or "".join(map(self.symbols.__getitem__, word.encode("utf-8", "replace"))))
-        got = (" ".join(map(str, arcs)), " ".join(map(self.label.__getitem__, arcs)))
-        if len(self.words) < CACHED_WORDS:
-            self.words[word] = got
-        return got
+    def _learn(self, new: set, words: Callable[[str], str]) -> None:
+        """new: words that are to be known; words: the symbols of each."""
+        if len(self.words[0]) >= CACHED_WORDS:
+            self.words, self.older = ({}, {}), self.words
+        (ids, labels), (old_ids, old_labels) = self.words, self.older
+        for w in new:
+            if (got := old_ids.get(w)) is not None:
+                ids[w], labels[w] = got, old_labels[w]
+                continue
+            arcs = self.walk(words(w))
+            ids[w], labels[w] = " ".join([self.number[i] for i in arcs]), " ".join([self.label[i] for i in arcs])
+
+    def _symbols(self, word: str) -> str:
+        if word.isascii() and word.isprintable():
+            return word  # these bytes stand for themselves
+        return word.encode("utf-8", "replace").decode("latin-1").translate(self.stand_in)
 
     def _run(self, text: str, ids: list[str], labels: list[str]) -> None:
+        words = self._symbols
         if self.rare.search(text):
-            found = [(" " + w, w) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
+            # symbols already, kept apart from words by a blank
+            found = [f" {w}" for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
+            words = lambda w: w[1:]
+        elif text.isascii():
+            found = self.split_ascii.findall(text.lower())
         else:
-            found = [(w, None) for w in self.split.findall(unicodedata.normalize("NFC", text).lower())]
-        for w, symbols in found:
-            got = self.words.get(w) or self._word(w, symbols)
-            ids.append(got[0])
-            labels.append(got[1])
+            found = self.split.findall(unicodedata.normalize("NFC", text).lower())
+        if not found:
+            return
+        every = set(found)
+        if new := every.difference(self.words[0]):
+            if len(self.words[0]) >= CACHED_WORDS:
+                new = every
+            self._learn(new, words)
+        ids.append(" ".join(map(self.words[0].__getitem__, found)))
+        labels.append(" ".join(map(self.words[1].__getitem__, found)))
 
     def encode(self, text: str) -> tuple[str, str]:
         """Ids and arc labels, each joined by spaces."""

@@ -1,11 +1,12 @@
 """Long texts in linear time, clashing names, and identifiers that only other identifiers' contexts show."""
 
+import json
 import random
 import time
 
 from pyspark.sql import functions as F
 
-from provlake.llm import boilerplate, personal, secrets
+from provlake.llm import boilerplate, bpe, personal, secrets
 
 rnd = random.Random(4)
 
@@ -74,3 +75,20 @@ def test_boilerplate_counts_do_not_replace_columns(spark):
     assert boilerplate.count_names(pages) == ("__n_lines", "_n_dropped")
     assert {(r["_n_lines"], r["__N_dropped"], r["__n_lines"], r["_n_dropped"]) for r in out.collect()} == {(-7, "keep", 2, 1)}
     assert out.select(F.sum("__n_lines")).first()[0] == 40
+
+
+def test_words_met_lately_stay_known(monkeypatch):
+    """A word that comes up again is not worked out again, however many others came before it; a long one takes time in proportion."""
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 20)
+    with open(secrets.vocabulary_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        a = bpe.MergeAutomaton(json.load(f))
+    before = [a.encode("".join(rnd.choice("etaoinshrdlu") for _ in range(9))) for _ in range(60)]
+    assert len(before) == 60
+    walked, walk = [], a.walk
+    monkeypatch.setattr(a, "walk", lambda s: walked.append(s) or walk(s))
+    got = {a.encode("onheretionshon theandsh") for _ in range(5)}
+    assert len(got) == 1 and sorted(walked) == ["onheretionshon", "theandsh"]
+    began = time.perf_counter()
+    word = "".join(rnd.choice("etaoinshrdlu") for _ in range(300_000))
+    assert "".join(a.encode(word)[1].split(" ")) == f"{word}</w>"
+    assert time.perf_counter() - began < 30
