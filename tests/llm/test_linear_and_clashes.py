@@ -4,9 +4,11 @@ import json
 import random
 import time
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from provlake.llm import boilerplate, bpe, personal, secrets
+from provlake.llm import boilerplate, bpe, chains, personal, secrets
 
 rnd = random.Random(4)
 
@@ -92,3 +94,39 @@ def test_words_met_lately_stay_known(monkeypatch):
     word = "".join(rnd.choice("etaoinshrdlu") for _ in range(300_000))
     assert "".join(a.encode(word)[1].split(" ")) == f"{word}</w>"
     assert time.perf_counter() - began < 30
+
+
+def test_pairs_of_one_chain_are_not_chained(monkeypatch):
+    """Matches that rise close together are one chain without a search; distances and sums tell whether it is exact.  Others are searched."""
+    words = "".join(f"w{i} " for i in range(90)).split()
+    edited = [*words[:40], "x", *words[41:]]
+    seeds = {n: chains.seeds(chains.word_hashes(" ".join(t)), np.array([90])) for n, t in (("a", words), ("b", words), ("c", edited))}
+    rows = []
+    for doc, n in ((2, "b"), (3, "c")):
+        here = {s: (p, h) for p, s, h in zip(*(seeds["a"][i].tolist() for i in (1, 2, 3)), strict=True)}
+        there = {s: (p, h) for p, s, h in zip(*(seeds[n][i].tolist() for i in (1, 2, 3)), strict=True)}
+        rows += [(1, *here[s], doc, *there[s], False) for s in here if s in there]
+    d = pd.DataFrame(rows, columns=["doc_a", "pos_a", "before_a", "doc_b", "pos_b", "before_b", "of_run"])
+    for c in ("before_a", "before_b"):
+        d[c] = d[c].astype(np.int32)
+    searched, chain = [], chains.chain
+    monkeypatch.setattr(chains, "chain", lambda *x: searched.append(1) or chain(*x))
+    got = pd.concat(chains._candidates(chains.K, chains.WINDOW, 50)(iter([d.iloc[:5], d.iloc[5:]]))).set_index("doc_b")
+    assert not searched and got.exact.to_dict() == {2: True, 3: False}
+    assert got["tail"][2] == chains.K + chains.WINDOW and got["tail"][3] == 0 and list(got["at"][2]) == [] and list(got["at"][3]) == list(got["bt"][3])
+    crossed = d.assign(pos_b=d.pos_b.to_numpy()[::-1])
+    list(chains._candidates(chains.K, chains.WINDOW, 50)(iter([crossed])))
+    assert searched
+
+
+def test_alignments_side_by_side_are_those_one_by_one():
+    r = random.Random(12)
+    some = []
+    for _ in range(200):
+        x = np.array([r.randrange(6) for _ in range(r.randrange(0, 30))], np.int64)
+        y = np.array([r.randrange(6) if r.random() < 0.2 else w for w in x.tolist() if r.random() < 0.9], np.int64)
+        some.append((x, y, []))
+    for got, one in zip(chains.align(some), (chains.align([c])[0] for c in some), strict=True):
+        assert got.tolist() == one.tolist()
+    for (x, y, _), got in zip(some, chains.align(some), strict=True):
+        assert (x[got[:, 0]] == y[got[:, 1]]).all() and (np.diff(got, axis=0) > 0).all()
