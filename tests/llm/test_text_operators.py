@@ -583,6 +583,19 @@ def test_links_against_all_pairs(spark, texts, every):
     assert {x.n_links for x in chains.fuzzy_passages(d, every=every).collect()} == {texts - 1}
 
 
+def test_frequent_seeds_join_all_pairs_in_blocks(spark, monkeypatch):
+    """Places of a seed with more than 32 were joined with its first text only."""
+    rows = spark.createDataFrame([(i * 2**57 - 2**62, pos, seed, 0, 0) for i in range(50) for pos, seed in [(3, 7), (9, 7), *([(20, 8)] if i < 2 else [])]],
+        "doc long, pos int, seed long, before int, run int")
+    d = spark.createDataFrame([(i, " ".join(f"v{j}" for j in range(70)) + f" t{i}") for i in range(50)], "doc_id long, text string")
+    assert {x.n_links for x in chains.fuzzy_passages(d).collect()} == {49}
+    for block in (3, 2048):
+        monkeypatch.setattr(chains, "BLOCK", block)
+        got = [tuple(x) for x in chains._matches(rows, None).select("doc_a", "pos_a", "doc_b", "pos_b").collect()]
+        assert len(got) == len(set(got)) == 4 * 50 * 49 // 2 + 1 and all(x[0] < x[2] for x in got)
+        assert chains.shared_passages(d).select("doc_a", "doc_b").distinct().count() == 50 * 49 // 2
+
+
 def test_words_by_numpy():
     r = random.Random(2)
     texts = ["", "  ", "a", " a b\ta\nb\x0bc ", "x" * 1000 + " y", "\u00a0x \x1cz é é"] + [" ".join(word(r)[: r.randrange(1, 7)] for _ in range(50)) for _ in range(20)]
