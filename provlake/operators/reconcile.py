@@ -9,8 +9,12 @@ Tiers, tried in this order; a product that one tier matches takes no part in the
 * NONE: no reference.
 
 Words are weighted by their inverse frequency in the reference's distinct names, in whole numbers, so sums do not depend on their
-order.  Fuzzy candidates come from a prefix filter: a name's words stand in order of rarity, and its prefix is the fewest first
-words without which the rest weighs less than `least` of the name.  Two names that are similar enough share a word of both
+order.  The best fuzzy reference of a name of at most SHORT words comes without comparing names: each name is dealt under every set of
+its words that weighs `least` of it.  Names that are similar enough meet under the words they share, and a set needs to know only
+the least reference_id of the names that hold it, by their weight: rows grow with the names, not with their pairs.
+
+Longer names, whose sets are too many, come from a prefix filter: a name's words stand in order of rarity, and its prefix is the fewest
+first words without which the rest weighs less than `least` of the name.  Two names that are similar enough share a word of both
 prefixes, so the join is on prefix words only, and a word that a third of all names hold (a brand) is in hardly any prefix.  A
 pair is kept at its first common word alone, so no pair is found twice.  Names are compared once, however many rows have them.
 
@@ -23,13 +27,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provlake.functions.text import col
 from provlake.operators.publish import clean_text
 
 CERTAIN = {"CODE": 1000, "NAME": 950}
+#: Words of a name all of whose heavy sets of words are listed: 1,024 at most.
+SHORT = 10
 
 
 def standard_name(x: str | Column) -> Column:
@@ -81,10 +87,45 @@ def similar_names(left: DataFrame, right: DataFrame, least: int) -> DataFrame:
     pairs = pairs.select("name", "r_name", "key", "weight", "r_weight", F.filter("words", lambda w: F.array_contains(held, w["word"])).alias("common"))
     both = F.aggregate("common", F.lit(0).cast("long"), lambda n, w: n + w["weight"])
     pairs = pairs.where(F.element_at("common", 1)["word"] == F.col("key")).withColumn("both", both)
-    share = F.floor(1000 * F.col("both") / (F.col("weight") + F.col("r_weight") - F.col("both")))
+    share = _share(F.col("both"), F.col("weight"), F.col("r_weight"))
     return pairs.select("name", F.col("r_name").alias("other"), share.alias("similarity")).where(F.col("similarity") >= least)
 
 
+def _share(both: Column, weight: Column, r_weight: Column) -> Column:
+    return F.floor(1000 * both / (weight + r_weight - both))
+
+
+def heavy_sets(names: DataFrame, least: int) -> DataFrame:
+    """names (name, words, weight), once for each set of its words that weighs at least `least` thousandths of it: key, the words in their order, and `both`, their weight."""
+    start = F.array(F.struct(F.lit(0).cast("long").alias("gone"), F.lit("").alias("key")))
+    kept = lambda w: lambda s: F.struct(s["gone"].alias("gone"), F.concat(s["key"], F.lit(" "), w["word"]).alias("key"))
+    gone = lambda w: lambda s: F.struct((s["gone"] + w["weight"]).alias("gone"), s["key"].alias("key"))
+    light = lambda s: 1000 * s["gone"] <= (1000 - least) * F.col("weight")
+    sets = F.aggregate("words", start, lambda at, w: F.concat(F.transform(at, kept(w)), F.filter(F.transform(at, gone(w)), light)))
+    each = names.select("*", F.explode(sets).alias("_s")).where("_s.key <> ''")
+    return each.select(*names.columns, "_s.key", (F.col("weight") - F.col("_s.gone")).alias("both"))
+
+
+def most_similar(left: DataFrame, right: DataFrame, least: int) -> DataFrame:
+    """(name, similarity, reference_id) of weighed names, those of right with a reference_id: the most similar one; of equals the least id.
+
+    The words that two names share are a set of both.  Under any other set of both they count as less similar than they are, so the most similar row
+    of a name is right.  Of the names under a set, one that weighs as much as another or more and has a greater id is never taken.
+    """
+    held = heavy_sets(right.where(F.size("words") <= SHORT), least).groupBy("key", F.col("weight").alias("r_weight")).agg(F.min("reference_id").alias("reference_id"))
+    lighter = Window.partitionBy("key").orderBy("r_weight").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.withColumn("_id", F.min("reference_id").over(lighter)).where("_id is null or reference_id < _id").drop("_id")
+    met = heavy_sets(left.where(F.size("words") <= SHORT), least).select("name", "weight", "key", "both").join(held, "key")
+    met = met.select("name", _share(F.col("both"), F.col("weight"), F.col("r_weight")).alias("similarity"), "reference_id").where(F.col("similarity") >= least)
+    long = lambda d: d.where(F.size("words") > SHORT)
+    named = [similar_names(x, y, least) for x, y in ((long(left), right), (left.where(F.size("words") <= SHORT), long(right)))]
+    ids = right.select(F.col("name").alias("other"), "reference_id")
+    for found in named:
+        met = met.unionByName(found.join(ids, "other").select("name", "similarity", "reference_id"))
+    first = F.min_by(F.struct("similarity", "reference_id"), F.struct(-F.col("similarity"), "reference_id"))
+    return met.groupBy("name").agg(first.alias("m")).select("name", "m.*")
+
+
 def contained_names(products: DataFrame, reference: DataFrame) -> DataFrame:
     """(product_id, reference_id, similarity): same category and storage, the reference's words all in the product's.
 
@@ -115,10 +156,11 @@ def match(products: DataFrame, reference: DataFrame, least: int, certain: Mappin
     """
     cols = ("name", "code", "category", "storage")
     p, r = products.select("product_id", *cols), reference.select("reference_id", *cols)
+    first = lambda c: r.groupBy(c).agg(F.min("reference_id").alias("reference_id"))  # noqa: E731  rows of one code or name do not meet pair by pair
     tier = lambda d, t: _best(d.select("product_id", "reference_id", F.lit(certain[t]).alias("similarity")), t)
-    by_code = keep(tier(p.join(r.select("reference_id", "code"), "code"), "CODE"))
+    by_code = keep(tier(p.join(first("code"), "code"), "CODE"))
     p = p.join(by_code.select("product_id"), "product_id", "left_anti")
-    by_name = keep(tier(p.join(r.select("reference_id", "name"), "name"), "NAME"))
+    by_name = keep(tier(p.join(first("name"), "name"), "NAME"))
     p = keep(p.join(by_name.select("product_id"), "product_id", "left_anti").where("name is not null"))
 
     known = r.where("name is not null").select("name").distinct()
@@ -128,11 +170,8 @@ def match(products: DataFrame, reference: DataFrame, least: int, certain: Mappin
     left = keep(weighed(p.select("name").distinct(), weights, total))
     inside = keep(_best(contained_names(p.join(left, "name"), r.join(right, "name")), "CONDITIONAL"))
     p = p.join(inside.select("product_id"), "product_id", "left_anti")
-    near = similar_names(left.join(p.select("name").distinct(), "name", "left_semi"), right, least)
-    least_id = r.groupBy(F.col("name").alias("other")).agg(F.min("reference_id").alias("reference_id"))
-    best = near.join(least_id, "other").groupBy("name").agg(F.min_by(F.struct("reference_id", "similarity"),
-        F.struct(-F.col("similarity"), "reference_id")).alias("m"))
-    fuzzy = _best(p.join(best, "name").select("product_id", "m.*"), "FUZZY")
+    best = keep(most_similar(left.join(p.select("name").distinct(), "name", "left_semi"), right.join(first("name"), "name"), least))
+    fuzzy = _best(p.join(best, "name").select("product_id", "reference_id", "similarity"), "FUZZY")
 
     found = by_code.unionByName(by_name).unionByName(inside).unionByName(fuzzy)
     out = products.select("product_id").distinct().join(found, "product_id", "left")

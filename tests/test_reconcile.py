@@ -117,3 +117,17 @@ def test_resolver_follows_the_first_rule(spark):
         1: ("b", "REFERENCE", "R04", "APPROVED"), 2: ("b", "REFERENCE", "R05", "REVIEW_REQUIRED"), 3: ("a", "ORIGINAL", "R03", "APPROVED"),
         4: ("a", "ORIGINAL", "R06", "REVIEW_REQUIRED"), 5: (None, "NONE", "R01", "REVIEW_REQUIRED"),
     }
+
+
+def test_short_names_are_not_compared_pair_by_pair(spark, tables, monkeypatch):
+    """Names of a small vocabulary were compared with all names of their prefix words: rows with the square of the names."""
+    given, similar = [], reconcile.similar_names
+    monkeypatch.setattr(reconcile, "similar_names", lambda a, b, least: given.append((a, b)) or similar(a, b, least))
+    assert reconcile.match(*tables, least=300).count() == len({p[0] for p in PRODUCTS})
+    assert all(0 in (a.count(), b.count()) for a, b in given)
+
+
+@pytest.mark.parametrize("short", [0, 3, 10])
+def test_sets_of_words_and_long_names_equal_all_pairs(tables, monkeypatch, short):
+    monkeypatch.setattr(reconcile, "SHORT", short, raising=False)
+    assert {r.product_id: (r.reference_id, r.match_type, r.confidence) for r in reconcile.match(*tables, least=400).collect()} == expected(400)
