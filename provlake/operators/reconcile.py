@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from provlake.functions.text import col
 from provlake.operators.publish import clean_text
+from provlake.sources.shared import spread
 
 CERTAIN = {"CODE": 1000, "NAME": 950}
 #: Words of a name all of whose heavy sets of words are listed: 1,024 at most.
@@ -102,7 +103,7 @@ def heavy_sets(names: DataFrame, least: int) -> DataFrame:
     gone = lambda w: lambda s: F.struct((s["gone"] + w["weight"]).alias("gone"), s["key"].alias("key"))
     light = lambda s: 1000 * s["gone"] <= (1000 - least) * F.col("weight")
     sets = F.aggregate("words", start, lambda at, w: F.concat(F.transform(at, kept(w)), F.filter(F.transform(at, gone(w)), light)))
-    each = names.select("*", F.explode(sets).alias("_s")).where("_s.key <> ''")
+    each = spread(names).select("*", F.explode(sets).alias("_s")).where("_s.key <> ''")
     return each.select(*names.columns, "_s.key", (F.col("weight") - F.col("_s.gone")).alias("both"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from provlake.operators import reconcile
 from provlake.plans.discovery import table
-from provlake.sources.shared import written
+from provlake.sources.shared import spread, written
 
 LEAST = 600
 APPROVE = 0.9
@@ -24,7 +24,7 @@ _REFERENCE_NAME = """CASE p_partkey % 7 WHEN 0 THEN reverse(concat(p_name, tail)
 
 def _tables(spark, d):
     """A third of all parts has one brand."""
-    p = table(spark, d, "part").selectExpr("*", *[f"{e} AS {n}" for n, e in _PART.items()])
+    p = spread(table(spark, d, "part")).selectExpr("*", *[f"{e} AS {n}" for n, e in _PART.items()])
     name = "concat('<b>', upper(brand), '</b> ', p_name, ' ', sort, ' ', tail)"
     products = p.selectExpr("p_partkey AS product_id", f"{name} AS name", "if(p_partkey % 5 = 0, p_partkey, null) AS code", "p_type AS category",
         "if(p_size % 9 = 0, null, storage) AS storage", "p_size AS days")

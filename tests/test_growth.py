@@ -7,8 +7,8 @@ import re
 from pyspark.sql import functions as F
 
 from provlake.functions import hashing
-from provlake.operators import discovery, documents, publish, schemas, submission
-from provlake.plans import catalog
+from provlake.operators import discovery, documents, publish, reconcile, schemas, submission
+from provlake.plans import catalog, matching
 
 DATA = "/root/testdata/sf0.001"
 
@@ -87,3 +87,10 @@ def test_list_manifests_count_without_sorting_lines(spark):
     assert got == [(1, "a", 1, 2, 1, "PARTIAL_FAILED"), (2, "b", 0, 2, 0, "FAILED"), (2, "c", 0, 2, 0, "FAILED"), (3, "d", 0, 1, 1, "FAILED")]
     plan = found.manifests._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("row_number") == 0 and plan.count("Join") <= 3
+
+
+def test_names_and_their_sets_do_not_share_one_task(spark):
+    products, reference = matching._tables(spark, DATA)
+    assert len(products.inputFiles()) >= 4 and len(reference.inputFiles()) >= 4
+    names = spark.range(40).coalesce(1).selectExpr("concat('a', id) AS name", "array(struct(id AS rank, concat('a', id) AS word, 5L AS weight)) AS words", "5L AS weight")
+    assert reconcile.heavy_sets(names, 600).rdd.getNumPartitions() >= 4
