@@ -3,6 +3,7 @@
 import hashlib
 import json
 import re
+import tracemalloc
 
 from pyspark.sql import functions as F
 
@@ -94,3 +95,19 @@ def test_names_and_their_sets_do_not_share_one_task(spark):
     assert len(products.inputFiles()) >= 4 and len(reference.inputFiles()) >= 4
     names = spark.range(40).coalesce(1).selectExpr("concat('a', id) AS name", "array(struct(id AS rank, concat('a', id) AS word, 5L AS weight)) AS words", "5L AS weight")
     assert reconcile.heavy_sets(names, 600).rdd.getNumPartitions() >= 4
+
+
+def test_a_long_text_is_hashed_without_its_tree(monkeypatch):
+    """A worker held a document of 200 MB as some gigabytes of Python objects."""
+    doc = {"products": [{"content_hash": "h", "name": f"né {i}", "list": [1, None, 0.50], **{f"k{j}": f"value {j} of {i}" for j in range(12)}} for i in range(5000)], "a": {"b": []}}
+    text = json.dumps(doc, ensure_ascii=False, indent=1)
+    tracemalloc.start()
+    got = hashing._open_hash(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * len(text) and got == hashlib.sha256(hashing.canonical_json(doc).encode()).hexdigest()
+    texts = ["{}", ' { "b" : [ ] , "a":{} }\n', '{"content_hash": NaN}', '{"a": [1, [2, {"content_hash": 3}]], "B": "é"}', '{"a": [1,]}', '{"a": 1,}', '{"a" 1}', "{a: 1}", "{", "[1]", '{"a": [NaN]}',
+        '{"a": NaN, "a": 2}', '{"a": ["\\ud800"]}', '{"a": 1} x', '{"\\u0061": [01]}', '{"\\u0061": 1e400}', "1", " ", '{"a": [1 2]}', '{"a": {"a": 1, "a": [2]}}', '{"a": [}', '{"content_hash": 1, "z": [], "z": [1]}', '{"a": "\n"}']
+    whole = [hashing._open_hash(t) for t in texts]
+    monkeypatch.setattr(hashing, "LONG", 1)
+    assert [hashing._open_hash(t) for t in texts] == whole and None in whole
